@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The modelled pipeline is batch only: no watermarks, windows over event time, state or
+late data exist in it.  Its one "streaming" notion, a chunked bounded-memory read of a
+table, is a partitioned scan in Spark (see ``martkit.sources.tables.jdbc_read_options``).
+"""
