@@ -170,11 +170,8 @@ def dedup_keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
     if not order_by:
         raise ValueError("keep-first de-duplication needs an explicit order column")
-    others = [c for c in df.columns if c not in keys]
-    packed = F.struct(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)],
-        *[F.col(c) for c in others],
-    )
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    packed = F.struct(*[F.col(c) for c in order_by + rest])
     first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
     return first.select(
         *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
@@ -197,10 +194,8 @@ def clean_exploratory(
     require_columns(df.columns, spec.required)
     key = spec.key
     r = normalise_nan(df).where(F.col(key).isNotNull())
-    if order_by is not None:
-        r = dedup_keep_first(r, key, order_by)
-    else:
-        r = dedup_keep_first(r, key, [c for c in r.columns if c != key])
+    # "first" needs an explicit order: a distributed frame has no input order
+    r = dedup_keep_first(r, key, order_by)
     bools = [c for c in spec.booleans if c in r.columns]
     if bools:
         r = r.select(*[bool_default(c).alias(c) if c in bools else F.col(c) for c in r.columns])

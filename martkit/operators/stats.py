@@ -256,7 +256,7 @@ def quantile_stats(
         row = parts[0]
         for p in parts[1:]:
             row = row.crossJoin(p)
-        return row.select(*order)
+        return row.select(*[F.col(f"`{n}`") for n in order])
     raise ValueError(f"unknown quantile mode {mode!r}")
 
 

@@ -54,8 +54,8 @@ def _raw(spark, d, orphan=False) -> DataFrame:
     return build_raw(fixtures.flats(spark, d, orphans=orphan), fixtures.buildings(spark, d))
 
 
-def _clean(spark, d, mode="exact") -> DataFrame:
-    return build_clean(_raw(spark, d), SPEC, quantile_mode=mode)
+def _clean(spark, d, mode="exact", materialise=None) -> DataFrame:
+    return build_clean(_raw(spark, d), SPEC, quantile_mode=mode, materialise=materialise)
 
 
 def _consistent(spark, d) -> DataFrame:
@@ -128,8 +128,9 @@ def q_clip_iqr(spark, d):
 
 def q_clean_mart(spark, d):
     # production path: exact built-in quantiles for low-cardinality columns,
-    # distributed exact selection for the others
-    return _clean(spark, d, mode="auto")
+    # distributed exact selection for the others; the two relations read twice
+    # (F1 survivors, F2-F4 survivors) are checkpointed to the shared folder once
+    return _clean(spark, d, mode="auto", materialise="checkpoint")
 
 
 def q_events_clip_value(spark, d):

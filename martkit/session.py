@@ -23,6 +23,8 @@ SCALE_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of unreferenced frames are removed, not left in the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
