@@ -31,17 +31,32 @@ def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def _materialise(df: DataFrame, how: str | None) -> DataFrame:
+def _materialise(df: DataFrame, how: str | None, observe=()) -> tuple[DataFrame, dict | None]:
+    """Store ``df`` once (persist or reliable checkpoint).  Distinct-count estimates
+    of the ``observe`` columns are collected by the same job (``DataFrame.observe``),
+    so the quantile mode can be chosen without another pass."""
     if how is None:
-        return df
+        return df, None
+    obs = None
+    if observe:
+        from pyspark.sql import Observation
+
+        from martkit.operators.stats import cardinality_metrics
+
+        obs = Observation()
+        df = df.observe(obs, *cardinality_metrics(observe))
     if how == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if how == "checkpoint":
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if obs is not None:
+            df.count()
+    elif how == "checkpoint":
         from martkit.session import checkpoint_dir
 
         checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    raise ValueError(f"unknown materialise option {how!r}")
+        df = df.checkpoint(eager=True)
+    else:
+        raise ValueError(f"unknown materialise option {how!r}")
+    return df, (obs.get if obs is not None else None)
 
 
 # -------------------------------------------------------------- published
@@ -60,10 +75,13 @@ def impute(
     *,
     stats: DataFrame | None = None,
     quantile_mode: str = "exact",
+    cardinality: dict | None = None,
 ) -> DataFrame:
     """Median / mode / FALSE defaults; ids and target are never imputed."""
     if stats is None:
-        stats = feature_statistics(base, spec.medians, spec.modes, quantile_mode=quantile_mode)
+        stats = feature_statistics(
+            base, spec.medians, spec.modes, quantile_mode=quantile_mode, cardinality=cardinality
+        )
     d = base.alias("d")
     s = F.broadcast(stats).alias("s")
     cols = []
@@ -101,6 +119,7 @@ def clip_iqr(
     min_rows: int | None = None,
     quantile_mode: str = "exact",
     bounds: DataFrame | None = None,
+    cardinality: dict | None = None,
 ) -> DataFrame:
     """Cap each column to ``[q1 - k*IQR, q3 + k*IQR]`` of its non-null values.
 
@@ -110,7 +129,7 @@ def clip_iqr(
     """
     columns = list(columns)
     if bounds is None:
-        bounds = quantile_stats(df, quartiles(columns), quantile_mode)
+        bounds = quantile_stats(df, quartiles(columns), quantile_mode, cardinality=cardinality)
         if min_rows is not None:
             bounds = bounds.crossJoin(
                 df.agg(*[F.count(c).alias(f"{c}_n") for c in columns])
@@ -147,11 +166,15 @@ def build_clean(
     statistics pass and the next step (F1 survivors, F2-F4 survivors), so the source
     scan + join runs once instead of once per use.
     """
-    base = _materialise(base_filter(raw, spec), materialise)
-    consistent = _materialise(
-        filter_consistent(impute(base, spec, quantile_mode=quantile_mode), spec), materialise
+    auto = quantile_mode == "auto"
+    base, card1 = _materialise(base_filter(raw, spec), materialise, spec.medians if auto else ())
+    imputed = impute(base, spec, quantile_mode=quantile_mode, cardinality=card1)
+    consistent, card2 = _materialise(
+        filter_consistent(imputed, spec), materialise, spec.clips if auto else ()
+    )
+    capped = clip_iqr(
+        consistent, spec.clips, spec.iqr_k, quantile_mode=quantile_mode, cardinality=card2
     )
-    capped = clip_iqr(consistent, spec.clips, spec.iqr_k, quantile_mode=quantile_mode)
     return containment_filter(capped, spec)
 
 

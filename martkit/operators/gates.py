@@ -25,7 +25,7 @@ def _any(conds: list[Column]) -> Column:
 
 def _stack(gate: str, one_row: DataFrame, rules: list[str]) -> DataFrame:
     """One-row frame of per-rule violation counts -> one row per rule."""
-    long = one_row.select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot(
+    long = one_row.select(*[F.col(f"`{r}`").cast("long").alias(r) for r in rules]).unpivot(
         [], rules, "rule", "violations"
     )
     return long.select(
@@ -93,17 +93,22 @@ def source_gate(flats: DataFrame, buildings: DataFrame) -> DataFrame:
     return _stack("source", one, ["no_orphans"])
 
 
-def target_gate(df: DataFrame, target: str) -> DataFrame:
-    """Target coercible to a finite number, strictly positive; frame non-empty."""
+def target_gate(df: DataFrame, target: str, integral=()) -> DataFrame:
+    """M1/F6 in one pass: frame non-empty; target coercible to a finite number and
+    strictly positive; each ``integral`` category column holds whole numbers only."""
+    from martkit.functions import is_integral
+
     y = F.col(target).try_cast("double") if dict(df.dtypes)[target] == "string" else F.col(target).cast("double")
-    one = df.select(y.alias("_y")).agg(
+    one = df.select(y.alias("_y"), *[F.col(c) for c in integral]).agg(
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias("non_empty"),
         F.count_if(
             F.col("_y").isNull() | F.isnan("_y") | (F.abs("_y") == F.lit(float("inf")))
         ).alias("target_valid"),
         F.count_if(F.col("_y") <= 0).alias("target_positive"),
+        *[F.count_if(~is_integral(c)).alias(f"integral:{c}") for c in integral],
     )
-    return _stack("target", one, ["non_empty", "target_valid", "target_positive"])
+    rules = ["non_empty", "target_valid", "target_positive"] + [f"integral:{c}" for c in integral]
+    return _stack("target", one.select(*[F.col(f"`{r}`").alias(r) for r in rules]), rules)
 
 
 def require_sources(spark: SparkSession, *names_or_paths: str) -> None:

@@ -228,9 +228,14 @@ def quantile_stats(
     approx_accuracy: int = 10_000,
     exact_max_distinct: int = 1_000_000,
     checkpoint: bool = True,
+    cardinality: dict[str, int] | None = None,
     **kw,
 ) -> DataFrame:
-    """One-row DataFrame with a double column per target (NULL if no non-null input)."""
+    """One-row DataFrame with a double column per target (NULL if no non-null input).
+
+    ``cardinality`` (auto mode): distinct-count estimates per column gathered earlier,
+    e.g. observed while the input was materialised; saves the estimation pass.
+    """
     order = [t.name for t in targets]
     if mode == "exact":
         return _builtin(df, targets, None)
@@ -241,10 +246,9 @@ def quantile_stats(
         return _literal_row(df.sparkSession, vals, order)
     if mode == "auto":
         cols = list(dict.fromkeys(t.column for t in targets))
-        est = df.agg(
-            *[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(cols)]
-        ).first()
-        big = {c for i, c in enumerate(cols) if est[f"_d{i}"] > exact_max_distinct}
+        if cardinality is None or not set(cols) <= set(cardinality):
+            cardinality = distinct_estimates(df, cols)
+        big = {c for c in cols if cardinality[c] > exact_max_distinct}
         small_t = [t for t in targets if t.column not in big]
         big_t = [t for t in targets if t.column in big]
         parts = []
@@ -260,6 +264,15 @@ def quantile_stats(
     raise ValueError(f"unknown quantile mode {mode!r}")
 
 
+def cardinality_metrics(columns) -> list:
+    """Aggregates for ``DataFrame.observe``: distinct-count estimates (HLL++)."""
+    return [F.approx_count_distinct(c).alias(c) for c in dict.fromkeys(columns)]
+
+
+def distinct_estimates(df: DataFrame, columns) -> dict[str, int]:
+    return df.agg(*cardinality_metrics(columns)).first().asDict()
+
+
 def mode_value(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
     """A4: most frequent non-null value; ties -> smallest.  One-row DataFrame.
 

@@ -62,8 +62,14 @@ def _consistent(spark, d) -> DataFrame:
     return filter_consistent(impute(base_filter(_raw(spark, d))))
 
 
+def _clean_stored(spark, d) -> DataFrame:
+    """The clean mart written once to the shared checkpoint folder, as modelling reads
+    a published snapshot rather than recomputing the mart for every pass."""
+    return _clean(spark, d, mode="auto", materialise="checkpoint").checkpoint(eager=True)
+
+
 def _features(spark, d) -> DataFrame:
-    return prepare_features(_clean(spark, d), SPEC.target, key=SPEC.key)
+    return prepare_features(_clean_stored(spark, d), SPEC.target, key=SPEC.key)
 
 
 def _split_feats(spark, d) -> DataFrame:
@@ -203,7 +209,7 @@ def q_features(spark, d):
 
 
 def q_train_val_split(spark, d):
-    return exact_split(_clean(spark, d).select(SPEC.key), SPEC.key, TEST_SIZE, SEED)
+    return exact_split(_clean_stored(spark, d).select(SPEC.key), SPEC.key, TEST_SIZE, SEED)
 
 
 def q_one_hot(spark, d):
