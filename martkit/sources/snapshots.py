@@ -130,6 +130,80 @@ def read_current(spark: SparkSession, root: str, mart: str) -> DataFrame:
     return spark.read.parquet(m["uri"])
 
 
+def publish_table(spark: SparkSession, manifest: dict, name: str) -> None:
+    """S7 in a catalog: switch view ``[schema.]name`` to the published snapshot.
+
+    ``CREATE OR REPLACE VIEW`` swaps the definition in one catalog operation; a query
+    that already resolved the old definition keeps reading the old snapshot files.
+    """
+    from martkit.sources.tables import quote_table
+
+    qualified = quote_table(name)
+    schema = qualified.split(".")[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    uri = manifest["uri"].replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS SELECT * FROM parquet.`{uri}`")
+
+
+def publish_model(model, root: str, name: str, *, run_id: str | None = None) -> dict:
+    """S13 + S14 for models: save under ``<root>/<name>/v=<run_id>``, load it back and
+    compare its stages, then write the ``_published`` marker."""
+    from pyspark.ml import PipelineModel
+
+    spark = SparkSession.getActiveSession()
+    run_id = run_id or new_run_id()
+    base = f"{root.rstrip('/')}/{name}"
+    uri = f"{base}/v={run_id}"
+    model.write().save(uri)
+    try:
+        back = PipelineModel.load(uri)
+        want = [type(s).__name__ for s in model.stages]
+        got = [type(s).__name__ for s in back.stages]
+        if want != got:
+            raise GateError("publish_model", [{"rule": "stages", "violations": 1}])
+    except Exception:
+        _delete(spark, uri)
+        raise
+    manifest = {
+        "run_id": run_id,
+        "uri": uri,
+        "stages": want,
+        "published_utc": datetime.now(timezone.utc).isoformat(),
+    }
+    _write_text_atomic(spark, f"{base}/_published/{run_id}.json", json.dumps(manifest, sort_keys=True))
+    return manifest
+
+
+def current_model(spark: SparkSession, root: str, name: str):
+    from pyspark.ml import PipelineModel
+
+    m = current_manifest(spark, root, name)
+    if m is None:
+        raise FileNotFoundError(f"Model not found: {root}/{name}")
+    return PipelineModel.load(m["uri"])
+
+
+def write_json_atomic(spark: SparkSession, path: str, doc: dict) -> None:
+    """S11 + S12: one JSON document with sorted keys, replacing ``path`` only when complete."""
+    _write_text_atomic_replace(spark, path, json.dumps(doc, sort_keys=True, indent=2) + "\n")
+
+
+def _write_text_atomic_replace(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise RuntimeError(f"could not write {path}")
+
+
 # ---------------------------------------------------------------------- export
 
 

@@ -115,3 +115,18 @@ def jdbc_read_options(
             numPartitions=str(num_partitions),
         )
     return opts
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, columns, *, properties=None, **kw) -> DataFrame:
+    """S3 + S2: partitioned, fetch-size-bounded JDBC scan of exactly ``columns``.
+
+    The projection is pushed into the database query by Spark's JDBC source.
+    """
+    opts = jdbc_read_options(url, table, **kw)
+    opts.update(properties or {})
+    return spark.read.format("jdbc").options(**opts).load().select(*columns)
+
+
+def analyze_table(spark: SparkSession, name: str) -> None:
+    """Column statistics for the cost-based optimizer on a catalog table."""
+    spark.sql(f"ANALYZE TABLE {quote_table(name)} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -16,7 +16,10 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from martkit.session import get_session
 
-    s = get_session("local[*]", app_name="martkit-tests", shuffle_partitions=8)
+    s = get_session(
+        "local[*]", app_name="martkit-tests", shuffle_partitions=8,
+        extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="martkit-test-wh-")},
+    )
     # tests only: a private checkpoint folder when the session names none
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martkit-test-ckpt-"))

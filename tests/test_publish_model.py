@@ -152,9 +152,47 @@ def test_gbt_fit_save_load_same_predictions(spark, clean, scratch):
     b = [r[0] for r in p2.orderBy("floor", "kitchen_area", "living_area", "total_area", "latitude").select("prediction").collect()]
     assert a == b
     m = regression_metrics(p1, rows_total=1165)
-    d = write_metrics(m, f"{scratch}/metrics")
+    d = write_metrics(m, f"{scratch}/metrics.json")
     assert list(d) == ["mae", "r2", "rmse", "rows_total", "rows_val"] and d["rows_val"] == 233
+    import json
+
+    text = "\n".join(r.value for r in spark.read.text(f"{scratch}/metrics.json").collect())
+    assert json.loads(text) == d and text.index('"mae"') < text.index('"rmse"')
+    from martkit.sources.snapshots import current_model, publish_model
+
+    man = publish_model(model, scratch, "price_model")
+    p3 = predict(current_model(spark, scratch, "price_model"), val.drop("flat_id"))
+    c = [r[0] for r in p3.orderBy("floor", "kitchen_area", "living_area", "total_area", "latitude").select("prediction").collect()]
+    assert c == a and man["stages"][-1] == "GBTRegressionModel"
     with pytest.raises(FileNotFoundError):
         load_model(spark, f"{scratch}/missing")
     with pytest.raises(ValueError, match="unsupported loss"):
         fit(train.drop("flat_id"), ModelParams(n_estimators=1, loss_function="Huber"))
+
+
+def test_analyze_catalog_table(spark, clean):
+    from martkit.sources.tables import analyze_table
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS public")
+    clean.write.mode("overwrite").saveAsTable("public.mart_clean_test")
+    analyze_table(spark, "public.mart_clean_test")
+    assert table_exists(spark, "public.mart_clean_test")
+    stats = spark.sql("DESCRIBE TABLE EXTENDED public.mart_clean_test").where("col_name = 'Statistics'").first()
+    assert "1165 rows" in stats["data_type"]
+
+
+def test_gates_idempotent(spark, clean):
+    a = sorted(tuple(r) for r in gates.clean_gate(clean).collect())
+    b = sorted(tuple(r) for r in gates.clean_gate(clean).collect())
+    assert a == b
+
+
+def test_publish_table_switches_view(spark, clean, scratch):
+    from martkit.sources.snapshots import publish_table
+
+    m1 = publish_snapshot(clean, scratch, "viewed")
+    publish_table(spark, m1, "marts.clean_current")
+    assert spark.table("marts.clean_current").count() == 1165
+    m2 = publish_snapshot(clean.limit(10), scratch, "viewed")
+    publish_table(spark, m2, "marts.clean_current")
+    assert spark.table("marts.clean_current").count() == 10
