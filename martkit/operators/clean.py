@@ -2,8 +2,8 @@
 
 Order of the published semantics (do not reorder): F1 -> medians/mode on F1 survivors
 -> impute -> F2-F4 -> quartiles on those survivors -> cap with the pre-cap quartiles
--> F5.  Each statistics relation is one row and is joined back with a broadcast
-nested-loop join whose build side is exactly one row.
+-> F5.  Each statistics relation is one row, computed once and used as literals:
+the cleaning plan itself is scan -> filter -> project, inside one codegen stage.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from martkit.functions import (
     floor_rule_joint,
     not_null_positive,
 )
-from martkit.operators.stats import feature_statistics, medians, quantile_stats, quartiles
+from martkit.operators.stats import combine_rows, feature_statistics, literal, medians, quantile_stats, quartiles, row_values
 from martkit.sources.tables import normalise_nan
 
 
@@ -82,19 +82,19 @@ def impute(
         stats = feature_statistics(
             base, spec.medians, spec.modes, quantile_mode=quantile_mode, cardinality=cardinality
         )
-    d = base.alias("d")
-    s = F.broadcast(stats).alias("s")
+    s = row_values(stats)
+    types = dict((f.name, f.dataType) for f in base.schema.fields)
     cols = []
     for c in spec.columns:
         if c in spec.medians:
-            cols.append(F.coalesce(F.col(f"d.{c}"), F.col(f"s.{c}_median")).alias(c))
+            cols.append(F.coalesce(F.col(c), literal(s[f"{c}_median"], "double")).alias(c))
         elif c in spec.modes:
-            cols.append(F.coalesce(F.col(f"d.{c}"), F.col(f"s.{c}_mode")).alias(c))
+            cols.append(F.coalesce(F.col(c), literal(s[f"{c}_mode"], types[c])).alias(c))
         elif c in spec.booleans:
-            cols.append(bool_default(F.col(f"d.{c}")).alias(c))
+            cols.append(bool_default(c).alias(c))
         else:
-            cols.append(F.col(f"d.{c}"))
-    return d.crossJoin(s).select(*cols)
+            cols.append(F.col(c))
+    return base.select(*cols)
 
 
 def consistency_condition(spec: MartSpec = HOUSING, *, floors: str = "independent") -> Column:
@@ -130,22 +130,18 @@ def clip_iqr(
     columns = list(columns)
     if bounds is None:
         bounds = quantile_stats(df, quartiles(columns), quantile_mode, cardinality=cardinality)
-        if min_rows is not None:
-            bounds = bounds.crossJoin(
-                df.agg(*[F.count(c).alias(f"{c}_n") for c in columns])
-            )
-    d = df.alias("d")
-    b = F.broadcast(bounds).alias("b")
+    if min_rows is not None:
+        bounds = combine_rows(bounds, df.agg(*[F.count(c).alias(f"{c}_n") for c in columns]))
+    b = row_values(bounds)
     out = []
     for c in df.columns:
         if c in columns:
-            guard = (F.col(f"b.{c}_n") < min_rows) if min_rows is not None else None
-            out.append(
-                clamp_iqr(F.col(f"d.{c}"), F.col(f"b.{c}_q1"), F.col(f"b.{c}_q3"), k, guard).alias(c)
-            )
+            q1, q3 = literal(b[f"{c}_q1"], "double"), literal(b[f"{c}_q3"], "double")
+            guard = F.lit(b[f"{c}_n"] < min_rows) if min_rows is not None else None
+            out.append(clamp_iqr(c, q1, q3, k, guard).alias(c))
         else:
-            out.append(F.col(f"d.{c}"))
-    return d.crossJoin(b).select(*out)
+            out.append(F.col(c))
+    return df.select(*out)
 
 
 def containment_filter(df: DataFrame, spec: MartSpec = HOUSING) -> DataFrame:
@@ -225,15 +221,10 @@ def clean_exploratory(
     r = r.where(not_null_positive(spec.target) & not_null_positive("rooms"))
     meds = [c for c in spec.medians if c in r.columns]
     if meds:
-        stats = quantile_stats(r, medians(meds), quantile_mode)
-        d, s = r.alias("d"), F.broadcast(stats).alias("s")
-        r = d.crossJoin(s).select(
-            *[
-                F.coalesce(F.col(f"d.{c}"), F.col(f"s.{c}_median")).alias(c)
-                if c in meds
-                else F.col(f"d.{c}")
-                for c in r.columns
-            ]
+        s = row_values(quantile_stats(r, medians(meds), quantile_mode))
+        r = r.select(
+            *[F.coalesce(F.col(c), literal(s[f"{c}_median"], "double")).alias(c) if c in meds else F.col(c)
+              for c in r.columns]
         )
     r = r.where(_all([F.col(c) > 0 for c in spec.positive]))
     r = r.where(_all([contained(a, b) for a, b in spec.contained]))

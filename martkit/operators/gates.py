@@ -47,6 +47,7 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 
 def _dup_count(df: DataFrame, key: str) -> DataFrame:
+    """One row: the number of duplicated keys."""
     return duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("key_unique"))
 
 
@@ -55,8 +56,10 @@ def raw_gate(raw: DataFrame, key: str = "flat_id") -> DataFrame:
     one = raw.agg(
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias("non_empty"),
         F.count_if(F.col(key).isNull()).alias("key_not_null"),
-    ).crossJoin(_dup_count(raw, key))
-    return _stack("raw", one, ["non_empty", "key_not_null", "key_unique"])
+    )
+    return _stack("raw", one, ["non_empty", "key_not_null"]).unionByName(
+        _stack("raw", _dup_count(raw, key), ["key_unique"])
+    )
 
 
 def business_rule_violation(spec: MartSpec = HOUSING) -> Column:
@@ -73,8 +76,10 @@ def clean_gate(clean: DataFrame, spec: MartSpec = HOUSING) -> DataFrame:
     one = clean.agg(
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias("non_empty"),
         F.count_if(business_rule_violation(spec)).alias("business_rules"),
-    ).crossJoin(_dup_count(clean, spec.key))
-    return _stack("clean", one, ["non_empty", "key_unique", "business_rules"])
+    )
+    return _stack("clean", one, ["non_empty", "business_rules"]).unionByName(
+        _stack("clean", _dup_count(clean, spec.key), ["key_unique"])
+    )
 
 
 def clean_input_gate(df: DataFrame, *, exists: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.functions import pct
-from martkit.operators.stats import quantile_stats, quartiles
+from martkit.operators.stats import combine_rows, literal, quantile_stats, quartiles, row_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -60,17 +60,18 @@ def profile_nonpositive(df: DataFrame, columns=NONPOSITIVE_COLUMNS) -> DataFrame
 
 def profile_duplicates(df: DataFrame, key: str | None = "flat_id") -> DataFrame:
     """Whole-row duplicates and key duplicates (2nd+ occurrences; NULLs equal)."""
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.agg(F.count(F.lit(1)).alias("_n"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("_d"))
-    one = total.crossJoin(distinct).select((F.col("_n") - F.col("_d")).alias("dup_all"))
+    parts = [rows, distinct]
     if key is not None and key in df.columns:
-        by_key = (
+        parts.append(
             df.groupBy(key)
             .agg(F.count(F.lit(1)).alias("_c"))
             .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias(f"dup_{key}"))
         )
-        one = one.crossJoin(by_key)
-    return one
+    one = combine_rows(*parts)
+    keep = [f"dup_{key}"] if len(parts) == 3 else []
+    return one.select((F.col("_n") - F.col("_d")).alias("dup_all"), *keep)
 
 
 def profile_outliers(
@@ -80,24 +81,22 @@ def profile_outliers(
     outside them and that number as a percentage of *all* rows (no degenerate-IQR
     guard, as in the exploratory report)."""
     present = [c for c in columns if c in df.columns]
-    q = quantile_stats(df, quartiles(present), quantile_mode)
-    counts = df.alias("d").crossJoin(F.broadcast(q).alias("q")).agg(
+    q = row_values(quantile_stats(df, quartiles(present), quantile_mode))
+    lo, hi = {}, {}
+    for c in present:
+        q1, q3 = literal(q[f"{c}_q1"], "double"), literal(q[f"{c}_q3"], "double")
+        lo[c], hi[c] = q1 - F.lit(k) * (q3 - q1), q3 + F.lit(k) * (q3 - q1)
+    counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[
-            F.count_if(
-                (F.col(f"d.{c}") < F.col(f"q.{c}_q1") - F.lit(k) * (F.col(f"q.{c}_q3") - F.col(f"q.{c}_q1")))
-                | (F.col(f"d.{c}") > F.col(f"q.{c}_q3") + F.lit(k) * (F.col(f"q.{c}_q3") - F.col(f"q.{c}_q1")))
-            ).alias(f"{c}_out")
-            for c in present
-        ],
+        *[F.count_if((F.col(c) < lo[c]) | (F.col(c) > hi[c])).alias(f"{c}_out") for c in present],
     )
     rows = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(c).alias("feature"),
-                    (F.col(f"{c}_q1") - F.lit(k) * (F.col(f"{c}_q3") - F.col(f"{c}_q1"))).alias("iqr_lo"),
-                    (F.col(f"{c}_q3") + F.lit(k) * (F.col(f"{c}_q3") - F.col(f"{c}_q1"))).alias("iqr_hi"),
+                    lo[c].alias("iqr_lo"),
+                    hi[c].alias("iqr_hi"),
                     F.col(f"{c}_out").alias("outliers_cnt"),
                     pct(F.col(f"{c}_out"), F.col("_rows")).alias("outliers_pct"),
                 )
@@ -105,7 +104,7 @@ def profile_outliers(
             ]
         )
     ).alias("r")
-    return counts.crossJoin(q).select(rows).select("r.*")
+    return counts.select(rows).select("r.*")
 
 
 def profile_summary(df: DataFrame, *, quantile_mode: str = "exact", digits: int = 4) -> DataFrame:
@@ -129,7 +128,8 @@ def profile_summary(df: DataFrame, *, quantile_mode: str = "exact", digits: int
                     F.max(c).cast("double").alias(f"{c}__max"),
                 )
             ]
-        ).crossJoin(q)
+        )
+        agg = combine_rows(agg, q)
         parts.append(
             agg.select(
                 F.explode(
@@ -191,9 +191,11 @@ def _three(c):
 
 def profile_shapes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows and columns before and after cleaning."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return b.crossJoin(a).select(
+    one = combine_rows(
+        before.agg(F.count(F.lit(1)).alias("rows_before")),
+        after.agg(F.count(F.lit(1)).alias("rows_after")),
+    )
+    return one.select(
         "rows_before",
         F.lit(len(before.columns)).alias("cols_before"),
         "rows_after",

@@ -12,8 +12,10 @@ Three quantile modes:
 * ``auto``         ``exact`` for columns whose estimated distinct count is at most
                    ``exact_max_distinct``, ``distributed`` for the others.
 
-All of them return a one-row DataFrame, meant to be broadcast-joined back
-(``crossJoin(broadcast(stats))``): its size is one row by construction.
+All of them return a one-row DataFrame.  Row-level consumers (imputation, capping)
+read that single row once (``row_values``) and use the values as literals, so the
+consuming plan has no join and no subquery and stays inside whole-stage codegen.
+Report-style consumers combine one-row frames lazily with ``combine_rows``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +48,35 @@ def quartiles(columns) -> list[QuantileTarget]:
     return out
 
 
+def row_values(one_row: DataFrame) -> dict:
+    """The single row of a statistics frame (a bounded, one-row result)."""
+    row = one_row.first()
+    return row.asDict() if row is not None else {c: None for c in one_row.columns}
+
+
+def literal(value, dtype) -> Column:
+    return F.lit(value).cast(dtype)
+
+
+def combine_rows(*one_rows: DataFrame) -> DataFrame:
+    """Columns of several one-row frames side by side, lazily and without a join:
+    each frame is padded with NULLs to the union of the columns, the frames are
+    stacked, and one global aggregate keeps each column's only non-NULL value."""
+    types = {}
+    for fr in one_rows:
+        for f in fr.schema.fields:
+            types[f.name] = f.dataType
+    cols = list(types)
+    padded = [
+        fr.select(*[F.col(f"`{c}`") if c in fr.columns else F.lit(None).cast(types[c]).alias(c) for c in cols])
+        for fr in one_rows
+    ]
+    stacked = padded[0]
+    for p in padded[1:]:
+        stacked = stacked.unionByName(p)
+    return stacked.agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in cols])
+
+
 # ---------------------------------------------------------------- exact / approx
 
 
@@ -157,11 +188,16 @@ def select_ranks(
         [(tid, key, rank) for tid, (key, rank) in targets.items()],
         "tid string, key string, rank long",
     )
-    w = Window.partitionBy("tid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # running counts per key, then a range match against the (few) wanted ranks
+    w = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cand.withColumn("cum", F.sum("cnt").over(w))
     picked = (
-        cand.join(F.broadcast(tdf), "key")
-        .withColumn("cum", F.sum("cnt").over(w))
-        .where((F.col("cum") - F.col("cnt") <= F.col("rank")) & (F.col("rank") < F.col("cum")))
+        ranked.join(
+            F.broadcast(tdf),
+            (ranked["key"] == tdf["key"])
+            & (ranked["cum"] - ranked["cnt"] <= tdf["rank"])
+            & (tdf["rank"] < ranked["cum"]),
+        )
         .select("tid", "v")
         .collect()
     )
@@ -251,15 +287,12 @@ def quantile_stats(
         big = {c for c in cols if cardinality[c] > exact_max_distinct}
         small_t = [t for t in targets if t.column not in big]
         big_t = [t for t in targets if t.column in big]
-        parts = []
-        if small_t:
-            parts.append(_builtin(df, small_t, None))
-        if big_t:
-            vals = _distributed(df, big_t, checkpoint, **kw)
-            parts.append(_literal_row(df.sparkSession, vals, [t.name for t in big_t]))
-        row = parts[0]
-        for p in parts[1:]:
-            row = row.crossJoin(p)
+        vals = _distributed(df, big_t, checkpoint, **kw) if big_t else {}
+        if not small_t:
+            return _literal_row(df.sparkSession, vals, order)
+        row = _builtin(df, small_t, None).select(
+            "*", *[F.lit(vals[t.name]).cast("double").alias(t.name) for t in big_t]
+        )
         return row.select(*[F.col(f"`{n}`") for n in order])
     raise ValueError(f"unknown quantile mode {mode!r}")
 
@@ -298,5 +331,5 @@ def feature_statistics(
     row = quantile_stats(df, medians(median_cols), quantile_mode, **kw) if median_cols else None
     for c in mode_cols:
         m = mode_value(df, c)
-        row = m if row is None else row.crossJoin(m)
+        row = m if row is None else combine_rows(row, m)
     return row

@@ -26,7 +26,7 @@ from martkit.operators.features import as_category_strings, infer_columns, one_h
 from martkit.operators.model import ModelParams, fit, predict, regression_metrics
 from martkit.operators.raw import build_raw, orphans
 from martkit.operators.split import VALIDATION, exact_split
-from martkit.operators.stats import QuantileTarget, feature_statistics, quantile_stats, quartiles
+from martkit.operators.stats import QuantileTarget, combine_rows, feature_statistics, literal, quantile_stats, quartiles, row_values
 from martkit.plans import oracle as O
 from martkit.sources import fixtures
 from martkit.sources.snapshots import export, publish_snapshot, read_current
@@ -222,16 +222,11 @@ def q_one_hot(spark, d):
 def q_regression_metrics(spark, d):
     """Baseline model: predict the training mean of the target."""
     feats = _split_feats(spark, d)
-    mean = feats.where(~F.col(VALIDATION)).agg(F.avg("label").alias("prediction"))
-    total = feats.agg(F.count(F.lit(1)).alias("_n"))
-    scored = feats.where(F.col(VALIDATION)).crossJoin(F.broadcast(mean)).crossJoin(F.broadcast(total))
-    return _metrics_with_total(scored)
-
-
-def _metrics_with_total(scored):
+    mean = row_values(feats.where(~F.col(VALIDATION)).agg(F.avg("label").alias("m")))["m"]
+    scored = feats.where(F.col(VALIDATION)).withColumn("prediction", literal(mean, "double"))
     m = regression_metrics(scored, rows_total=0, digits=4).drop("rows_total")
-    n = scored.agg(F.max("_n").alias("rows_total"))
-    return m.crossJoin(n).select("rmse", "mae", "r2", "rows_total", "rows_val")
+    total = feats.agg(F.count(F.lit(1)).alias("rows_total"))
+    return combine_rows(m, total).select("rmse", "mae", "r2", "rows_total", "rows_val")
 
 
 def q_csv_roundtrip(spark, d):
