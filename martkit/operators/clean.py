@@ -149,6 +149,77 @@ def containment_filter(df: DataFrame, spec: MartSpec = HOUSING) -> DataFrame:
     return df.where(_all([contained(a, b) for a, b in spec.contained]))
 
 
+class CleanStages:
+    """D5-D8 step by step; each stage is built on first use, once.
+
+    With ``materialise`` the two relations that feed both a statistics pass and the
+    next step (F1 survivors, F2-F4 survivors) are stored once, and in ``auto`` mode
+    their distinct-count estimates are observed by that same job.
+    """
+
+    def __init__(self, raw: DataFrame, spec: MartSpec = HOUSING, *, quantile_mode: str = "exact",
+                 materialise: str | None = None):
+        self.raw, self.spec, self.mode, self.how = raw, spec, quantile_mode, materialise
+        self._cache: dict = {}
+
+    def _once(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def _auto(self) -> bool:
+        return self.mode == "auto"
+
+    def _base(self):
+        return _materialise(base_filter(self.raw, self.spec), self.how, self.spec.medians if self._auto else ())
+
+    @property
+    def base(self) -> DataFrame:
+        return self._once("base", self._base)[0]
+
+    @property
+    def stats(self) -> DataFrame:
+        card = self._once("base", self._base)[1]
+        return self._once(
+            "stats",
+            lambda: feature_statistics(
+                self.base, self.spec.medians, self.spec.modes, quantile_mode=self.mode, cardinality=card
+            ),
+        )
+
+    @property
+    def imputed(self) -> DataFrame:
+        return self._once("imputed", lambda: impute(self.base, self.spec, stats=self.stats))
+
+    def _consistent(self):
+        return _materialise(
+            filter_consistent(self.imputed, self.spec), self.how, self.spec.clips if self._auto else ()
+        )
+
+    @property
+    def consistent(self) -> DataFrame:
+        return self._once("consistent", self._consistent)[0]
+
+    @property
+    def bounds(self) -> DataFrame:
+        card = self._once("consistent", self._consistent)[1]
+        return self._once(
+            "bounds",
+            lambda: quantile_stats(self.consistent, quartiles(self.spec.clips), self.mode, cardinality=card),
+        )
+
+    @property
+    def capped(self) -> DataFrame:
+        return self._once(
+            "capped", lambda: clip_iqr(self.consistent, self.spec.clips, self.spec.iqr_k, bounds=self.bounds)
+        )
+
+    @property
+    def clean(self) -> DataFrame:
+        return self._once("clean", lambda: containment_filter(self.capped, self.spec))
+
+
 def build_clean(
     raw: DataFrame,
     spec: MartSpec = HOUSING,
@@ -162,16 +233,7 @@ def build_clean(
     statistics pass and the next step (F1 survivors, F2-F4 survivors), so the source
     scan + join runs once instead of once per use.
     """
-    auto = quantile_mode == "auto"
-    base, card1 = _materialise(base_filter(raw, spec), materialise, spec.medians if auto else ())
-    imputed = impute(base, spec, quantile_mode=quantile_mode, cardinality=card1)
-    consistent, card2 = _materialise(
-        filter_consistent(imputed, spec), materialise, spec.clips if auto else ()
-    )
-    capped = clip_iqr(
-        consistent, spec.clips, spec.iqr_k, quantile_mode=quantile_mode, cardinality=card2
-    )
-    return containment_filter(capped, spec)
+    return CleanStages(raw, spec, quantile_mode=quantile_mode, materialise=materialise).clean
 
 
 # ---------------------------------------------------------- W1 keep-first dedup
@@ -206,10 +268,12 @@ def clean_exploratory(
     *,
     order_by=None,
     quantile_mode: str = "exact",
+    materialise: str | None = None,
 ) -> DataFrame:
     """The exploratory cleaner.  Differences from ``build_clean``: six required
     columns (others optional), NaN is missing, keep-first dedup before the target
-    filter, no mode imputation, joint floor rule, no capping below 4 values."""
+    filter, no mode imputation, joint floor rule, no capping below 4 values.
+    ``materialise`` stores the two relations read twice (as in ``build_clean``)."""
     require_columns(df.columns, spec.required)
     key = spec.key
     r = normalise_nan(df).where(F.col(key).isNotNull())
@@ -219,6 +283,7 @@ def clean_exploratory(
     if bools:
         r = r.select(*[bool_default(c).alias(c) if c in bools else F.col(c) for c in r.columns])
     r = r.where(not_null_positive(spec.target) & not_null_positive("rooms"))
+    r, _ = _materialise(r, materialise)
     meds = [c for c in spec.medians if c in r.columns]
     if meds:
         s = row_values(quantile_stats(r, medians(meds), quantile_mode))
@@ -230,6 +295,7 @@ def clean_exploratory(
     r = r.where(_all([contained(a, b) for a, b in spec.contained]))
     if spec.floor_rule is not None and set(spec.floor_rule).issubset(r.columns):
         r = r.where(floor_rule_joint(*spec.floor_rule))
+    r, _ = _materialise(r, materialise)
     r = clip_iqr(r, spec.clips, spec.iqr_k, min_rows=4, quantile_mode=quantile_mode)
     return containment_filter(r, spec)
 

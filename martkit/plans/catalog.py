@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from martkit.contract import CLEAN_SCHEMA, EXPORT_COLUMNS, HOUSING, RAW_SCHEMA
 from martkit.operators import gates, profile
 from martkit.operators.clean import (
+    CleanStages,
     base_filter,
     build_clean,
     clean_exploratory,
@@ -54,12 +55,22 @@ def _raw(spark, d, orphan=False) -> DataFrame:
     return build_raw(fixtures.flats(spark, d, orphans=orphan), fixtures.buildings(spark, d))
 
 
+def _raw_stored(spark, d) -> DataFrame:
+    """The raw mart written once to the shared checkpoint folder: later stages read a
+    stored raw mart (as they read the published snapshot in the flow)."""
+    return _raw(spark, d).checkpoint(eager=True)
+
+
 def _clean(spark, d, mode="exact", materialise=None) -> DataFrame:
     return build_clean(_raw(spark, d), SPEC, quantile_mode=mode, materialise=materialise)
 
 
+def _stages(spark, d) -> CleanStages:
+    return CleanStages(_raw(spark, d), SPEC, quantile_mode="auto", materialise="checkpoint")
+
+
 def _consistent(spark, d) -> DataFrame:
-    return filter_consistent(impute(base_filter(_raw(spark, d))))
+    return _stages(spark, d).consistent
 
 
 def _clean_stored(spark, d) -> DataFrame:
@@ -101,7 +112,7 @@ def q_clean_input_gate(spark, d):
 
 
 def q_clean_gate_report(spark, d):
-    return gates.clean_gate(_clean(spark, d), SPEC)
+    return gates.clean_gate(_clean(spark, d, mode="auto", materialise="checkpoint"), SPEC)
 
 
 def q_duplicate_keys(spark, d):
@@ -117,7 +128,7 @@ def q_feature_statistics(spark, d):
 
 
 def q_imputed(spark, d):
-    return impute(base_filter(_raw(spark, d)))
+    return _stages(spark, d).imputed
 
 
 def q_consistent(spark, d):
@@ -125,11 +136,11 @@ def q_consistent(spark, d):
 
 
 def q_iqr_bounds(spark, d):
-    return quantile_stats(_consistent(spark, d), quartiles(SPEC.clips), "exact")
+    return _stages(spark, d).bounds
 
 
 def q_clip_iqr(spark, d):
-    return clip_iqr(_consistent(spark, d), SPEC.clips, SPEC.iqr_k)
+    return _stages(spark, d).capped
 
 
 def q_clean_mart(spark, d):
@@ -150,7 +161,7 @@ def q_lineitem_clip_price(spark, d):
 
 
 def q_clean_exploratory(spark, d):
-    return clean_exploratory(_raw(spark, d), SPEC, order_by=SPEC.key)
+    return clean_exploratory(_raw_stored(spark, d), SPEC, order_by=SPEC.key, materialise="checkpoint")
 
 
 def q_dedup_keep_first(spark, d):
@@ -167,15 +178,15 @@ def q_profile_nonpositive(spark, d):
 
 
 def q_profile_duplicates(spark, d):
-    return profile.profile_duplicates(_raw(spark, d), SPEC.key)
+    return profile.profile_duplicates(_raw_stored(spark, d), SPEC.key)
 
 
 def q_profile_outliers(spark, d):
-    return profile.profile_outliers(_raw(spark, d))
+    return profile.profile_outliers(_raw_stored(spark, d))
 
 
 def q_profile_summary(spark, d):
-    return profile.profile_summary(_raw(spark, d))
+    return profile.profile_summary(_raw_stored(spark, d))
 
 
 def q_profile_info(spark, d):
@@ -183,8 +194,8 @@ def q_profile_info(spark, d):
 
 
 def q_profile_shapes(spark, d):
-    raw = _raw(spark, d)
-    return profile.profile_shapes(raw, clean_exploratory(raw, SPEC, order_by=SPEC.key))
+    raw = _raw_stored(spark, d)
+    return profile.profile_shapes(raw, clean_exploratory(raw, SPEC, order_by=SPEC.key, materialise="checkpoint"))
 
 
 def _li_targets():
@@ -201,7 +212,7 @@ def q_quantiles_distributed(spark, d):
 
 
 def q_target_gate(spark, d):
-    return gates.target_gate(_clean(spark, d), SPEC.target)
+    return gates.target_gate(_clean(spark, d, mode="auto", materialise="checkpoint"), SPEC.target)
 
 
 def q_features(spark, d):
