@@ -74,7 +74,7 @@ def impute(
     spec: MartSpec = HOUSING,
     *,
     stats: DataFrame | None = None,
-    quantile_mode: str = "exact",
+    quantile_mode: str = "auto",
     cardinality: dict | None = None,
 ) -> DataFrame:
     """Median / mode / FALSE defaults; ids and target are never imputed."""
@@ -117,7 +117,7 @@ def clip_iqr(
     k: float = 1.5,
     *,
     min_rows: int | None = None,
-    quantile_mode: str = "exact",
+    quantile_mode: str = "auto",
     bounds: DataFrame | None = None,
     cardinality: dict | None = None,
 ) -> DataFrame:
@@ -157,7 +157,7 @@ class CleanStages:
     their distinct-count estimates are observed by that same job.
     """
 
-    def __init__(self, raw: DataFrame, spec: MartSpec = HOUSING, *, quantile_mode: str = "exact",
+    def __init__(self, raw: DataFrame, spec: MartSpec = HOUSING, *, quantile_mode: str = "auto",
                  materialise: str | None = None):
         self.raw, self.spec, self.mode, self.how = raw, spec, quantile_mode, materialise
         self._cache: dict = {}
@@ -224,7 +224,7 @@ def build_clean(
     raw: DataFrame,
     spec: MartSpec = HOUSING,
     *,
-    quantile_mode: str = "exact",
+    quantile_mode: str = "auto",
     materialise: str | None = None,
 ) -> DataFrame:
     """The published clean mart.
@@ -267,7 +267,7 @@ def clean_exploratory(
     spec: MartSpec = HOUSING,
     *,
     order_by=None,
-    quantile_mode: str = "exact",
+    quantile_mode: str = "auto",
     materialise: str | None = None,
 ) -> DataFrame:
     """The exploratory cleaner.  Differences from ``build_clean``: six required

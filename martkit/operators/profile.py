@@ -75,7 +75,7 @@ def profile_duplicates(df: DataFrame, key: str | None = "flat_id") -> DataFrame:
 
 
 def profile_outliers(
-    df: DataFrame, columns=OUTLIER_COLUMNS, k: float = 1.5, *, quantile_mode: str = "exact"
+    df: DataFrame, columns=OUTLIER_COLUMNS, k: float = 1.5, *, quantile_mode: str = "auto"
 ) -> DataFrame:
     """A10: per column the IQR fences of its non-null values, the number of values
     outside them and that number as a percentage of *all* rows (no degenerate-IQR
@@ -107,7 +107,7 @@ def profile_outliers(
     return counts.select(rows).select("r.*")
 
 
-def profile_summary(df: DataFrame, *, quantile_mode: str = "exact", digits: int = 4) -> DataFrame:
+def profile_summary(df: DataFrame, *, quantile_mode: str = "auto", digits: int = 4) -> DataFrame:
     """Count, unique, top, freq (non-numeric columns), mean, std, min, 25/50/75 %,
     max (numeric columns); quartiles are exact and interpolated.  ``mean``/``std`` are
     rounded to ``digits`` decimals (their last bits depend on summation order)."""

@@ -9,8 +9,9 @@ Three quantile modes:
                    value collapses early), then narrowed by approximate bucket bounds until
                    the bucket holding each wanted rank is small; only that bucket is ranked.
 * ``approx``       ``percentile_approx``; returns an element, no interpolation.
-* ``auto``         ``exact`` for columns whose estimated distinct count is at most
-                   ``exact_max_distinct``, ``distributed`` for the others.
+* ``auto``         ``exact`` for the lowest-cardinality columns while their estimated
+                   distinct counts together stay within ``exact_max_distinct`` (all
+                   their maps meet in one task), ``distributed`` for the others.
 
 All of them return a one-row DataFrame.  Row-level consumers (imputation, capping)
 read that single row once (``row_values``) and use the values as literals, so the
@@ -259,7 +260,7 @@ def _literal_row(spark, values: dict[str, float | None], order) -> DataFrame:
 def quantile_stats(
     df: DataFrame,
     targets: list[QuantileTarget],
-    mode: str = "exact",
+    mode: str = "auto",
     *,
     approx_accuracy: int = 10_000,
     exact_max_distinct: int = 1_000_000,
@@ -284,7 +285,12 @@ def quantile_stats(
         cols = list(dict.fromkeys(t.column for t in targets))
         if cardinality is None or not set(cols) <= set(cardinality):
             cardinality = distinct_estimates(df, cols)
-        big = {c for c in cols if cardinality[c] > exact_max_distinct}
+        budget, small = exact_max_distinct, set()
+        for c in sorted(cols, key=lambda c: cardinality[c]):
+            if cardinality[c] <= budget:
+                small.add(c)
+                budget -= cardinality[c]
+        big = set(cols) - small
         small_t = [t for t in targets if t.column not in big]
         big_t = [t for t in targets if t.column in big]
         vals = _distributed(df, big_t, checkpoint, **kw) if big_t else {}
@@ -324,7 +330,7 @@ def mode_value(df: DataFrame, column: str, alias: str | None = None) -> DataFram
 
 
 def feature_statistics(
-    df: DataFrame, median_cols, mode_cols, *, quantile_mode: str = "exact", **kw
+    df: DataFrame, median_cols, mode_cols, *, quantile_mode: str = "auto", **kw
 ) -> DataFrame:
     """D5 statistics relation: ``<c>_median`` for each median column and
     ``<c>_mode`` for each mode column, as one row."""

@@ -61,7 +61,7 @@ def _raw_stored(spark, d) -> DataFrame:
     return _raw(spark, d).checkpoint(eager=True)
 
 
-def _clean(spark, d, mode="exact", materialise=None) -> DataFrame:
+def _clean(spark, d, mode="auto", materialise=None) -> DataFrame:
     return build_clean(_raw(spark, d), SPEC, quantile_mode=mode, materialise=materialise)
 
 
