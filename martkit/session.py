@@ -28,6 +28,32 @@ SCALE_DEFAULTS = {
 }
 
 
+def scale_conf(
+    input_bytes: int,
+    *,
+    split_bytes: int = 256 << 20,
+    shuffle_bytes: int = 1 << 30,
+    max_shuffle_partitions: int = 50_000,
+) -> dict[str, str]:
+    """Partition sizing for a given input volume.
+
+    Scan splits target ``split_bytes`` (256 MiB per task).  The shuffle starts with
+    one partition per ``shuffle_bytes`` of input (a shuffle carries only the pruned,
+    filtered columns, so real partitions are smaller), capped so the driver's map-
+    output metadata stays small; AQE then coalesces partitions to the advisory size
+    and splits any partition over 4x the median and 1 GiB (skew).
+    """
+    n = max(200, min(max_shuffle_partitions, -(-input_bytes // shuffle_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "martkit",

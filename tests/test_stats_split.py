@@ -114,3 +114,13 @@ def test_split_arguments_checked():
     with pytest.raises(ValueError, match="two rows"):
         validation_size(1, 0.2)
     assert validation_size(119522, 0.2) == 23905
+
+
+def test_scale_conf_sizes_partitions():
+    from martkit.session import scale_conf
+
+    big = scale_conf(100 * 2**40)  # 100 TiB
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert scale_conf(300 * 2**30)["spark.sql.shuffle.partitions"] == "300"
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
