@@ -283,10 +283,11 @@ def clean_exploratory(
     if bools:
         r = r.select(*[bool_default(c).alias(c) if c in bools else F.col(c) for c in r.columns])
     r = r.where(not_null_positive(spec.target) & not_null_positive("rooms"))
-    r, _ = _materialise(r, materialise)
     meds = [c for c in spec.medians if c in r.columns]
+    auto = quantile_mode == "auto"
+    r, card1 = _materialise(r, materialise, meds if auto else ())
     if meds:
-        s = row_values(quantile_stats(r, medians(meds), quantile_mode))
+        s = row_values(quantile_stats(r, medians(meds), quantile_mode, cardinality=card1))
         r = r.select(
             *[F.coalesce(F.col(c), literal(s[f"{c}_median"], "double")).alias(c) if c in meds else F.col(c)
               for c in r.columns]
@@ -295,7 +296,7 @@ def clean_exploratory(
     r = r.where(_all([contained(a, b) for a, b in spec.contained]))
     if spec.floor_rule is not None and set(spec.floor_rule).issubset(r.columns):
         r = r.where(floor_rule_joint(*spec.floor_rule))
-    r, _ = _materialise(r, materialise)
-    r = clip_iqr(r, spec.clips, spec.iqr_k, min_rows=4, quantile_mode=quantile_mode)
+    r, card2 = _materialise(r, materialise, spec.clips if auto else ())
+    r = clip_iqr(r, spec.clips, spec.iqr_k, min_rows=4, quantile_mode=quantile_mode, cardinality=card2)
     return containment_filter(r, spec)
 

@@ -110,44 +110,51 @@ def profile_outliers(
 def profile_summary(df: DataFrame, *, quantile_mode: str = "auto", digits: int = 4) -> DataFrame:
     """Count, unique, top, freq (non-numeric columns), mean, std, min, 25/50/75 %,
     max (numeric columns); quartiles are exact and interpolated.  ``mean``/``std`` are
-    rounded to ``digits`` decimals (their last bits depend on summation order)."""
+    rounded to ``digits`` decimals (their last bits depend on summation order).
+
+    Passes: one for the moments (which also yields the distinct-count estimates that
+    pick the quantile mode), one for the quartiles, one for the categorical counts.
+    """
     nums = [c for c in df.columns if _is_numeric(df, c)]
     cats = [c for c in df.columns if c not in nums]
     parts = []
     if nums:
-        q = quantile_stats(df, [t for c in nums for t in _three(c)], quantile_mode)
-        agg = df.agg(
-            *[
-                e
-                for c in nums
-                for e in (
-                    F.count(c).alias(f"{c}__count"),
-                    F.round(F.avg(c), digits).alias(f"{c}__mean"),
-                    F.round(F.stddev_samp(c), digits).alias(f"{c}__std"),
-                    F.min(c).cast("double").alias(f"{c}__min"),
-                    F.max(c).cast("double").alias(f"{c}__max"),
-                )
-            ]
+        mom = row_values(
+            df.agg(
+                *[
+                    e
+                    for c in nums
+                    for e in (
+                        F.count(c).alias(f"{c}__count"),
+                        F.round(F.avg(c), digits).alias(f"{c}__mean"),
+                        F.round(F.stddev_samp(c), digits).alias(f"{c}__std"),
+                        F.min(c).cast("double").alias(f"{c}__min"),
+                        F.max(c).cast("double").alias(f"{c}__max"),
+                        F.approx_count_distinct(c).alias(f"{c}__hll"),
+                    )
+                ]
+            )
         )
-        agg = combine_rows(agg, q)
+        card = {c: mom[f"{c}__hll"] for c in nums}
+        q = quantile_stats(df, [t for c in nums for t in _three(c)], quantile_mode, cardinality=card)
         parts.append(
-            agg.select(
+            q.select(
                 F.explode(
                     F.array(
                         *[
                             F.struct(
                                 F.lit(c).alias("column"),
-                                F.col(f"{c}__count").alias("count"),
+                                literal(mom[f"{c}__count"], "long").alias("count"),
                                 F.lit(None).cast("long").alias("unique"),
                                 F.lit(None).cast("string").alias("top"),
                                 F.lit(None).cast("long").alias("freq"),
-                                F.col(f"{c}__mean").alias("mean"),
-                                F.col(f"{c}__std").alias("std"),
-                                F.col(f"{c}__min").alias("min"),
+                                literal(mom[f"{c}__mean"], "double").alias("mean"),
+                                literal(mom[f"{c}__std"], "double").alias("std"),
+                                literal(mom[f"{c}__min"], "double").alias("min"),
                                 F.col(f"{c}__p25").alias("p25"),
                                 F.col(f"{c}__p50").alias("p50"),
                                 F.col(f"{c}__p75").alias("p75"),
-                                F.col(f"{c}__max").alias("max"),
+                                literal(mom[f"{c}__max"], "double").alias("max"),
                             )
                             for c in nums
                         ]

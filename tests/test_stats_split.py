@@ -114,6 +114,8 @@ def test_split_arguments_checked():
     with pytest.raises(ValueError, match="two rows"):
         validation_size(1, 0.2)
     assert validation_size(119522, 0.2) == 23905
+    with pytest.raises(ValueError, match="training part would be empty"):
+        validation_size(2, 0.9)
 
 
 def test_scale_conf_sizes_partitions():
