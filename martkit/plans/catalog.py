@@ -240,6 +240,21 @@ def q_regression_metrics(spark, d):
     return combine_rows(m, total).select("rmse", "mae", "r2", "rows_total", "rows_val")
 
 
+def q_features_from_csv(spark, d):
+    from martkit.operators.features import load_features_and_target
+
+    path = scratch_path(spark, "export") + "/dataset.csv"
+    export(_clean_stored(spark, d), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="csv")
+    feats, _ = load_features_and_target(spark, path, CLEAN_SCHEMA, SPEC.target)
+    return feats
+
+
+def q_profile_nulls_clean_top15(spark, d):
+    """Top-15 NULL counts of the exploratory-cleaned mart (the limit is the report)."""
+    clean = clean_exploratory(_raw_stored(spark, d), SPEC, order_by=SPEC.key, materialise="checkpoint")
+    return profile.profile_nulls(clean, top=15)
+
+
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "export") + "/dataset.csv"
     export(_clean(spark, d), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="csv")
@@ -305,6 +320,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "one_hot": q_one_hot,
     "regression_metrics": q_regression_metrics,
     "csv_roundtrip": q_csv_roundtrip,
+    "features_from_csv": q_features_from_csv,
+    "profile_nulls_clean_top15": q_profile_nulls_clean_top15,
     "publish_snapshot": q_publish_snapshot,
     "gbt_evaluate": q_gbt_evaluate,
     "end_to_end_report": q_end_to_end_report,
@@ -600,6 +617,17 @@ def oracle_sql() -> dict[str, str]:
         "one_hot": _one_hot_sql(),
         "regression_metrics": _metrics_sql(),
         "csv_roundtrip": _w(_H, "SELECT * FROM clean"),
+        "features_from_csv": _w(_H, _feature_select()),
+        "profile_nulls_clean_top15": _w(
+            _exploratory_ctes(),
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL"
+                + (f" OR isnan({c})" if c in _DOUBLES or c in ("floor", "build_year", "flats_count", "floors_total") else "")
+                + ") AS nulls FROM explo"
+                for c in EXPORT_COLUMNS
+            )
+            + ' ORDER BY nulls DESC, "column" LIMIT 15',
+        ),
         "publish_snapshot": _w(_RAW, "SELECT * FROM raw"),
         "end_to_end_report": _e2e_sql(),
     }

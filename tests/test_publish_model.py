@@ -196,3 +196,29 @@ def test_publish_table_switches_view(spark, clean, scratch):
     m2 = publish_snapshot(clean.limit(10), scratch, "viewed")
     publish_table(spark, m2, "marts.clean_current")
     assert spark.table("marts.clean_current").count() == 10
+
+
+def test_run_flow_publishes_everything(spark, sf001, scratch):
+    from martkit.plans.flow import run_flow
+    from martkit.sources.tables import path_exists
+
+    res = run_flow(
+        fixtures.flats(spark, sf001), fixtures.buildings(spark, sf001), scratch,
+        params=ModelParams(n_estimators=3, max_depth=3),
+    )
+    assert [s[0] for s in res.stages] == ["raw", "clean", "export", "split", "model"]
+    assert res.raw_manifest["rows"] == 1500 and res.clean_manifest["rows"] == 1165
+    assert res.metrics["rows_total"] == 1165 and res.metrics["rows_val"] == 233
+    assert path_exists(spark, f"{scratch}/metrics.json") and path_exists(spark, res.export_path)
+    assert res.model_manifest["stages"][-1] == "GBTRegressionModel"
+
+
+def test_load_features_from_csv(spark, clean, scratch):
+    from martkit.operators.features import load_features_and_target
+
+    path = f"{scratch}/d.csv"
+    export(clean, path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA)
+    feats, n = load_features_and_target(spark, path, CLEAN_SCHEMA)
+    assert n == 1165 and same(feats, prepare_features(clean))
+    with pytest.raises(FileNotFoundError):
+        load_features_and_target(spark, f"{scratch}/missing.csv", CLEAN_SCHEMA)
