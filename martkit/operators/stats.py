@@ -121,10 +121,31 @@ def _materialise(df: DataFrame, checkpoint: bool) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _rank_in(v: Column, bounds: list[float], lo: int, hi: int) -> Column:
+    """Number of ``bounds`` (sorted) below ``v``: a binary search written as nested
+    CASE expressions, so it runs in generated code with log2(len) comparisons."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v > F.lit(bounds[mid]), _rank_in(v, bounds, mid + 1, hi)).otherwise(
+        _rank_in(v, bounds, lo, mid)
+    )
+
+
+def _bucket_of(bounds_by_key: dict[str, list[float]]) -> Column:
+    v = F.col("v")
+    expr = None
+    for key, bounds in bounds_by_key.items():
+        tree = _rank_in(v, bounds, 0, len(bounds))
+        expr = F.when(F.col("key") == key, tree) if expr is None else expr.when(F.col("key") == key, tree)
+    return expr
+
+
 def select_ranks(
     values: DataFrame,
     wanted: list[tuple[str, str, int]],
     *,
+    sizes: dict[str, int] | None = None,
     buckets: int = 256,
     max_candidates: int = 2_000_000,
     accuracy: int = 10_000,
@@ -134,57 +155,66 @@ def select_ranks(
     """Exact order statistics: for each ``(target_id, key, rank)`` the value at 0-based
     ``rank`` of ``values(key, v, cnt)`` in ascending ``v`` (ranks weighted by ``cnt``).
 
-    Each round keeps only the approximate-bound bucket containing each wanted rank,
-    so the candidate set shrinks by about ``buckets`` per round.  Driver-side data
-    is bounded by ``len(wanted) * buckets`` rows; the final ranking window is per
-    target over at most ``max_candidates`` distinct values.
+    Each round splits every key with more than ``max_candidates`` distinct values
+    into ``buckets`` ranges at approximate quantiles, counts rows per range and keeps
+    only the range holding each wanted rank, so those candidates shrink by about
+    ``buckets`` per round (passes: bounds, counts, next candidates).  What reaches the
+    driver is bounded by ``len(wanted) * buckets``; the final ranking window is per
+    key over at most ``max_candidates`` distinct values.  ``sizes`` (distinct values
+    per key) saves the first counting pass when the caller knows them.
     """
     spark = values.sparkSession
     if not wanted:
         return {}
     cand = values.select("key", "v", "cnt")
     targets = {tid: (key, rank) for tid, key, rank in wanted}
+    if sizes is None:
+        sizes = dict(cand.groupBy("key").count().collect())
     owned = []  # frames to release at the end
     for _ in range(max_rounds):
-        live_keys = sorted({k for k, _ in targets.values()})
-        sizes = dict(
-            cand.where(F.col("key").isin(live_keys)).groupBy("key").count().collect()
-        )
-        if all(sizes.get(k, 0) <= max_candidates for k in live_keys):
+        big = sorted({k for k, _ in targets.values() if sizes.get(k, 0) > max_candidates})
+        if not big:
             break
         probs = [i / buckets for i in range(1, buckets)]
-        bounds = cand.groupBy("key").agg(
-            F.percentile_approx("v", probs, accuracy).alias("bounds")
-        )
-        # bounds: one row per key, `buckets` doubles each -> a checked, bounded broadcast
-        with_b = cand.join(F.broadcast(bounds), "key").withColumn(
-            "b", F.size(F.filter("bounds", lambda x: x < F.col("v")))
-        )
+        # per big key `buckets - 1` sorted doubles: bounded by len(wanted) * buckets
+        bounds = {
+            r["key"]: sorted(r["bounds"])
+            for r in cand.where(F.col("key").isin(big))
+            .groupBy("key")
+            .agg(F.percentile_approx("v", probs, accuracy).alias("bounds"))
+            .collect()
+        }
+        with_b = cand.where(F.col("key").isin(big)).withColumn("b", _bucket_of(bounds))
         counts = (
-            with_b.groupBy("key", "b").agg(F.sum("cnt").alias("n")).collect()
+            with_b.groupBy("key", "b")
+            .agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d"))
+            .collect()
         )
-        per_key: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        per_key: dict[str, list[tuple[int, int, int]]] = defaultdict(list)
         for r in counts:
-            per_key[r["key"]].append((r["b"], r["n"]))
-        route, new_targets = [], {}
+            per_key[r["key"]].append((r["b"], r["n"], r["d"]))
+        route, new_targets, new_sizes = [], {}, {}
         for tid, (key, rank) in targets.items():
+            if key not in bounds:  # small enough already: carried over as it is
+                new_targets[tid], new_sizes[key] = (key, rank), sizes[key]
+                continue
             start = 0
-            for b, n in sorted(per_key[key]):
+            for b, n, dcount in sorted(per_key[key]):
                 if start <= rank < start + n:
                     route.append((key, b, tid))
                     new_targets[tid] = (tid, rank - start)
+                    new_sizes[tid] = dcount
                     break
                 start += n
-        route_df = spark.createDataFrame(
-            route, "key string, b int, tid string"
-        )
-        nxt = (
+        route_df = spark.createDataFrame(route, "key string, b int, tid string")
+        narrowed = (
             with_b.join(F.broadcast(route_df), ["key", "b"])
             .select(F.col("tid").alias("key"), "v", "cnt")
         )
-        nxt = _materialise(nxt, checkpoint)
+        kept = cand.where(~F.col("key").isin(big))
+        nxt = _materialise(narrowed.unionByName(kept), checkpoint)
         owned.append(nxt)
-        cand, targets = nxt, new_targets
+        cand, targets, sizes = nxt, new_targets, new_sizes
     tdf = spark.createDataFrame(
         [(tid, key, rank) for tid, (key, rank) in targets.items()],
         "tid string, key string, rank long",
@@ -224,7 +254,9 @@ def _distributed(df: DataFrame, targets, checkpoint: bool, **kw) -> dict[str, fl
     cols = list(dict.fromkeys(t.column for t in targets))
     vc = _materialise(value_counts_long(df, cols), checkpoint)
     try:
-        totals = dict(vc.groupBy("key").agg(F.sum("cnt")).collect())
+        per_key = vc.groupBy("key").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+        totals = {r["key"]: r["n"] for r in per_key}
+        sizes = {r["key"]: r["d"] for r in per_key}
         wanted, plan = [], {}
         for t in targets:
             n = totals.get(t.column, 0) or 0
@@ -235,7 +267,7 @@ def _distributed(df: DataFrame, targets, checkpoint: bool, **kw) -> dict[str, fl
             lo, hi = math.floor(pos), math.ceil(pos)
             wanted += [(f"{t.name}#lo", t.column, lo), (f"{t.name}#hi", t.column, hi)]
             plan[t.name] = (pos, lo, hi)
-        got = select_ranks(vc, wanted, checkpoint=checkpoint, **kw)
+        got = select_ranks(vc, wanted, sizes=sizes, checkpoint=checkpoint, **kw)
     finally:
         if vc.is_cached:
             vc.unpersist()

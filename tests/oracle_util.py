@@ -34,10 +34,19 @@ def rows_of(records, cols, digits):
     )
 
 
+# DuckDB result type -> Spark simpleString
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def compare(spark_df, sql: str, sf_dir: str, digits: int | None = 9):
-    """Return (ok, detail).  Columns compared by name, rows order-insensitively."""
-    pdf = spark_df.toPandas()
+    """Return (ok, detail).  Columns compared by name and type, rows order-insensitively."""
     con = duck(sf_dir)
+    rel = con.sql(sql)
+    otypes = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    stypes = dict(spark_df.dtypes)
+    if otypes != stypes:
+        return False, f"types differ: spark={stypes} oracle={otypes}"
+    pdf = spark_df.toPandas()
     odf = con.execute(sql).df()
     sc, oc = sorted(pdf.columns), sorted(odf.columns)
     if sc != oc:
