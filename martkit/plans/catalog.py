@@ -363,10 +363,11 @@ def _quartile_row(cols, rel):
 def _clip_sql(rel_sql, cols, clip_cols):
     bounds = O.iqr_bounds_sql(clip_cols, "src")
     sel = ", ".join(
-        O.clamp_sql(f"d.{c}", f"b.{c}_q1", f"b.{c}_q3", 1.5) + f" AS {c}" if c in clip_cols else f"d.{c}"
+        O.clamp_sql(f"d.{c}", f"(SELECT {c}_q1 FROM b)", f"(SELECT {c}_q3 FROM b)", 1.5) + f" AS {c}"
+        if c in clip_cols else f"d.{c}"
         for c in cols
     )
-    return f"WITH src AS ({rel_sql}), b AS ({bounds}) SELECT {sel} FROM src AS d CROSS JOIN b"
+    return f"WITH src AS ({rel_sql}), b AS ({bounds}) SELECT {sel} FROM src AS d"
 
 
 def _exploratory_ctes():
@@ -378,17 +379,22 @@ def _exploratory_ctes():
     b = ", ".join(f"COALESCE({c}, FALSE) AS {c}" if c in SPEC.booleans else c for c in cols)
     e2 = f"SELECT {b} FROM e1 WHERE price IS NOT NULL AND price > 0 AND rooms IS NOT NULL AND rooms > 0"
     s = "SELECT " + ", ".join(f"percentile_cont(0.5) WITHIN GROUP (ORDER BY {c}) AS {c}_median" for c in SPEC.medians) + " FROM e2"
-    imp = ", ".join(f"COALESCE(d.{c}, s.{c}_median) AS {c}" if c in SPEC.medians else f"d.{c}" for c in cols)
-    e3 = f"SELECT {imp} FROM e2 AS d CROSS JOIN es AS s"
+    imp = ", ".join(
+        f"COALESCE(d.{c}, (SELECT {c}_median FROM es)) AS {c}" if c in SPEC.medians else f"d.{c}" for c in cols
+    )
+    e3 = f"SELECT {imp} FROM e2 AS d"
     e4 = f"SELECT * FROM e3 WHERE {O.consistency_sql(SPEC, floors='joint')}"
     qb = O.iqr_bounds_sql(SPEC.clips, "e4")
     qb = qb.replace(" FROM e4", ", " + ", ".join(f"count({c}) AS {c}_n" for c in SPEC.clips) + " FROM e4")
     cap = ", ".join(
-        O.clamp_sql(f"d.{c}", f"b.{c}_q1", f"b.{c}_q3", 1.5, guard=f"b.{c}_n < 4") + f" AS {c}"
+        O.clamp_sql(
+            f"d.{c}", f"(SELECT {c}_q1 FROM eb)", f"(SELECT {c}_q3 FROM eb)", 1.5,
+            guard=f"(SELECT {c}_n FROM eb) < 4",
+        ) + f" AS {c}"
         if c in SPEC.clips else f"d.{c}"
         for c in cols
     )
-    e5 = f"SELECT {cap} FROM e4 AS d CROSS JOIN eb AS b"
+    e5 = f"SELECT {cap} FROM e4 AS d"
     f5 = " AND ".join(f"{a} <= {b}" for a, b in SPEC.contained)
     return _RAW + [("e1", dedup), ("e2", e2), ("es", s), ("e3", e3), ("e4", e4), ("eb", qb),
                    ("e5", e5), ("explo", f"SELECT * FROM e5 WHERE {f5}")]
@@ -501,12 +507,15 @@ def _one_hot_sql():
         f"SELECT DISTINCT '{c}' AS col, {c} AS val FROM fs WHERE NOT is_validation" for c in _ONEHOT_CATS
     )
     ctes.append(("cats", cats))
-    match = " OR ".join(f"(c.col = '{c}' AND f.{c} = c.val)" for c in _ONEHOT_CATS)
+    ctes.append(("cat_list", "SELECT list(struct_pack(col := col, val := val)) AS l FROM cats"))
+    match = " OR ".join(f"(x.col = '{c}' AND f.{c} = x.val)" for c in _ONEHOT_CATS)
     return _w(
         ctes,
-        f"SELECT f.flat_id, c.col || '=' || c.val AS feature, "
-        f"CASE WHEN {match} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS value "
-        f"FROM fs f CROSS JOIN cats c",
+        "SELECT flat_id, z.feature AS feature, z.value AS value FROM ("
+        "SELECT f.flat_id, unnest(list_transform((SELECT l FROM cat_list), lambda x: struct_pack("
+        "feature := x.col || '=' || x.val, "
+        f"value := CASE WHEN {match} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END))) AS z "
+        "FROM fs f) t",
     )
 
 
@@ -514,7 +523,7 @@ def _metrics_sql():
     ctes = _H + [("feats", _feature_select()), ("sp", _split_cte())]
     ctes.append(("j", "SELECT f.label, s.is_validation FROM feats f JOIN sp s USING (flat_id)"))
     ctes.append(("m", "SELECT avg(label) AS prediction FROM j WHERE NOT is_validation"))
-    ctes.append(("v", "SELECT j.label, m.prediction FROM j CROSS JOIN m WHERE j.is_validation"))
+    ctes.append(("v", "SELECT j.label, (SELECT prediction FROM m) AS prediction FROM j WHERE j.is_validation"))
     return _w(
         ctes,
         "SELECT round(sqrt(avg((label - prediction) * (label - prediction))), 4) AS rmse, "

@@ -101,23 +101,23 @@ def clean_ctes(spec: MartSpec = HOUSING, *, source: str = "raw") -> list[tuple[s
     imp = []
     for c in cols:
         if c in spec.medians:
-            imp.append(f"COALESCE(d.{c}, s.{c}_median) AS {c}")
+            imp.append(f"COALESCE(d.{c}, (SELECT {c}_median FROM fstats)) AS {c}")
         elif c in spec.modes:
-            imp.append(f"COALESCE(d.{c}, s.{c}_mode) AS {c}")
+            imp.append(f"COALESCE(d.{c}, (SELECT {c}_mode FROM fstats)) AS {c}")
         elif c in spec.booleans:
             imp.append(f"COALESCE(d.{c}, FALSE) AS {c}")
         else:
             imp.append(f"d.{c} AS {c}")
-    imputed = f"SELECT {', '.join(imp)} FROM base AS d CROSS JOIN fstats AS s"
+    imputed = f"SELECT {', '.join(imp)} FROM base AS d"
     consistent = f"SELECT * FROM imputed WHERE {consistency_sql(spec)}"
     bounds = iqr_bounds_sql(spec.clips, "consistent")
     cap = [
-        clamp_sql(f"d.{c}", f"b.{c}_q1", f"b.{c}_q3", spec.iqr_k) + f" AS {c}"
+        clamp_sql(f"d.{c}", f"(SELECT {c}_q1 FROM bounds)", f"(SELECT {c}_q3 FROM bounds)", spec.iqr_k) + f" AS {c}"
         if c in spec.clips
         else f"d.{c} AS {c}"
         for c in cols
     ]
-    capped = f"SELECT {', '.join(cap)} FROM consistent AS d CROSS JOIN bounds AS b"
+    capped = f"SELECT {', '.join(cap)} FROM consistent AS d"
     f5 = _and([f"{a} <= {b}" for a, b in spec.contained])
     clean = f"SELECT * FROM capped WHERE {f5}"
     return [
