@@ -137,3 +137,11 @@ def test_target_gate_bad_values(spark):
     df = spark.createDataFrame([("1.5",), ("abc",), ("inf",), ("",), ("-2",)], "price string")
     rows = {r["rule"]: r["violations"] for r in gates.target_gate(df, "price").collect()}
     assert rows == {"non_empty": 0, "target_valid": 3, "target_positive": 1}
+
+
+def test_duplicate_key_fails_clean_gate(spark, raw):
+    clean = build_clean(raw)
+    doubled = clean.unionByName(clean.limit(1))
+    with pytest.raises(GateError) as e:
+        gates.enforce(gates.clean_gate(doubled))
+    assert [f["rule"] for f in e.value.failures] == ["key_unique"]
