@@ -94,7 +94,7 @@ def main(argv=None, spark=None) -> dict:
     elif a.cmd == "clean":
         raw = read_current(spark, a.root, "raw")
         gates.enforce(gates.clean_input_gate(raw))
-        clean = build_clean(raw, HOUSING, quantile_mode="auto", materialise="checkpoint")
+        clean = build_clean(raw, HOUSING, quantile_mode="auto")  # re-scans the snapshot
         out = publish_snapshot(clean, a.root, "clean",
                                gates=[lambda d: gates.clean_gate(d, HOUSING)], cluster_by=HOUSING.key)
     elif a.cmd == "export":

@@ -230,8 +230,11 @@ def build_clean(
     """The published clean mart.
 
     ``materialise`` ("persist" | "checkpoint") stores the two relations that feed both a
-    statistics pass and the next step (F1 survivors, F2-F4 survivors), so the source
-    scan + join runs once instead of once per use.
+    statistics pass and the next step (F1 survivors, F2-F4 survivors), so an expensive
+    input (e.g. the source join) is computed once instead of once per use.  Leave it
+    off when ``raw`` is a stored snapshot: every step after it is row-local with
+    literal statistics, and re-scanning pruned Parquet columns is cheaper than
+    writing two copies of the mart.
     """
     return CleanStages(raw, spec, quantile_mode=quantile_mode, materialise=materialise).clean
 
