@@ -25,7 +25,7 @@ from martkit.operators.model import ModelParams
 from martkit.operators.raw import build_raw
 from martkit.operators.split import train_validation
 from martkit.session import get_session
-from martkit.sources.snapshots import export, publish_snapshot, read_current
+from martkit.sources.snapshots import current_manifest, export, publish_snapshot, read_current
 from martkit.sources.tables import quote_table
 
 # Stage defaults of the modelled pipeline's parameters.
@@ -90,11 +90,13 @@ def main(argv=None, spark=None) -> dict:
         f, b = _read(spark, a.flats), _read(spark, a.buildings)
         gates.enforce(gates.source_gate(f, b))
         out = publish_snapshot(build_raw(f, b), a.root, "raw",
-                               gates=[lambda d: gates.raw_gate(d, HOUSING.key)], cluster_by=HOUSING.key)
+                               gates=[lambda d: gates.raw_gate(d, HOUSING.key)], cluster_by=HOUSING.key,
+                               analyze=list(HOUSING.medians) + list(HOUSING.clips))
     elif a.cmd == "clean":
         raw = read_current(spark, a.root, "raw")
         gates.enforce(gates.clean_input_gate(raw))
-        clean = build_clean(raw, HOUSING, quantile_mode="auto")  # re-scans the snapshot
+        stats = current_manifest(spark, a.root, "raw").get("distinct") or None
+        clean = build_clean(raw, HOUSING, quantile_mode="auto", cardinality=stats)  # re-scans the snapshot
         out = publish_snapshot(clean, a.root, "clean",
                                gates=[lambda d: gates.clean_gate(d, HOUSING)], cluster_by=HOUSING.key)
     elif a.cmd == "export":

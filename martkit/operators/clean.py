@@ -158,8 +158,12 @@ class CleanStages:
     """
 
     def __init__(self, raw: DataFrame, spec: MartSpec = HOUSING, *, quantile_mode: str = "auto",
-                 materialise: str | None = None):
+                 materialise: str | None = None, cardinality: dict | None = None):
+        """``cardinality``: distinct-count estimates of ``raw``'s columns (e.g. from the
+        snapshot manifest).  Every later relation is a filtered subset of ``raw`` plus
+        at most one imputed value per column, so they bound its distinct counts."""
         self.raw, self.spec, self.mode, self.how = raw, spec, quantile_mode, materialise
+        self.hint = {k: v + 1 for k, v in cardinality.items()} if cardinality else None
         self._cache: dict = {}
 
     def _once(self, name, build):
@@ -172,7 +176,9 @@ class CleanStages:
         return self.mode == "auto"
 
     def _base(self):
-        return _materialise(base_filter(self.raw, self.spec), self.how, self.spec.medians if self._auto else ())
+        observe = self.spec.medians if self._auto and not self.hint else ()
+        df, card = _materialise(base_filter(self.raw, self.spec), self.how, observe)
+        return df, card or self.hint
 
     @property
     def base(self) -> DataFrame:
@@ -193,9 +199,9 @@ class CleanStages:
         return self._once("imputed", lambda: impute(self.base, self.spec, stats=self.stats))
 
     def _consistent(self):
-        return _materialise(
-            filter_consistent(self.imputed, self.spec), self.how, self.spec.clips if self._auto else ()
-        )
+        observe = self.spec.clips if self._auto and not self.hint else ()
+        df, card = _materialise(filter_consistent(self.imputed, self.spec), self.how, observe)
+        return df, card or self.hint
 
     @property
     def consistent(self) -> DataFrame:
@@ -226,6 +232,7 @@ def build_clean(
     *,
     quantile_mode: str = "auto",
     materialise: str | None = None,
+    cardinality: dict | None = None,
 ) -> DataFrame:
     """The published clean mart.
 
@@ -236,7 +243,9 @@ def build_clean(
     literal statistics, and re-scanning pruned Parquet columns is cheaper than
     writing two copies of the mart.
     """
-    return CleanStages(raw, spec, quantile_mode=quantile_mode, materialise=materialise).clean
+    return CleanStages(
+        raw, spec, quantile_mode=quantile_mode, materialise=materialise, cardinality=cardinality
+    ).clean
 
 
 # ---------------------------------------------------------- W1 keep-first dedup

@@ -81,12 +81,16 @@ def publish_snapshot(
     run_id: str | None = None,
     expected_rows: int | None = None,
     cluster_by: str | None = None,
+    analyze=(),
 ) -> dict:
     """Stage ``df`` as a new snapshot, gate it, publish it.
 
     ``gates`` are callables ``DataFrame -> report DataFrame`` run on the re-read
     snapshot.  ``cluster_by`` sorts rows within each file by that key (S16: no index
     in Spark; clustered files keep min/max statistics selective on the key).
+    ``analyze`` (S15) lists columns whose distinct-count estimates are gathered by
+    the verification pass and stored in the manifest (``distinct``), for later
+    stages to plan with; without it the row count comes from the Parquet footers.
     """
     run_id = run_id or new_run_id()
     base = f"{root.rstrip('/')}/{mart}"
@@ -97,7 +101,18 @@ def publish_snapshot(
     try:
         written = spark.read.parquet(uri)
         reports = [enforce(g(written)) for g in gates]
-        rows = written.count()  # Parquet footers: no data pages read
+        distinct = {}
+        if analyze:
+            from pyspark.sql import functions as F
+
+            one = written.agg(
+                F.count(F.lit(1)).alias("_rows"),
+                *[F.approx_count_distinct(c).alias(c) for c in dict.fromkeys(analyze)],
+            ).first().asDict()
+            rows = one.pop("_rows")
+            distinct = one
+        else:
+            rows = written.count()  # Parquet footers: no data pages read
         if expected_rows is not None and rows != expected_rows:
             raise GateError("publish", [{"rule": "row_count", "violations": abs(rows - expected_rows)}])
     except Exception:
@@ -107,6 +122,7 @@ def publish_snapshot(
         "run_id": run_id,
         "uri": uri,
         "rows": rows,
+        "distinct": distinct,
         "published_utc": datetime.now(timezone.utc).isoformat(),
         "gates": [r for rep in reports for r in rep],
     }

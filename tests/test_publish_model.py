@@ -222,3 +222,14 @@ def test_load_features_from_csv(spark, clean, scratch):
     assert n == 1165 and same(feats, prepare_features(clean))
     with pytest.raises(FileNotFoundError):
         load_features_and_target(spark, f"{scratch}/missing.csv", CLEAN_SCHEMA)
+
+
+def test_publish_analyze_feeds_clean_stage(spark, sf001, scratch):
+    raw = build_raw(fixtures.flats(spark, sf001), fixtures.buildings(spark, sf001))
+    m = publish_snapshot(raw, scratch, "raw_an", analyze=["price", "floor"])
+    assert m["rows"] == 1500 and set(m["distinct"]) == {"price", "floor"}
+    assert 10 <= m["distinct"]["floor"] <= 14
+    pub = read_current(spark, scratch, "raw_an")
+    card = {c: 10**9 for c in raw.columns}  # forces the distributed path everywhere
+    a = build_clean(pub, cardinality=card)
+    assert same(a, build_clean(raw, quantile_mode="exact"))
