@@ -195,7 +195,7 @@ def current_model(spark: SparkSession, root: str, name: str):
 
     m = current_manifest(spark, root, name)
     if m is None:
-        raise FileNotFoundError(f"Model not found: {root}/{name}")
+        raise FileNotFoundError(f"no published model {name!r} under {root}")
     return PipelineModel.load(m["uri"])
 
 

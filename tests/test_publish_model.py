@@ -111,7 +111,7 @@ def test_prepare_features_types_and_gates(spark, clean):
         prepare_features(clean.withColumn("price", F.lit(0.0)))
     with pytest.raises(GateError, match="integral"):
         prepare_features(clean.withColumn("building_type_int", F.lit(2.5)))
-    with pytest.raises(ContractError, match="no usable"):
+    with pytest.raises(ContractError, match="no feature columns remain"):
         prepare_features(clean.select("flat_id", "building_id", "price"))
 
 
