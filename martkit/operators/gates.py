@@ -46,20 +46,19 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     )
 
 
-def _dup_count(df: DataFrame, key: str) -> DataFrame:
-    """One row: the number of duplicated keys."""
-    return duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("key_unique"))
+def _per_key(df: DataFrame, key: str, *extra) -> DataFrame:
+    """One shuffle: rows per key (map-side combined), plus extra per-key counters."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_c"), *extra)
 
 
 def raw_gate(raw: DataFrame, key: str = "flat_id") -> DataFrame:
-    """D3: non-empty, key not NULL, key unique."""
-    one = raw.agg(
-        F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias("non_empty"),
-        F.count_if(F.col(key).isNull()).alias("key_not_null"),
-    )
-    return _stack("raw", one, ["non_empty", "key_not_null"]).unionByName(
-        _stack("raw", _dup_count(raw, key), ["key_unique"])
+    """D3 in one pass: non-empty, key not NULL, key unique (all from per-key counts)."""
+    one = _per_key(raw, key).agg(
+        F.when(F.coalesce(F.sum("_c"), F.lit(0)) == 0, 1).otherwise(0).alias("non_empty"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_c"))), F.lit(0)).alias("key_not_null"),
+        F.count_if(F.col("_c") > 1).alias("key_unique"),
     )
+    return _stack("raw", one, ["non_empty", "key_not_null", "key_unique"])
 
 
 def business_rule_violation(spec: MartSpec = HOUSING) -> Column:
@@ -72,14 +71,13 @@ def business_rule_violation(spec: MartSpec = HOUSING) -> Column:
 
 
 def clean_gate(clean: DataFrame, spec: MartSpec = HOUSING) -> DataFrame:
-    """Non-empty, key unique, business rule (floors are not part of it)."""
-    one = clean.agg(
-        F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).alias("non_empty"),
-        F.count_if(business_rule_violation(spec)).alias("business_rules"),
-    )
-    return _stack("clean", one, ["non_empty", "business_rules"]).unionByName(
-        _stack("clean", _dup_count(clean, spec.key), ["key_unique"])
+    """D9 in one pass: non-empty, key unique, business rule (floors are not part of it)."""
+    one = _per_key(clean, spec.key, F.count_if(business_rule_violation(spec)).alias("_v")).agg(
+        F.when(F.coalesce(F.sum("_c"), F.lit(0)) == 0, 1).otherwise(0).alias("non_empty"),
+        F.count_if(F.col("_c") > 1).alias("key_unique"),
+        F.coalesce(F.sum("_v"), F.lit(0)).alias("business_rules"),
     )
+    return _stack("clean", one, ["non_empty", "key_unique", "business_rules"])
 
 
 def clean_input_gate(df: DataFrame, *, exists: bool = True) -> DataFrame:
