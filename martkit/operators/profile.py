@@ -60,18 +60,21 @@ def profile_nonpositive(df: DataFrame, columns=NONPOSITIVE_COLUMNS) -> DataFrame
 
 def profile_duplicates(df: DataFrame, key: str | None = "flat_id") -> DataFrame:
     """Whole-row duplicates and key duplicates (2nd+ occurrences; NULLs equal)."""
-    rows = df.agg(F.count(F.lit(1)).alias("_n"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("_d"))
-    parts = [rows, distinct]
     if key is not None and key in df.columns:
-        parts.append(
+        # rows and key duplicates from one per-key count (map-side combined)
+        per_key = (
             df.groupBy(key)
             .agg(F.count(F.lit(1)).alias("_c"))
-            .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias(f"dup_{key}"))
+            .agg(
+                F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"),
+                F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias(f"dup_{key}"),
+            )
         )
-    one = combine_rows(*parts)
-    keep = [f"dup_{key}"] if len(parts) == 3 else []
-    return one.select((F.col("_n") - F.col("_d")).alias("dup_all"), *keep)
+        one = combine_rows(per_key, distinct)
+        return one.select((F.col("_n") - F.col("_d")).alias("dup_all"), f"dup_{key}")
+    one = combine_rows(df.agg(F.count(F.lit(1)).alias("_n")), distinct)
+    return one.select((F.col("_n") - F.col("_d")).alias("dup_all"))
 
 
 def profile_outliers(
