@@ -29,7 +29,7 @@ from martkit.operators.stats import QuantileTarget, combine_rows, feature_statis
 from martkit.plans import oracle as O
 from martkit.sources import fixtures
 from martkit.sources.snapshots import export, publish_snapshot, read_current
-from martkit.sources.tables import contract_scan, read_csv, read_table
+from martkit.sources.tables import contract_scan, read_csv, read_table, table_exists, table_path
 from martkit.session import scratch_path
 
 SPEC = HOUSING
@@ -106,7 +106,8 @@ def q_raw_gate_report(spark, d):
 
 
 def q_clean_input_gate(spark, d):
-    return gates.clean_input_gate(_raw(spark, d))
+    exists = all(table_exists(spark, table_path(d, t)) for t in ("orders", "customer"))
+    return gates.clean_input_gate(_raw(spark, d), exists=exists)
 
 
 def q_clean_gate_report(spark, d):
