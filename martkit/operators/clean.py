@@ -281,11 +281,14 @@ def clean_exploratory(
     order_by=None,
     quantile_mode: str = "auto",
     materialise: str | None = None,
+    cardinality: dict | None = None,
 ) -> DataFrame:
     """The exploratory cleaner.  Differences from ``build_clean``: six required
     columns (others optional), NaN is missing, keep-first dedup before the target
     filter, no mode imputation, joint floor rule, no capping below 4 values.
-    ``materialise`` stores the two relations read twice (as in ``build_clean``)."""
+    ``materialise`` stores the two relations read twice (as in ``build_clean``);
+    ``cardinality`` (distinct estimates of ``df``, e.g. from its snapshot manifest)
+    bounds those of every later relation and replaces the estimation passes."""
     require_columns(df.columns, spec.required)
     key = spec.key
     r = normalise_nan(df).where(F.col(key).isNotNull())
@@ -297,7 +300,9 @@ def clean_exploratory(
     r = r.where(not_null_positive(spec.target) & not_null_positive("rooms"))
     meds = [c for c in spec.medians if c in r.columns]
     auto = quantile_mode == "auto"
-    r, card1 = _materialise(r, materialise, meds if auto else ())
+    hint = {c: v + 1 for c, v in cardinality.items()} if cardinality else None
+    r, card1 = _materialise(r, materialise, meds if auto and not hint else ())
+    card1 = card1 or hint
     if meds:
         s = row_values(quantile_stats(r, medians(meds), quantile_mode, cardinality=card1))
         r = r.select(
@@ -308,7 +313,8 @@ def clean_exploratory(
     r = r.where(_all([contained(a, b) for a, b in spec.contained]))
     if spec.floor_rule is not None and set(spec.floor_rule).issubset(r.columns):
         r = r.where(floor_rule_joint(*spec.floor_rule))
-    r, card2 = _materialise(r, materialise, spec.clips if auto else ())
+    r, card2 = _materialise(r, materialise, spec.clips if auto and not hint else ())
+    card2 = card2 or hint
     r = clip_iqr(r, spec.clips, spec.iqr_k, min_rows=4, quantile_mode=quantile_mode, cardinality=card2)
     return containment_filter(r, spec)
 

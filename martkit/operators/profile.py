@@ -78,13 +78,14 @@ def profile_duplicates(df: DataFrame, key: str | None = "flat_id") -> DataFrame:
 
 
 def profile_outliers(
-    df: DataFrame, columns=OUTLIER_COLUMNS, k: float = 1.5, *, quantile_mode: str = "auto"
+    df: DataFrame, columns=OUTLIER_COLUMNS, k: float = 1.5, *, quantile_mode: str = "auto",
+    cardinality: dict | None = None,
 ) -> DataFrame:
     """A10: per column the IQR fences of its non-null values, the number of values
     outside them and that number as a percentage of *all* rows (no degenerate-IQR
     guard, as in the exploratory report)."""
     present = [c for c in columns if c in df.columns]
-    q = row_values(quantile_stats(df, quartiles(present), quantile_mode))
+    q = row_values(quantile_stats(df, quartiles(present), quantile_mode, cardinality=cardinality))
     lo, hi = {}, {}
     for c in present:
         q1, q3 = literal(q[f"{c}_q1"], "double"), literal(q[f"{c}_q3"], "double")

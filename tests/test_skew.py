@@ -44,3 +44,20 @@ def test_mode_and_quantiles_hot_value(spark):
         got = quantile_stats(df, ts, mode, max_candidates=50, buckets=8).first().asDict()
         want = {t.name: float(np.percentile(vals, t.p * 100)) for t in ts}
         assert all(abs(got[k] - want[k]) < 1e-9 for k in want), (mode, got, want)
+
+
+def test_cardinality_hints_keep_results(spark):
+    from martkit.operators.clean import clean_exploratory
+    from martkit.operators.profile import profile_outliers
+    from martkit.operators.raw import build_raw
+    from martkit.sources import fixtures
+
+    d = "/root/testdata/sf0.001"
+    raw = build_raw(fixtures.flats(spark, d), fixtures.buildings(spark, d))
+    big = {c: 10**9 for c in raw.columns}  # forces the distributed path
+    a = clean_exploratory(raw, order_by="flat_id", cardinality=big)
+    b = clean_exploratory(raw, order_by="flat_id", quantile_mode="exact")
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    p1 = sorted(tuple(r) for r in profile_outliers(raw, cardinality=big).collect())
+    p2 = sorted(tuple(r) for r in profile_outliers(raw, quantile_mode="exact").collect())
+    assert p1 == p2
