@@ -24,7 +24,7 @@ from martkit.operators.features import load_features_and_target
 from martkit.operators.model import ModelParams
 from martkit.operators.raw import build_raw
 from martkit.operators.split import train_validation
-from martkit.session import get_session
+from martkit.session import get_session, scale_conf
 from martkit.sources.snapshots import current_manifest, export, publish_snapshot, read_current
 from martkit.sources.tables import quote_table
 
@@ -61,6 +61,8 @@ def _params(a) -> ModelParams:
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="martkit", description="Data-mart and price-model stages on Spark")
+    ap.add_argument("--input_gb", type=float, default=None,
+                    help="input volume; sizes scan splits, shuffle partitions and skew thresholds")
     sub = ap.add_subparsers(dest="cmd", required=True)
     for name in ("raw", "flow"):
         p = sub.add_parser(name)
@@ -86,6 +88,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv=None, spark=None) -> dict:
     a = parser().parse_args(argv)
     spark = spark or get_session(app_name=f"martkit-{a.cmd}")
+    if a.input_gb:
+        for k, v in scale_conf(int(a.input_gb * (1 << 30))).items():
+            spark.conf.set(k, v)  # runtime SQL settings
     if a.cmd == "raw":
         f, b = _read(spark, a.flats), _read(spark, a.buildings)
         gates.enforce(gates.source_gate(f, b))
