@@ -1,6 +1,6 @@
 """A2-A4: exact interpolated quantiles, medians, mode.
 
-Three quantile modes:
+Four quantile modes:
 
 * ``exact``        built-in ``percentile`` (value->count map per column, merged in one
                    task).  Exact and cheap when a column has few distinct values.
