@@ -256,6 +256,12 @@ def q_profile_nulls_clean_top15(spark, d):
     return profile.profile_nulls(clean, top=15)
 
 
+def q_profile_duplicates_clean(spark, d):
+    """Duplicates left after the exploratory cleaner (whole rows and keys)."""
+    clean = clean_exploratory(_raw_stored(spark, d), SPEC, order_by=SPEC.key, materialise="checkpoint")
+    return profile.profile_duplicates(clean, SPEC.key)
+
+
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "export") + "/dataset.csv"
     export(_clean_stored(spark, d), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="csv")
@@ -323,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "features_from_csv": q_features_from_csv,
     "profile_nulls_clean_top15": q_profile_nulls_clean_top15,
+    "profile_duplicates_clean": q_profile_duplicates_clean,
     "publish_snapshot": q_publish_snapshot,
     "gbt_evaluate": q_gbt_evaluate,
     "end_to_end_report": q_end_to_end_report,
@@ -628,6 +635,11 @@ def oracle_sql() -> dict[str, str]:
         "regression_metrics": _metrics_sql(),
         "csv_roundtrip": _w(_H, "SELECT * FROM clean"),
         "features_from_csv": _w(_H, _feature_select()),
+        "profile_duplicates_clean": _w(
+            _exploratory_ctes(),
+            "SELECT (SELECT count(*) FROM explo) - (SELECT count(*) FROM (SELECT DISTINCT * FROM explo) t) AS dup_all, "
+            "(SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM explo GROUP BY flat_id) t) AS dup_flat_id",
+        ),
         "profile_nulls_clean_top15": _w(
             _exploratory_ctes(),
             " UNION ALL ".join(
