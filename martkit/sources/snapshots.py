@@ -82,6 +82,7 @@ def publish_snapshot(
     expected_rows: int | None = None,
     cluster_by: str | None = None,
     analyze=(),
+    max_records_per_file: int = 20_000_000,
 ) -> dict:
     """Stage ``df`` as a new snapshot, gate it, publish it.
 
@@ -97,7 +98,8 @@ def publish_snapshot(
     uri = f"{base}/v={run_id}"
     spark = df.sparkSession
     out = df.sortWithinPartitions(cluster_by) if cluster_by else df
-    out.write.mode("errorifexists").parquet(uri)  # S6: staged; all-or-nothing job commit
+    # Staged; all-or-nothing job commit; a skewed partition is split across files
+    out.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).parquet(uri)
     try:
         written = spark.read.parquet(uri)
         reports = [enforce(g(written)) for g in gates]
@@ -230,6 +232,7 @@ def export(
     *,
     schema=None,
     fmt: str = "csv",
+    max_records_per_file: int = 20_000_000,
 ) -> dict:
     """Contract columns only, written all-or-nothing to ``path``.
 
@@ -241,7 +244,7 @@ def export(
     out = contract_scan(df, columns, schema)
     tmp = f"{path.rstrip('/')}.tmp-{uuid.uuid4().hex}"
     try:
-        w = out.write.mode("errorifexists")
+        w = out.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
         if fmt == "csv":
             w.option("header", True).csv(tmp)
             back = read_csv(spark, tmp, out.schema)

@@ -233,3 +233,9 @@ def test_publish_analyze_feeds_clean_stage(spark, sf001, scratch):
     card = {c: 10**9 for c in raw.columns}  # forces the distributed path everywhere
     a = build_clean(pub, cardinality=card)
     assert same(a, build_clean(raw, quantile_mode="exact"))
+
+
+def test_records_per_file_bound(spark, clean, scratch):
+    m = publish_snapshot(clean, scratch, "small_files", max_records_per_file=200)
+    files = [f for f in _ls(spark, m["uri"]) if f.endswith(".parquet")]
+    assert m["rows"] == 1165 and len(files) >= 6
