@@ -21,9 +21,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one Parquet table; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+# Read schemas of the source columns the registered queries use.
+SOURCE_SCHEMAS: dict[str, str] = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string"
+    ),
+    "events": "event_id bigint, user_id bigint, event_type string, value double",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """Scan one Parquet table; Catalyst prunes columns and pushes filters into it.
+
+    With a declared schema (``SOURCE_SCHEMAS`` by default) the reader skips the
+    footer-inference job that a schema-less read runs over the files.
+    """
+    schema = schema or SOURCE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def quote_table(name: str, default_schema: str = DEFAULT_SCHEMA) -> str:
