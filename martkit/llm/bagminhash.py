@@ -10,11 +10,13 @@ weighted Jaccard similarity.  Points are made in ascending time only up to a lim
 all places are filled, so the work per document is about its shingles plus M ln M.
 
 Classes.  Documents with equal multisets are one member from here on.  Members that share a
-band meet the smallest id of that band's bucket; the links are verified on the exact
-multisets and joined into components.  That work is linear in the size of a bucket, however
-large.  In buckets that still hold several components every member outside the first one is
-then compared with all members of other components, in blocks, on the signatures; pairs
-that could be similar are verified too.  No pair is capped or sampled away.
+band meet one member of that band's bucket, chosen by a hash that differs from band to band;
+the links are verified on the exact multisets and joined into components.  That work is
+linear in the size of a bucket, however large.  In buckets that still hold several
+components, every member outside the bucket's largest one is then compared with all members
+of other components, block by block: those whose signatures could be similar enough are
+verified in place, and only links between components leave the task.  No pair is capped or
+sampled away.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and are
 classes of their own; a text of fewer than five words is one shingle; rows that repeat an
@@ -46,7 +48,8 @@ M = BANDS * ROWS
 #: a pair is verified if at least this share of its signature places agree; 3.7 standard
 #: deviations below the similarity that counts
 LIKELY = 0.65
-BLOCK = 128
+#: members of a bucket that one task compares with as many others
+BLOCK = 512
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -156,15 +159,64 @@ def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
         make, "doc_id bigint, digest binary, bands array<bigint>, places binary")
 
 
-def verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+class IdFilter:
+    """A Bloom filter over ids of at most ``MOST_BITS`` bits (4 MB), built by grouped bit sums.
+
+    It only spares rows that a later join would drop; it never decides on its own.
+    """
+
+    MOST_BITS, SALTS = 1 << 25, 4
+
+    def __init__(self, ids: DataFrame):
+        n = ids.count()
+        self.bits = min(self.MOST_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
+
+        def mark(batches):
+            for b in batches:
+                at = np.concatenate([self._at(b.column(0).to_numpy(), k) for k in range(self.SALTS)])
+                cells, masks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+                if len(at):
+                    cells, place = np.unique(at >> np.uint64(6), return_inverse=True)
+                    masks = np.zeros(len(cells), np.uint64)
+                    np.bitwise_or.at(masks, place, np.uint64(1) << (at & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cells.view(np.int64)), pa.array(masks.view(np.int64))], ["cell", "mask"])
+
+        rows = ids.mapInArrow(mark, "cell bigint, mask bigint").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+        self.cells = np.zeros(self.bits // 64, np.uint64)
+        self.cells[rows["cell"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
+
+    def _at(self, ids: np.ndarray, salt: int) -> np.ndarray:
+        return _mix(ids.astype(np.int64).view(np.uint64) * _A + np.uint64(salt)) & np.uint64(self.bits - 1)
+
+    def keep(self, docs: DataFrame, id_col: str) -> DataFrame:
+        cells, at, salts = self.cells, self._at, self.SALTS
+
+        @F.pandas_udf("boolean")
+        def may_hold(ids: pd.Series) -> pd.Series:
+            known = ids.notna().to_numpy()
+            x = ids.fillna(0).to_numpy()
+            for k in range(salts):
+                p = at(x, k)
+                known = known & ((cells[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)) == 1)
+            return pd.Series(known)
+
+        return docs.filter(may_hold(F.col(id_col)))
+
+
+def texts_of(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored (id, text) of the distinct ``ids``; other documents' texts are not shuffled."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    rows = IdFilter(ids).keep(rows, "id").join(ids, "id")
+    return store(spark, rows.groupBy("id").agg(F.max("text").alias("text")), "candidate-texts")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Those of the stored ``pairs`` (a, b) whose exact multisets are similar enough.
 
     A text is repeated once per pair only in flight; ``b`` may be one id in very many pairs,
     so the join on it is left to adaptive skew splitting and a task keeps a few multisets.
     """
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id")
-    texts = store(spark, texts.groupBy("id").agg(F.max("text").alias("text")), "candidate-texts")
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -180,7 +232,7 @@ def verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, similarity: f
                         known.popitem(last=False)
                 keep.append(overlap(shingles(ta.as_py()), known[key]) >= similarity)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
+                [batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
@@ -201,39 +253,67 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         labels = jumped.select("id", "label")
 
 
-def _likely_pairs(spark: SparkSession, mixed: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of different components in the buckets ``mixed`` whose signatures agree enough.
+def link_block(ids, labels, places, marks, texts, rest, band: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between different components of one block of a bucket.
 
-    ``mixed`` has (band, hash, id, label, base) with base the label of the bucket's first
+    Rows with ``rest`` are compared with the rows without.  Pairs that share an earlier band
+    are left to that band's bucket; pairs already connected in this block are skipped.
+    """
+    root = {x: x for x in labels}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    bags: dict[int, tuple] = {}
+
+    def bag(k):
+        if k not in bags:
+            bags[k] = shingles(texts[k])
+        return bags[k]
+
+    x = np.flatnonzero(~rest)
+    out = []
+    for k in np.flatnonzero(rest):
+        same = (places[x] == places[k]).mean(axis=1)
+        likely = (same >= LIKELY) & (labels[x] != labels[k])
+        if band:
+            likely &= ~(marks[x, :band] == marks[k, :band]).any(axis=1)
+        for j in x[likely][np.argsort(-same[likely], kind="stable")]:
+            a, b = find(labels[k]), find(labels[j])
+            if a != b and overlap(bag(k), bag(j)) >= similarity:
+                root[max(a, b)] = min(a, b)
+                out.append((max(ids[k], ids[j]), min(ids[k], ids[j])))
+    return out
+
+
+def late_links(mixed: DataFrame, members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between different components in the buckets of ``mixed``.
+
+    ``mixed`` has (band, hash, id, label, base) with base the label of the bucket's largest
     component.  Members outside the base ("rest") meet all members, block by block.
     """
     key = ["band", "hash"]
     sizes = mixed.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_all"), F.sum((F.col("label") != F.col("base")).cast("int")).alias("n_rest"))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    rows = mixed.join(sizes, key).join(members.select("id", "places"), "id")
+    rows = mixed.join(sizes, key).join(members.select("id", "places", "bands"), "id").join(texts, "id")
     at = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks(n)).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    left = rows.withColumn("i", at("n_all", 1)).withColumn("j", upto("n_rest")).withColumn("rest", F.lit(False))
-    right = rows.filter(F.col("label") != F.col("base")).withColumn("j", at("n_rest", 2)).withColumn(
-        "i", upto("n_all")).withColumn("rest", F.lit(True))
-    cols = ["band", "hash", "i", "j", "rest", "id", "label", "places"]
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[~pdf["rest"]], pdf[pdf["rest"]]
-        out_a, out_b = [], []
-        if len(x) and len(y):
-            sx = np.frombuffer(b"".join(x["places"]), "<u4").reshape(len(x), -1)
-            ids, labels = x["id"].to_numpy(), x["label"].to_numpy()
-            for own, label, places in zip(y["id"], y["label"], y["places"]):
-                same = (sx == np.frombuffer(places, "<u4")).mean(axis=1)
-                for other in ids[(same >= LIKELY) & (labels != label)]:
-                    out_a.append(max(own, other))
-                    out_b.append(min(own, other))
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-
-    return left.select(cols).union(right.select(cols)).groupBy("band", "hash", "i", "j").applyInPandas(
-        compare, "a bigint, b bigint").distinct()
+    upto = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+    as_all = F.transform(upto("n_rest"), lambda j: F.struct(at("n_all", 1).alias("i"), j.alias("j"), F.lit(False).alias("rest")))
+    as_rest = F.transform(upto("n_all"), lambda i: F.struct(i.alias("i"), at("n_rest", 2).alias("j"), F.lit(True).alias("rest")))
+    spots = F.when(F.col("label") != F.col("base"), F.concat(as_all, as_rest)).otherwise(as_all)
+    dealt = rows.withColumn("spot", F.explode(spots)).select("band", "hash", "id", "label", "places", "bands", "text", "spot.*")
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        links = link_block(
+            pdf["id"].to_numpy(), pdf["label"].to_numpy(),
+            np.frombuffer(b"".join(pdf["places"]), "<u4").reshape(len(pdf), -1), np.array(pdf["bands"].tolist()),
+            pdf["text"].tolist(), pdf["rest"].to_numpy(), int(key[0]), similarity)
+        return pd.DataFrame({"a": [a for a, _ in links], "b": [b for _, b in links]}, dtype=np.int64)
+
+    return dealt.groupBy("band", "hash", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -248,19 +328,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     members = store(spark, known.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("places").alias("places")), "bag-members")
     buckets = members.select("id", F.posexplode("bands").alias("band", "hash"))
-    first = buckets.groupBy("band", "hash").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = store(spark, buckets.join(first.select("band", "hash", "first"), ["band", "hash"]), "bag-buckets")
-    stars = store(spark, shared.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "bag-stars")
-    links = store(spark, verify(spark, docs, stars, similarity), "bag-links")
+    choice = F.min(F.struct(F.xxhash64("id", "band").alias("order"), "id")).alias("first")
+    first = buckets.groupBy("band", "hash").agg(choice, F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = first.select("band", "hash", F.col("first.id").alias("first"))
+    shared = store(spark, buckets.join(first, ["band", "hash"]), "bag-buckets")
+    stars = shared.filter("id <> first").select(F.greatest("id", "first").alias("a"), F.least("id", "first").alias("b"))
+    stars = store(spark, stars.distinct(), "bag-stars")
+    ids = store(spark, shared.select("id").distinct(), "bag-candidates")
+    texts = texts_of(spark, docs, ids)
+    links = store(spark, verify(stars, texts, similarity), "bag-links")
     labels = components(spark, links)
-    named = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    named = named.select("band", "hash", "id", "label")
-    several = named.groupBy("band", "hash").agg(
-        F.min("label").alias("base"), F.max("label").alias("last")).filter("base <> last").select("band", "hash", "base")
+    named = shared.join(labels, "id", "left").select("band", "hash", "id", F.coalesce("label", "id").alias("label"))
+    counts = named.groupBy("band", "hash", "label").agg(F.count(F.lit(1)).alias("n"))
+    several = counts.groupBy("band", "hash").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    several = several.select("band", "hash", F.col("most.label").alias("base"))
     mixed = store(spark, named.join(several, ["band", "hash"]), "bag-mixed")
-    tried = stars.select("a", "b")
-    likely = store(spark, _likely_pairs(spark, mixed, members).join(tried, ["a", "b"], "left_anti"), "bag-likely")
-    late = store(spark, verify(spark, docs, likely, similarity), "bag-late")
+    late = store(spark, late_links(mixed, members, texts, similarity).distinct(), "bag-late")
     if late.limit(1).count():
         labels = components(spark, links.union(late))
     of_digest = members.select("digest", "id").join(labels, "id", "left").select(
