@@ -19,20 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship, table
-from .pieces import Cache, Splitter
+from .pieces import Cache, Splitter, byte_symbols
 
 LIMIT = 2048
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    stand = {b: chr(b) for b in keep}
-    for n, b in enumerate(b for b in range(256) if b not in stand):
-        stand[b] = chr(256 + n)
-    return [stand[b] for b in range(256)]
-
-
 def count_merges(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     """Number of merges that byte-pair merging does on the symbols of one piece."""
     n = len(symbols)

@@ -28,6 +28,7 @@ import hashlib
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fresh_folder, ship, table
-from .pieces import Splitter
+from .pieces import Cache, Splitter, byte_symbols
 
 MAGIC = b"MKTOK1\0\0"
 END_ID = 1
@@ -47,7 +48,6 @@ CHUNK_CHARS = 1 << 18
 DICT_BYTES = 64 << 10
 SAMPLE_DOCS = 512
 SAMPLE_BYTES = 16 << 10
-CACHE_PIECES = 400_000
 MANIFEST = "part int, number int, path string, n_docs bigint, n_ids bigint, n_bytes bigint"
 
 
@@ -56,35 +56,23 @@ class Encoder:
 
     def __init__(self, path: str):
         self.split = Splitter(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.young) > CACHE_PIECES:
-            self.old, self.young = self.young, {}
-        new = []
-        for p in pieces:
-            known = self.old.get(p)
-            if known is None:
-                new.append(p)
-            else:
-                self.young[p] = known
-        for p, e in zip(new, self.split.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.young[p] = np.array(e.ids, "<u4").tobytes()
+        self.stand = byte_symbols()
+        self.model = self.split.library.model
+        self.of_piece = Cache(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        symbols = "".join(map(self.stand.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = [self.split.short(t) for t in texts]
-        missing = set().union(*[f for f in found if f]) - self.young.keys()
-        if missing:
-            self._learn(missing)
-        get = self.young.__getitem__
-        out = []
-        for t, f in zip(texts, found):
-            if f is None:
+        get, out = self.of_piece.__getitem__, []
+        for t in texts:
+            found = self.split.short(t)
+            if found is None:
                 (e,) = self.split.library.encode_batch_fast([t], add_special_tokens=False)
                 out.append(np.array(e.ids, "<u4").tobytes())
             else:
-                out.append(b"".join(map(get, f)))
+                out.append(b"".join(map(get, found)))
         return out
 
 
