@@ -26,7 +26,7 @@ from martkit.operators.raw import build_raw
 from martkit.operators.split import train_validation
 from martkit.session import get_session, scale_conf
 from martkit.sources.snapshots import current_manifest, export, publish_snapshot, read_current
-from martkit.sources.tables import quote_table
+from martkit.sources.tables import qualified_name
 
 # Stage defaults of the modelled pipeline's parameters.
 DEFAULTS = dict(
@@ -38,7 +38,7 @@ DEFAULTS = dict(
 def _read(spark, src: str):
     if "/" in src or ":" in src:
         return spark.read.parquet(src)
-    quote_table(src)  # validates the name
+    qualified_name(src)  # validates the name
     return spark.table(src)
 
 

@@ -100,5 +100,5 @@ def category_string(c) -> Column:
 
 
 def pct(n, total, digits: int = 2) -> Column:
-    """``round(100 * n / total, 2)``."""
-    return F.round(F.lit(100.0) * _c(n) / _c(total), digits)
+    """``round(100 * n / total, 2)``; NULL of an empty total."""
+    return F.round(F.try_divide(F.lit(100.0) * _c(n), _c(total)), digits)

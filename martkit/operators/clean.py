@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.contract import HOUSING, MartSpec, require_columns
+from martkit.contract import HOUSING, MartSpec, check_has
 from martkit.functions import (
     bool_default,
     clamp_iqr,
@@ -252,8 +252,11 @@ def build_clean(
 
 
 def dedup_keep_first(df: DataFrame, keys, order_by) -> DataFrame:
-    """One row per key — the first in ``order_by`` order (ties broken by the
-    remaining columns, so the result is deterministic).
+    """One row per key — the first in ``order_by`` order.
+
+    Rows tied on it are decided by the remaining columns from left to right, smaller
+    values first and NULLs last, so the result is deterministic and a filled copy beats
+    an empty one.  An order made of key columns alone decides nothing and is refused.
 
     Implemented as a grouped ``min`` over a struct led by the order columns rather
     than a ``row_number`` window: the aggregate combines map-side, so a key holding
@@ -263,8 +266,12 @@ def dedup_keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
     if not order_by:
         raise ValueError("keep-first de-duplication needs an explicit order column")
+    if set(order_by) <= set(keys):
+        raise ValueError("the order of keep-first de-duplication needs a column besides the key")
+    order_by = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = F.struct(*[F.col(c) for c in order_by + rest])
+    fill = [x for c in rest for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    packed = F.struct(*[F.col(c) for c in order_by], *fill)
     first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
     return first.select(
         *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
@@ -289,7 +296,7 @@ def clean_exploratory(
     ``materialise`` stores the two relations read twice (as in ``build_clean``);
     ``cardinality`` (distinct estimates of ``df``, e.g. from its snapshot manifest)
     bounds those of every later relation and replaces the estimation passes."""
-    require_columns(df.columns, spec.required)
+    check_has(df, spec.required, what="frame to clean")
     key = spec.key
     r = normalise_nan(df).where(F.col(key).isNotNull())
     # "first" needs an explicit order: a distributed frame has no input order
@@ -297,7 +304,7 @@ def clean_exploratory(
     bools = [c for c in spec.booleans if c in r.columns]
     if bools:
         r = r.select(*[bool_default(c).alias(c) if c in bools else F.col(c) for c in r.columns])
-    r = r.where(not_null_positive(spec.target) & not_null_positive("rooms"))
+    r = r.where(_all([not_null_positive(c) for c in dict.fromkeys((spec.target, *spec.positive_required))]))
     meds = [c for c in spec.medians if c in r.columns]
     auto = quantile_mode == "auto"
     hint = {c: v + 1 for c, v in cardinality.items()} if cardinality else None

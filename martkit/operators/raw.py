@@ -57,9 +57,13 @@ def orphans(flats: DataFrame, buildings: DataFrame) -> DataFrame:
     """Flats without a matching building (NULL ``building_id`` included).
 
     Written as a left anti join so the plan is an anti join, not outer join + filter.
+    Rows without an id match nothing: they go around the join, which would otherwise send
+    all of them to one partition.
     """
-    return flats.join(
+    without_id = flats.where(F.col("building_id").isNull())
+    dangling = flats.where(F.col("building_id").isNotNull()).join(
         buildings.select(F.col("id").alias("_bid")),
         F.col("building_id") == F.col("_bid"),
         "left_anti",
     )
+    return without_id.unionByName(dangling)

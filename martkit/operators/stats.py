@@ -146,10 +146,9 @@ def select_ranks(
     wanted: list[tuple[str, str, int]],
     *,
     sizes: dict[str, int] | None = None,
-    buckets: int = 256,
+    buckets: int = 16,
     max_candidates: int = 2_000_000,
-    accuracy: int = 10_000,
-    max_rounds: int = 8,
+    accuracy: int = 1_000,
     checkpoint: bool = True,
 ) -> dict[str, float]:
     """Exact order statistics: for each ``(target_id, key, rank)`` the value at 0-based
@@ -158,7 +157,9 @@ def select_ranks(
     Each round splits every key with more than ``max_candidates`` distinct values
     into ``buckets`` ranges at approximate quantiles, counts rows per range and keeps
     only the range holding each wanted rank, so those candidates shrink by about
-    ``buckets`` per round (passes: bounds, counts, next candidates).  What reaches the
+    ``buckets`` per round (passes: bounds, counts, next candidates); rounds go on until
+    every key fits, and a round that narrows nothing is an error.  16 buckets keep the
+    generated lookup of ten keys well below the size that the JVM compiles.  What reaches the
     driver is bounded by ``len(wanted) * buckets``; the final ranking window is per
     key over at most ``max_candidates`` distinct values.  ``sizes`` (distinct values
     per key) saves the first counting pass when the caller knows them.
@@ -171,7 +172,7 @@ def select_ranks(
     if sizes is None:
         sizes = dict(cand.groupBy("key").count().collect())
     owned = []  # frames to release at the end
-    for _ in range(max_rounds):
+    while True:
         big = sorted({k for k, _ in targets.values() if sizes.get(k, 0) > max_candidates})
         if not big:
             break
@@ -204,6 +205,8 @@ def select_ranks(
                     route.append((key, b, tid))
                     new_targets[tid] = (tid, rank - start)
                     new_sizes[tid] = dcount
+                    if dcount >= sizes[key]:
+                        raise RuntimeError(f"the candidates of {key} did not get fewer")
                     break
                 start += n
         route_df = spark.createDataFrame(route, "key string, b int, tid string")

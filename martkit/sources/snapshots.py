@@ -154,9 +154,9 @@ def publish_table(spark: SparkSession, manifest: dict, name: str) -> None:
     ``CREATE OR REPLACE VIEW`` swaps the definition in one catalog operation; a query
     that already resolved the old definition keeps reading the old snapshot files.
     """
-    from martkit.sources.tables import quote_table
+    from martkit.sources.tables import qualified_name
 
-    qualified = quote_table(name)
+    qualified = qualified_name(name)
     schema = qualified.split(".")[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     uri = manifest["uri"].replace("`", "``")

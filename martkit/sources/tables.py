@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,14 +46,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None =
     return reader.parquet(table_path(sf_dir, name))
 
 
-def quote_table(name: str, default_schema: str = DEFAULT_SCHEMA) -> str:
-    """Validate ``[schema.]table`` and back-quote each part for Spark SQL."""
-    parts = name.split(".")
-    if len(parts) == 1:
-        parts.insert(0, default_schema)
-    if len(parts) != 2 or any(not IDENTIFIER.fullmatch(p) for p in parts):
-        raise ValueError(f"not a plain [schema.]table name: {name!r}")
-    return ".".join(f"`{p}`" for p in parts)
+def qualified_name(name: str, default_schema: str = DEFAULT_SCHEMA) -> str:
+    """A table name as Spark parses it, in back-quotes; only ``[schema.]table`` of plain names."""
+    parser = SparkSession.active()._jsparkSession.sessionState().sqlParser()
+    try:
+        seq = parser.parseMultipartIdentifier(name)
+    except ParseException as bad:
+        raise ValueError(f"{name!r} is no table identifier") from bad
+    found = [default_schema, *(seq.apply(i) for i in range(seq.length()))][-2 if seq.length() < 2 else -seq.length():]
+    if len(found) > 2 or not all(map(IDENTIFIER.fullmatch, found)):
+        raise ValueError(f"{name!r} has more than a plain schema and table")
+    return "`{}`.`{}`".format(*found)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -123,7 +127,7 @@ def jdbc_read_options(
     """
     if chunk_size <= 0:
         raise ValueError("chunk_size has to be at least 1")
-    opts = {"url": url, "dbtable": quote_table(table).replace("`", '"'), "fetchsize": str(chunk_size)}
+    opts = {"url": url, "dbtable": qualified_name(table).replace("`", '"'), "fetchsize": str(chunk_size)}
     if partition_column is not None:
         if None in (lower_bound, upper_bound, num_partitions):
             raise ValueError("partitioned read needs lower_bound, upper_bound and num_partitions")
@@ -148,4 +152,4 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns, *, properties=
 
 def analyze_table(spark: SparkSession, name: str) -> None:
     """Column statistics for the cost-based optimizer on a catalog table."""
-    spark.sql(f"ANALYZE TABLE {quote_table(name)} COMPUTE STATISTICS FOR ALL COLUMNS")
+    spark.sql(f"ANALYZE TABLE {qualified_name(name)} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -1,97 +1,71 @@
-"""The six behaviours of the exploratory cleaner, on tiny literal frames."""
+"""Rules of the exploratory cleaner, one scenario table per rule, over generated listings."""
 
 import pytest
-from pyspark.sql import types as T
 
-from martkit.operators.clean import clean_exploratory
+from martkit.contract import HOUSING
+from martkit.errors import ContractError
+from martkit.operators.clean import clean_exploratory, dedup_keep_first
 
-BASE = [
-    ("seq", T.IntegerType()),
-    ("flat_id", T.LongType()),
-    ("price", T.DoubleType()),
-    ("total_area", T.DoubleType()),
-    ("kitchen_area", T.DoubleType()),
-    ("living_area", T.DoubleType()),
-    ("rooms", T.IntegerType()),
-    ("is_apartment", T.BooleanType()),
-]
-DEFAULTS = dict(price=100.0, total_area=40.0, kitchen_area=10.0, living_area=25.0, rooms=2, is_apartment=None)
+DDL = (
+    "arrival int, flat_id bigint, price double, rooms int, total_area double, kitchen_area double, "
+    "living_area double, studio boolean, floor int, floors_total int, ceiling_height double"
+)
 
 
-def frame(spark, rows, extra=()):
-    fields = BASE + list(extra)
-    schema = T.StructType([T.StructField(n, t) for n, t in fields])
-    data = []
-    for i, (fid, over) in enumerate(rows):
-        v = dict(DEFAULTS, seq=i, flat_id=fid, **over)
-        data.append(tuple(v.get(n) for n, _ in fields))
-    return spark.createDataFrame(data, schema)
+def listings(spark, *changes):
+    """A frame of sound listings; each change set alters one of them."""
+    sound = {
+        "price": 7_500_000.0, "rooms": 3, "total_area": 72.0, "kitchen_area": 11.5, "living_area": 44.0,
+        "studio": False, "floor": 4, "floors_total": 9, "ceiling_height": 2.7,
+    }
+    rows = [{"arrival": 10 + i, "flat_id": 700 + i, **sound, **change} for i, change in enumerate(changes)]
+    names = [c.split()[0] for c in DDL.split(", ")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], DDL)
 
 
-def ids(df):
-    return sorted(r["flat_id"] for r in df.select("flat_id").collect())
+def cleaned(df):
+    return {r["flat_id"]: r.asDict() for r in clean_exploratory(df, order_by="arrival").collect()}
 
 
-def test_removes_duplicates_and_invalid_rows(spark):
-    src = frame(spark, [
-        (1, {}),
-        (1, dict(price=999.0, is_apartment=True)),
-        (2, dict(price=-1.0)),
-        (3, dict(price=300.0, total_area=60.0, kitchen_area=15.0, living_area=35.0, rooms=3, is_apartment=False)),
-    ])
-    out = clean_exploratory(src, order_by="seq")
-    assert ids(out) == [1, 3]
-    assert out.where("flat_id = 1").first()["is_apartment"] is False
+@pytest.mark.parametrize("change", [
+    {"price": 0.0}, {"price": None}, {"price": float("nan")}, {"rooms": 0}, {"rooms": None},
+    {"living_area": 73.0}, {"kitchen_area": 72.5}, {"total_area": -1.0}, {"floor": 10},
+    {"flat_id": None},
+])
+def test_a_broken_listing_goes_and_a_sound_one_stays(spark, change):
+    assert list(cleaned(listings(spark, {}, change))) == [700]
 
 
-def test_imputes_features_but_not_target(spark):
-    src = frame(
-        spark,
-        [(1, dict(price=100.0, ceiling_height=2.5)), (2, dict(price=200.0, ceiling_height=None)),
-         (3, dict(price=300.0, ceiling_height=3.5)), (4, dict(price=None, ceiling_height=10.0))],
-        extra=[("ceiling_height", T.DoubleType())],
-    )
-    out = clean_exploratory(src, order_by="seq")
-    assert ids(out) == [1, 2, 3]
-    assert out.where("flat_id = 2").first()["ceiling_height"] == 3.0
+def test_the_earliest_copy_of_a_listing_wins(spark):
+    out = cleaned(listings(
+        spark, {"flat_id": 42, "rooms": 5, "arrival": 31}, {"flat_id": 42, "rooms": 2, "arrival": 30}, {"flat_id": 43}))
+    assert sorted(out) == [42, 43] and out[42]["rooms"] == 2
 
 
-def test_never_imputes_identifier(spark):
-    out = clean_exploratory(frame(spark, [(None, {}), (2, {})]), order_by="seq")
-    assert ids(out) == [2]
+def test_copies_of_one_arrival_prefer_the_filled_one(spark):
+    df = spark.createDataFrame([(5, 1, None), (5, 1, 3.5), (6, 1, None)], "k int, at int, v double")
+    assert {r["k"]: r["v"] for r in dedup_keep_first(df, "k", "at").collect()} == {5: 3.5, 6: None}
 
 
-def test_rejects_impossible_geometry_and_floors(spark):
-    src = frame(
-        spark,
-        [(1, dict(kitchen_area=50.0, floor=None, floors_total=None)),
-         (2, dict(floor=11, floors_total=10)), (3, dict(floor=5, floors_total=10))],
-        extra=[("floor", T.IntegerType()), ("floors_total", T.IntegerType())],
-    )
-    assert ids(clean_exploratory(src, order_by="seq")) == [3]
-
-
-def test_handles_empty_result(spark):
-    out = clean_exploratory(frame(spark, [(1, dict(price=None))]), order_by="seq")
-    assert out.isEmpty()
+@pytest.mark.parametrize("order", [[], "k", ["k"]])
+def test_an_order_that_decides_nothing_is_refused(spark, order):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError, match="order"):
+        dedup_keep_first(df, "k", order)
 
 
-def test_requires_core_schema(spark):
-    df = spark.createDataFrame([(1, 100.0)], "flat_id long, price double")
-    with pytest.raises(ValueError, match="missing required columns"):
-        clean_exploratory(df, order_by="flat_id")
+def test_missing_and_nan_heights_become_the_median(spark):
+    out = cleaned(listings(
+        spark, {"ceiling_height": 2.4}, {"ceiling_height": None}, {"ceiling_height": float("nan")}, {"ceiling_height": 3.2}))
+    assert [out[k]["ceiling_height"] for k in (700, 701, 702, 703)] == pytest.approx([2.4, 2.8, 2.8, 3.2])
 
 
-def test_dedup_needs_an_order(spark):
-    with pytest.raises(ValueError, match="order"):
-        clean_exploratory(frame(spark, [(1, {})]), order_by=[])
+def test_all_listings_broken_leaves_an_empty_frame(spark):
+    df = listings(spark, {"price": -5.0}, {"rooms": None})
+    assert clean_exploratory(df, order_by="arrival").count() == 0
 
 
-def test_nan_is_missing(spark):
-    src = frame(
-        spark,
-        [(1, dict(ceiling_height=2.0)), (2, dict(ceiling_height=float("nan"))), (3, dict(ceiling_height=4.0))],
-        extra=[("ceiling_height", T.DoubleType())],
-    )
-    out = clean_exploratory(src, order_by="seq")
-    assert out.where("flat_id = 2").first()["ceiling_height"] == 3.0
+@pytest.mark.parametrize("name", sorted(HOUSING.required))
+def test_every_required_column_is_named_when_absent(spark, name):
+    with pytest.raises(ContractError, match=name):
+        clean_exploratory(listings(spark, {}).drop(name), order_by="arrival")

@@ -20,7 +20,7 @@ from martkit.operators.raw import build_raw
 from martkit.operators.split import train_validation
 from martkit.sources import fixtures
 from martkit.sources.snapshots import current_manifest, export, publish_snapshot, read_current
-from martkit.sources.tables import jdbc_read_options, quote_table, read_csv, table_exists
+from martkit.sources.tables import jdbc_read_options, qualified_name, read_csv, table_exists
 
 
 @pytest.fixture(scope="module")
@@ -88,12 +88,12 @@ def test_csv_header_must_match(spark, clean, scratch):
         read_csv(spark, path, schema).collect()
 
 
-def test_quote_table_and_jdbc_options():
-    assert quote_table("flats") == "`public`.`flats`"
-    assert quote_table("s.t") == "`s`.`t`"
+def test_qualified_name_and_jdbc_options(spark):
+    assert qualified_name("flats") == "`public`.`flats`"
+    assert qualified_name("s.t") == "`s`.`t`"
     for bad in ("a.b.c", "1x", "x;drop", ""):
         with pytest.raises(ValueError):
-            quote_table(bad)
+            qualified_name(bad)
     o = jdbc_read_options("jdbc:postgresql://h/db", "public.t", chunk_size=500,
                           partition_column="flat_id", lower_bound=1, upper_bound=10, num_partitions=4)
     assert o["fetchsize"] == "500" and o["numPartitions"] == "4" and o["dbtable"] == '"public"."t"'

@@ -126,3 +126,20 @@ def test_scale_conf_sizes_partitions():
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert scale_conf(300 * 2**30)["spark.sql.shuffle.partitions"] == "300"
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_split_refuses_null_and_repeated_boundary_ids(spark):
+    from martkit.operators.split import exact_split
+
+    ten = spark.range(100).selectExpr("id % 10 AS id")
+    with pytest.raises(ValueError, match="unique"):
+        exact_split(ten, "id", 0.25, 42).count()
+    some = spark.createDataFrame([(1,), (None,), (3,)], "id bigint")
+    with pytest.raises(ValueError, match="NULL"):
+        exact_split(some, "id", 0.4, 42).count()
+
+
+def test_percent_of_nothing_is_null(spark):
+    from martkit.functions.expressions import pct
+
+    assert spark.sql("SELECT 0L AS n, 0L AS t").select(pct("n", "t").alias("p")).first()["p"] is None
