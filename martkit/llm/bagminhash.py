@@ -60,7 +60,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_WORDS: Cache = Cache(xxhash.xxh64_intdigest)
+_WORDS: Cache = Cache(xxhash.xxh64_intdigest, 50_000)
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

@@ -43,9 +43,20 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: bytes of an Arrow batch; texts can be long, and a task holds a few copies of a batch
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (once per Spark context)."""
+    """Make this package importable in Python workers (once per Spark context).
+
+    Also bounds the session's Arrow batches, unless they are set to less already.
+    """
     sc = spark.sparkContext
+    bound = spark.conf.get(_BATCH_CONF, None)
+    if bound is None or not 0 < sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(bound) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     if getattr(sc, "_martkit_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
