@@ -109,11 +109,23 @@ def pack(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress(raw) + z.flush()
 
 
+#: compressed bytes handed to the decompressor at once; what a member leaves over is copied
+READ_BYTES = 16 << 10
+
+
 def unpack(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
     """Headers and blocks of the records of a file."""
-    while data:
-        z = zlib.decompressobj(31)
-        raw, data = z.decompress(data), z.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof:
+            if at >= len(view):
+                raise ValueError("the file ends inside a record")
+            piece = view[at: at + READ_BYTES]
+            parts.append(z.decompress(piece))
+            at += len(piece)
+        at -= len(z.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
