@@ -11,7 +11,8 @@ all places are filled, so the work per document is about its shingles plus M ln
 
 Classes.  Documents with equal multisets are one member from here on.  Members that share a
 band meet one member of that band's bucket, chosen by a hash that differs from band to band;
-the links are verified on the exact multisets and joined into components.  That work is
+the links are verified on the exact multisets and joined into components: first one meeting
+per member, then those whose two ends are still in different components.  That work is
 linear in the size of a bucket, however large.  In buckets that still hold several
 components, every member outside the bucket's largest one is then compared with all members
 of other components, block by block: those whose signatures could be similar enough are
@@ -212,7 +213,7 @@ def texts_of(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of the stored ``pairs`` (a, b) whose exact multisets are similar enough.
+    """Those of the ``pairs`` (a, b) whose exact multisets are similar enough.
 
     A text is repeated once per pair only in flight; ``b`` may be one id in very many pairs,
     so the join on it is left to adaptive skew splitting and a task keeps a few multisets.
@@ -316,6 +317,11 @@ def late_links(mixed: DataFrame, members: DataFrame, texts: DataFrame, similarit
     return dealt.groupBy("band", "hash", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
+def as_pairs(stars: DataFrame) -> DataFrame:
+    """Distinct (a, b), the larger id first, of (id, first)."""
+    return stars.select(F.greatest("id", "first").alias("a"), F.least("id", "first").alias("b")).distinct()
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, kept): the smallest id of the class of each document.
 
@@ -332,12 +338,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     first = buckets.groupBy("band", "hash").agg(choice, F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = first.select("band", "hash", F.col("first.id").alias("first"))
     shared = store(spark, buckets.join(first, ["band", "hash"]), "bag-buckets")
-    stars = shared.filter("id <> first").select(F.greatest("id", "first").alias("a"), F.least("id", "first").alias("b"))
-    stars = store(spark, stars.distinct(), "bag-stars")
+    stars = store(spark, shared.filter("id <> first").select("id", "first").distinct(), "bag-stars")
     ids = store(spark, shared.select("id").distinct(), "bag-candidates")
     texts = texts_of(spark, docs, ids)
-    links = store(spark, verify(stars, texts, similarity), "bag-links")
+    # one meeting per member first; the others only where it left two components
+    hub = F.min(F.struct(F.xxhash64("first").alias("order"), "first")).alias("hub")
+    nearest = as_pairs(stars.groupBy("id").agg(hub).select("id", F.col("hub.first").alias("first")))
+    links = store(spark, verify(nearest, texts, similarity), "bag-links")
     labels = components(spark, links)
+    other = labels.select(F.col("id").alias("first"), F.col("label").alias("first_label"))
+    apart = F.coalesce("label", "id") != F.coalesce("first_label", "first")
+    left = store(spark, as_pairs(stars.join(labels, "id", "left").join(other, "first", "left").filter(apart)), "bag-left")
+    more = store(spark, verify(left, texts, similarity), "bag-links")
+    if more.limit(1).count():
+        links = links.union(more)
+        labels = components(spark, links)
     named = shared.join(labels, "id", "left").select("band", "hash", "id", F.coalesce("label", "id").alias("label"))
     counts = named.groupBy("band", "hash", "label").agg(F.count(F.lit(1)).alias("n"))
     several = counts.groupBy("band", "hash").agg(
