@@ -62,6 +62,21 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _replace(fs, src, dst) -> None:
+    """Move ``src`` to ``dst``; what was there is set aside first and put back on failure."""
+    old = None
+    if fs.exists(dst):
+        old = dst.suffix(f".old-{uuid.uuid4().hex}")
+        if not fs.rename(dst, old):
+            raise RuntimeError(f"could not set {dst} aside")
+    if not fs.rename(src, dst):
+        if old is not None:
+            fs.rename(old, dst)
+        raise RuntimeError(f"could not replace {dst}")
+    if old is not None:
+        fs.delete(old, True)
+
+
 def _list(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -215,11 +230,11 @@ def _write_text_atomic_replace(spark: SparkSession, path: str, text: str) -> Non
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
+    try:
+        _replace(fs, tmp, p)
+    except Exception:
         fs.delete(tmp, False)
-        raise RuntimeError(f"could not write {path}")
+        raise
 
 
 # ---------------------------------------------------------------------- export
@@ -232,13 +247,15 @@ def export(
     *,
     schema=None,
     fmt: str = "csv",
+    expected_rows: int | None = None,
     max_records_per_file: int = 20_000_000,
 ) -> dict:
     """Contract columns only, written all-or-nothing to ``path``.
 
     Output goes to a temporary sibling folder first; only a complete, non-empty
-    result replaces ``path`` (rename).  On failure the temporary folder is removed
-    and any previous export stays.
+    result, with ``expected_rows`` rows if given, replaces ``path`` (the previous export
+    is set aside, and put back if the rename fails).  On failure the temporary folder
+    is removed and any previous export stays.  Returns the rows counted in the files.
     """
     spark = df.sparkSession
     out = contract_scan(df, columns, schema)
@@ -253,14 +270,15 @@ def export(
             back = spark.read.parquet(tmp)
         else:
             raise ValueError(f"unsupported export format {fmt!r}")
-        if back.limit(1).count() == 0:
+        rows = back.count()
+        if rows == 0:
             raise GateError("export", [{"rule": "non_empty", "violations": 1}])
-        _delete(spark, path)
+        if expected_rows is not None and rows != expected_rows:
+            raise GateError("export", [{"rule": "row_count", "violations": abs(rows - expected_rows)}])
         fs, src = _fs(spark, tmp)
         _, dst = _fs(spark, path)
-        if not fs.rename(src, dst):
-            raise RuntimeError(f"could not move export into {path}")
+        _replace(fs, src, dst)
     except Exception:
         _delete(spark, tmp)
         raise
-    return {"path": path, "columns": list(columns), "format": fmt}
+    return {"path": path, "columns": list(columns), "format": fmt, "rows": rows}

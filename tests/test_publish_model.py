@@ -63,6 +63,33 @@ def test_read_current_without_snapshot(spark, scratch):
         read_current(spark, scratch, "nothing")
 
 
+def test_export_counts_its_rows_and_keeps_the_previous_one(spark, clean, scratch, monkeypatch):
+    from martkit.sources import snapshots
+
+    path, n = f"{scratch}/counted", clean.count()
+    first = export(clean, path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="parquet", expected_rows=n)
+    assert first["rows"] == n
+    with pytest.raises(GateError):  # a short write
+        export(clean.limit(5), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="parquet", expected_rows=n)
+    assert spark.read.parquet(path).count() == n
+
+    class Failing:  # a file system whose move into the target fails once
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, a, b):
+            return False if ".tmp-" in a.toString() else self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    real = snapshots._replace
+    monkeypatch.setattr(snapshots, "_replace", lambda fs, a, b: real(Failing(fs), a, b))
+    with pytest.raises(RuntimeError):
+        export(clean.limit(5), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="parquet")
+    assert spark.read.parquet(path).count() == n
+
+
 def test_export_csv_roundtrip_and_atomic_replace(spark, clean, scratch):
     path = f"{scratch}/dataset.csv"
     export(clean, path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA)
