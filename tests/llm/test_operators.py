@@ -116,3 +116,12 @@ def test_warc_round_trip():
     back = list(warc_derive.unpack(b"".join(warc_derive.pack(h, d) for _, h, d in made)))
     assert back == [(h, d) for _, h, d in made] and b"x & y" in back[1][1] and b"z" not in back[1][1]
     assert {dict(h)["WARC-Refers-To"] for h, _ in back} == {dict(headers)["WARC-Record-ID"]}
+
+
+def test_warc_reader_takes_records_longer_than_its_reads_and_refuses_cut_files():
+    noise = np.random.default_rng(3).integers(0, 256, 3 * warc_derive.READ_BYTES, np.uint8).tobytes()
+    made = [([("WARC-Type", "conversion"), ("Content-Length", str(len(d)))], d) for d in (b"", noise, b"x", noise[:100])]
+    data = b"".join(warc_derive.pack(h, d) for h, d in made)
+    assert list(warc_derive.unpack(data)) == made and list(warc_derive.unpack(b"")) == []
+    with pytest.raises(ValueError):
+        list(warc_derive.unpack(data[:-20]))
