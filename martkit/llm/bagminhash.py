@@ -237,27 +237,54 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
+def _roots(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(id, root): each vertex of ``edges`` follows smallest neighbours down to a local minimum."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")),
+                             F.struct(F.col("b").alias("id"), F.col("a").alias("other"))))
+    near = edges.select(ends.alias("end")).select("end.*").groupBy("id")
+    up = store(spark, near.agg(F.least("id", F.min("other")).alias("root")), "roots")
+    while True:
+        over = up.select(F.col("id").alias("root"), F.col("root").alias("above"))
+        jumped = store(spark, up.join(over, "root").select("id", F.col("root").alias("was"), F.col("above").alias("root")), "roots")
+        up = jumped.select("id", "root")
+        if not jumped.filter(F.col("was") != F.col("root")).limit(1).count():
+            return up
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
-    """(id, label): the smallest id linked to each id, by label spreading with pointer jumps."""
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = store(spark, both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")), "labels")
+    """(id, label): the smallest id linked to each id.
+
+    Every round merges each vertex into the local minimum it leads to and keeps the distinct
+    links between the merged vertices, so a round reads fewer links than the one before.
+    """
+    edges, labels = links, None
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("l")), "b")
-        near = near.groupBy(F.col("a").alias("id")).agg(F.min("l").alias("near"))
-        spread = labels.join(near, "id").select("id", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        up = labels.select(F.col("id").alias("label"), F.col("label").alias("root"))
-        jumped = store(spark, spread.join(up, "label", "left").select(
-            "id", "was", F.least("label", F.coalesce("root", "label")).alias("label")), "labels")
-        if jumped.filter(F.col("was") != F.col("label")).limit(1).count() == 0:
-            return jumped.select("id", "label")
-        labels = jumped.select("id", "label")
+        roots = _roots(spark, edges)
+        if labels is None:
+            labels = roots.select("id", F.col("root").alias("label"))
+        else:
+            labels = relabel(spark, labels, roots)
+        for end in ("a", "b"):
+            edges = edges.join(roots.select(F.col("id").alias(end), F.col("root").alias(f"of_{end}")), end)
+        edges = edges.select(F.greatest("of_a", "of_b").alias("a"), F.least("of_a", "of_b").alias("b"))
+        edges = store(spark, edges.filter("a <> b").distinct(), "merged-links")
+        if not edges.limit(1).count():
+            return labels
+
+
+def relabel(spark: SparkSession, labels: DataFrame, roots: DataFrame) -> DataFrame:
+    """``labels`` (id, label) with each label replaced by its (id, root), where it has one."""
+    over = roots.select(F.col("id").alias("label"), "root")
+    named = labels.join(over, "label", "left").select("id", F.coalesce("root", "label").alias("label"))
+    return store(spark, named, "labels")
 
 
 def link_block(ids, labels, places, marks, texts, rest, band: int, similarity: float) -> list[tuple[int, int]]:
     """Links between different components of one block of a bucket.
 
     Rows with ``rest`` are compared with the rows without.  Pairs that share an earlier band
-    are left to that band's bucket; pairs already connected in this block are skipped.
+    are left to that band's bucket; pairs already connected in this block are skipped.  A link
+    is given by the labels of the two components.
     """
     root = {x: x for x in labels}
 
@@ -284,7 +311,7 @@ def link_block(ids, labels, places, marks, texts, rest, band: int, similarity: f
             a, b = find(labels[k]), find(labels[j])
             if a != b and overlap(bag(k), bag(j)) >= similarity:
                 root[max(a, b)] = min(a, b)
-                out.append((max(ids[k], ids[j]), min(ids[k], ids[j])))
+                out.append((max(labels[k], labels[j]), min(labels[k], labels[j])))
     return out
 
 
@@ -346,7 +373,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     mixed = store(spark, named.join(several, ["band", "hash"]), "bag-mixed")
     late = store(spark, late_links(mixed, members, texts, similarity).distinct(), "bag-late")
     if late.limit(1).count():
-        labels = components(spark, links.union(late))
+        merged = components(spark, late).select("id", F.col("label").alias("root"))
+        labels = relabel(spark, named.select("id", "label").distinct(), merged)
     of_digest = members.select("digest", "id").join(labels, "id", "left").select(
         "digest", F.coalesce("label", "id").alias("class_id"))
     with_class = rows.filter(F.col("digest").isNotNull()).select("doc_id", "digest").join(of_digest, "digest", "left")

@@ -125,3 +125,16 @@ def test_warc_reader_takes_records_longer_than_its_reads_and_refuses_cut_files()
     assert list(warc_derive.unpack(data)) == made and list(warc_derive.unpack(b"")) == []
     with pytest.raises(ValueError):
         list(warc_derive.unpack(data[:-20]))
+
+
+@pytest.mark.parametrize("links", [
+    [], [(2, 1)], [(k + 1, k) for k in range(40)], [(99, k) for k in range(30)] + [(99, 98), (7, 3)],
+    [((k * 37) % 101, (k * 53 + 11) % 101) for k in range(70)]])
+def test_components_label_every_id_with_the_smallest(spark, links):
+    links = sorted({(max(a, b), min(a, b)) for a, b in links if a != b})
+    want = {x: x for pair in links for x in pair}
+    for _ in want:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    found = bagminhash.components(spark, spark.createDataFrame(links, "a bigint, b bigint"))
+    assert {r["id"]: r["label"] for r in found.collect()} == want
