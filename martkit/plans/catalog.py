@@ -105,6 +105,44 @@ def q_raw_gate_report(spark, d):
     return gates.raw_gate(_raw(spark, d), SPEC.key)
 
 
+def _raw_repeated(spark, d) -> DataFrame:
+    """Raw mart with repeated and NULL flat ids."""
+    return build_raw(fixtures.repeated_flats(spark, d), fixtures.buildings(spark, d))
+
+
+def q_raw_gate_failing(spark, d):
+    """D3 on a mart that breaks both key rules."""
+    return gates.raw_gate(_raw_repeated(spark, d), SPEC.key)
+
+
+def q_clean_gate_failing(spark, d):
+    """D9 on the unfiltered mart: repeated ids, missing and non-positive values."""
+    return gates.clean_gate(_raw_repeated(spark, d), SPEC)
+
+
+def q_clean_input_gate_failing(spark, d):
+    """D4 on a mart of flats whose ids are all missing: no row is left."""
+    return gates.clean_input_gate(_raw(spark, d).where(F.col(SPEC.key).isNull()), exists=table_exists(spark, table_path(d, "no_such_table")))
+
+
+def q_target_gate_failing(spark, d):
+    """F6 / P8 / P9 on target strings that are no positive finite number."""
+    text = read_table(spark, d, "orders").selectExpr("o_orderkey", f"{fixtures.TARGET_TEXT_EXPR} AS price")
+    return gates.target_gate(text, SPEC.target)
+
+
+def q_profile_duplicates_repeated(spark, d):
+    """A7 on whole-row and key repeats: all rows of the repeated mart and its copies again."""
+    raw = _raw_repeated(spark, d)
+    return profile.profile_duplicates(raw.unionByName(raw.where(F.col("rooms") == 2)), SPEC.key)
+
+
+def q_dedup_repeated_flats(spark, d):
+    """W1 in input order: of the rows of an id the one of smallest seq stays."""
+    rows = fixtures.repeated_flats(spark, d).where(F.col("id").isNotNull()).select("id", "seq", "price", "rooms", "total_area")
+    return dedup_keep_first(rows, ["id"], ["seq"])
+
+
 def q_clean_input_gate(spark, d):
     exists = all(table_exists(spark, table_path(d, t)) for t in ("orders", "customer"))
     return gates.clean_input_gate(_raw(spark, d), exists=exists)
@@ -298,6 +336,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_orphans": q_source_orphans,
     "source_gate_report": q_source_gate_report,
     "raw_gate_report": q_raw_gate_report,
+    "raw_gate_failing": q_raw_gate_failing,
+    "clean_gate_failing": q_clean_gate_failing,
+    "clean_input_gate_failing": q_clean_input_gate_failing,
+    "target_gate_failing": q_target_gate_failing,
+    "profile_duplicates_repeated": q_profile_duplicates_repeated,
+    "dedup_repeated_flats": q_dedup_repeated_flats,
     "clean_input_gate": q_clean_input_gate,
     "clean_gate_report": q_clean_gate_report,
     "duplicate_keys": q_duplicate_keys,
@@ -338,6 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _H = O.housing_ctes()
 _RAW = O.raw_ctes()
+_REPEATED = [("flats", fixtures.repeated_flats_sql())] + _RAW[1:]
 
 
 def _w(ctes, final):
@@ -362,6 +407,18 @@ def _biz_sql():
     return " OR ".join(terms)
 
 
+def _raw_rules(rel: str) -> list[tuple[str, str]]:
+    return [("non_empty", f"SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {rel}"),
+            ("key_not_null", f"SELECT count(*) FROM {rel} WHERE flat_id IS NULL"),
+            ("key_unique", _dups(rel, "flat_id"))]
+
+
+def _clean_rules(rel: str) -> list[tuple[str, str]]:
+    return [("non_empty", f"SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {rel}"),
+            ("key_unique", _dups(rel, "flat_id")),
+            ("business_rules", f"SELECT count(*) FROM {rel} WHERE {_biz_sql()}")]
+
+
 def _quartile_row(cols, rel):
     return O.iqr_bounds_sql(cols, rel)
 
@@ -567,10 +624,29 @@ def oracle_sql() -> dict[str, str]:
             [("no_orphans", "SELECT count(*) FROM flats f LEFT JOIN buildings b ON b.id = f.building_id WHERE b.id IS NULL")],
         ),
         "raw_gate_report": _gate_sql(
-            "raw", _RAW,
-            [("non_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM raw"),
-             ("key_not_null", "SELECT count(*) FROM raw WHERE flat_id IS NULL"),
-             ("key_unique", _dups("raw", "flat_id"))],
+            "raw", _RAW, _raw_rules("raw"),
+        ),
+        "raw_gate_failing": _gate_sql("raw", _REPEATED, _raw_rules("raw")),
+        "clean_gate_failing": _gate_sql("clean", _REPEATED, _clean_rules("raw")),
+        "clean_input_gate_failing": _gate_sql(
+            "clean_input", _RAW,
+            [("exists", "SELECT 1"),
+             ("non_empty", "SELECT CASE WHEN EXISTS (SELECT 1 FROM raw WHERE flat_id IS NULL) THEN 0 ELSE 1 END")],
+        ),
+        "target_gate_failing": _gate_sql(
+            "target", [("t0", f"SELECT TRY_CAST({fixtures.TARGET_TEXT_EXPR} AS DOUBLE) AS price FROM orders")],
+            [("non_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM t0"),
+             ("target_valid", "SELECT count(*) FROM t0 WHERE price IS NULL OR isnan(price) OR isinf(price)"),
+             ("target_positive", "SELECT count(*) FROM t0 WHERE price <= 0")],
+        ),
+        "profile_duplicates_repeated": _w(
+            _REPEATED + [("twice", "SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE rooms = 2")],
+            "SELECT (SELECT count(*) FROM twice) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice) t) AS dup_all, "
+            "(SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM twice GROUP BY flat_id) t) AS dup_flat_id",
+        ),
+        "dedup_repeated_flats": (
+            f"SELECT id, seq, price, rooms, total_area FROM ({fixtures.repeated_flats_sql()}) t WHERE id IS NOT NULL "
+            "QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq) = 1"
         ),
         "clean_input_gate": _gate_sql(
             "clean_input", _RAW,
@@ -578,10 +654,7 @@ def oracle_sql() -> dict[str, str]:
              ("non_empty", "SELECT CASE WHEN EXISTS (SELECT 1 FROM raw) THEN 0 ELSE 1 END")],
         ),
         "clean_gate_report": _gate_sql(
-            "clean", _H,
-            [("non_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM clean"),
-             ("key_unique", _dups("clean", "flat_id")),
-             ("business_rules", f"SELECT count(*) FROM clean WHERE {_biz_sql()}")],
+            "clean", _H, _clean_rules("clean"),
         ),
         "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
         "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",

@@ -8,6 +8,7 @@ The same expression text runs in Spark (``selectExpr``) and in the DuckDB oracle
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martkit.sources.tables import read_table
 
@@ -70,3 +71,34 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").selectExpr(
         *[f"{e} AS {a}" for a, e in BUILDINGS_EXPRS]
     )
+
+
+# Rows that break the raw rules.  Flats of ids divisible by 50 come twice, the
+# copy (seq 1) at twice the price; ids divisible by 499 lose their id in the copy.
+def repeated_flats_sql(table: str = "orders") -> str:
+    base = flats_sql(table)
+    cols = [a for a, _ in FLATS_EXPRS if a not in ("id", "price")]
+    copy = ", ".join(cols)
+    return (
+        f"SELECT {copy}, id, price, 0 AS seq FROM ({base}) t UNION ALL "
+        f"SELECT {copy}, CASE WHEN id % 499 = 0 THEN NULL ELSE id END AS id, price * 2 AS price, 1 AS seq "
+        f"FROM ({base}) t WHERE id % 50 = 0 OR id % 499 = 0"
+    )
+
+
+def repeated_flats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All flats (seq 0) and the copies of some of them (seq 1)."""
+    first = flats(spark, sf_dir)
+    copies = first.where((F.col("id") % 50 == 0) | (F.col("id") % 499 == 0)).withColumns({
+        "id": F.when(F.col("id") % 499 != 0, F.col("id")),
+        "price": F.col("price") * 2,
+        "seq": F.lit(1),
+    })
+    return first.withColumn("seq", F.lit(0)).unionByName(copies)
+
+
+# Target strings that are no positive finite number, and one that is.
+TARGET_TEXT_EXPR = (
+    "CASE WHEN o_orderkey % 7 = 0 THEN 'abc' WHEN o_orderkey % 7 = 1 THEN '' WHEN o_orderkey % 7 = 2 THEN '-5' "
+    "WHEN o_orderkey % 7 = 3 THEN NULL WHEN o_orderkey % 7 = 4 THEN 'Infinity' ELSE '12.5' END"
+)
