@@ -266,3 +266,20 @@ def test_records_per_file_bound(spark, clean, scratch):
     m = publish_snapshot(clean, scratch, "small_files", max_records_per_file=200)
     files = [f for f in _ls(spark, m["uri"]) if f.endswith(".parquet")]
     assert m["rows"] == 1165 and len(files) >= 6
+
+
+def test_model_queries_train_the_operators_default_size(spark, sf001, monkeypatch):
+    from martkit.plans import catalog, flow
+
+    seen = []
+
+    def stop(train, params=None, **_):
+        seen.append(params)
+        raise InterruptedError
+
+    monkeypatch.setattr(catalog, "fit", stop)
+    monkeypatch.setattr(flow, "train_job", lambda train, root, params, **_: stop(train, params))
+    for query in (catalog.q_gbt_evaluate, catalog.q_end_to_end_report):
+        with pytest.raises(InterruptedError):
+            query(spark, sf001)
+    assert seen == [ModelParams()] * 2 and (seen[0].n_estimators, seen[0].max_depth) == (500, 8)
