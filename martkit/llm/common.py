@@ -36,6 +36,16 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file of any Hadoop file system, read by the driver."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives executors."""
     path = fresh_folder(spark, name)

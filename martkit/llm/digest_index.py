@@ -13,12 +13,15 @@ and text columns are read, so extra columns cannot clash.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, fresh_folder, store, table
+from ..sources.snapshots import write_json_atomic
+from ..sources.tables import path_exists
+from .common import SPACE_CHARS, fresh_folder, read_text, store, table
 
 ENTRY_SCHEMA = "digest binary, keep_id bigint, keep_chars bigint"
 
@@ -35,11 +38,15 @@ def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 class DigestIndex:
-    """A bucketed digest table at ``path``; reopening the path continues the same index."""
+    """A bucketed digest table at ``path``; reopening the path continues the same index.
+
+    The bucket count is stored beside the entries and holds at every reopening, whatever
+    the session's shuffle partitions are then; asking for another count is refused.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self._bucket_count(buckets)
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.name} ({ENTRY_SCHEMA}) USING parquet "
@@ -47,6 +54,20 @@ class DigestIndex:
             f"LOCATION '{path}'"
         )
 
+    def _bucket_count(self, wanted: int | None) -> int:
+        """The stored bucket count of the path; a new path gets the wanted or default one."""
+        marker = f"{self.path.rstrip('/')}/_index.json"
+        if path_exists(self.spark, marker):
+            held = json.loads(read_text(self.spark, marker))["buckets"]
+            if wanted not in (None, held):
+                raise ValueError(f"the index at {self.path} has {held} buckets, not {wanted}")
+            return held
+        if path_exists(self.spark, self.path) and not self.spark.read.schema(ENTRY_SCHEMA).parquet(self.path).isEmpty():
+            raise ValueError(f"the index at {self.path} has entries but no stored bucket count")
+        count = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        write_json_atomic(self.spark, marker, {"buckets": count})
+        return count
+
     def entries(self) -> DataFrame:
         return self.spark.table(self.name)
 

@@ -40,6 +40,22 @@ def test_exact_dedup_keeps_the_longest_then_the_smallest(spark):
     assert sorted(i for i in out if out[i].kept) == [2, 3, 5]
 
 
+def test_digest_index_reopens_with_its_own_buckets(spark, scratch):
+    rows = digest_index.text_digests(docs(spark, *[f"text {i}" for i in range(300)]))
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("8", "4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            index = digest_index.DigestIndex(spark, scratch)
+            index.add(rows)
+            assert index.buckets == 8 and index.entries().count() == 300 and index.decide(rows).count() == 300
+            spark.sql(f"DROP TABLE {index.name}")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    with pytest.raises(ValueError, match="8 buckets"):
+        digest_index.DigestIndex(spark, scratch, 4)
+
+
 def test_line_runs_compact_and_count(spark):
     texts = [f"{LONG}\nown {i}" for i in range(7)] + [None, ""]
     out = {r.doc_id: r for r in line_runs.dedup_lines(spark, docs(spark, *texts)).collect()}
