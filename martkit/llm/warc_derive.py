@@ -36,7 +36,13 @@ FILE_BYTES = 32 << 20
 RECORD = "page_id bigint, type string, headers array<struct<name:string,value:string>>, block binary"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 
-_SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_OPEN = re.compile(r"<!--|<(script|style|noscript|template|svg|head)(?=[\s/>])[^>]*>", re.I)
+_CLOSE = {"": re.compile("-->"), **{k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template", "svg")}}
+_TO_END = ("", "script", "style")  # comments and raw text: what is not closed runs to the end of the page
+# what stands in a head besides the elements of _OPEN; anything else ends it, closed or not
+_IN_HEAD = re.compile(
+    r"(?:\s+|</(?!(?:body|html|br)\b)[a-z][^>]*>|<(?:meta|link|base|basefont|bgsound)(?=[\s/>])[^>]*>|<!(?!--)[^>]*>|<\?[^>]*>|"
+    r"<(title|noframes)(?=[\s/>])[^>]*>.*?</\1\s*>)*+", re.S | re.I)
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|"
     r"pre|section|table|tbody|td|tfoot|th|thead|tr|ul|body|html)\b[^>]*>", re.I)
@@ -51,9 +57,36 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def shown(page: str) -> str:
+    """The page without comments, head, and elements that show no text.
+
+    A head ends where its metadata ends, with or without ``</head>``; a self-closed svg is
+    empty; an unclosed noscript, template or svg loses only its tag.
+    """
+    parts, at, head, unclosed = [], 0, False, set()
+    while True:
+        if head:
+            at = _IN_HEAD.match(page, at).end()
+        m = _OPEN.search(page, at)
+        if m is None:
+            return " ".join([*parts, page[at:]])
+        parts.append(page[at:m.start()])
+        name = (m[1] or "").lower()
+        head = name == "head" or head and m.start() == at and name != "svg"
+        at = m.end()
+        if name == "head" or name == "svg" and m[0].endswith("/>") or name in unclosed:
+            continue
+        if end := _CLOSE[name].search(page, at):
+            at = end.end()
+        elif name in _TO_END:
+            return " ".join(parts)
+        else:
+            unclosed.add(name)
+
+
 def plain_text(page: str) -> str:
     """Visible text of a page: one line per block element, white space collapsed."""
-    text = _TAG.sub("", _BREAK.sub("\n", _SKIP.sub(" ", page)))
+    text = _TAG.sub("", _BREAK.sub("\n", shown(page)))
     lines = (_BLANK.sub(" ", x).strip() for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 

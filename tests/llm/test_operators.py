@@ -134,6 +134,19 @@ def test_warc_round_trip():
     assert {dict(h)["WARC-Refers-To"] for h, _ in back} == {dict(headers)["WARC-Record-ID"]}
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><p>kept words</p></body></html>", "kept words"),
+    ("<head><meta charset=utf-8><title>T</title><style>s</style><p>kept</p><script>z</script> more", "kept\nmore"),
+    ("<html><head><!-- c --><title>T</title>\n</head><body>kept", "kept"),
+    ("<head><title>T</title>plain words <b>kept</b>", "plain words kept"),
+    ("<p>a<svg width='1'/>b</p><svg><text>no</text></svg>c", "a b\nc"),
+    ("<p>a<svg>b</p><noscript>c <template>d", "a b\nc d"),
+    ("<header>kept</header><p>a<script>b</p>", "kept\na"), ("a<style>b", "a"), ("a<!-- b", "a"), ("", ""),
+])
+def test_plain_text_keeps_what_an_open_head_or_svg_does_not_hold(page, text):
+    assert warc_derive.plain_text(page) == text
+
+
 def test_warc_reader_takes_records_longer_than_its_reads_and_refuses_cut_files():
     noise = np.random.default_rng(3).integers(0, 256, 3 * warc_derive.READ_BYTES, np.uint8).tobytes()
     made = [([("WARC-Type", "conversion"), ("Content-Length", str(len(d)))], d) for d in (b"", noise, b"x", noise[:100])]
