@@ -93,8 +93,14 @@ def _cut(ranked: DataFrame, left: str) -> DataFrame:
     joined = ranked.join(f, F.col("source").eqNullSafe(F.col("f_source")), "left")
     edge = joined.filter(F.col("fine") == F.col("f_fine"))
     rest = joined.filter(F.col("f_fine").isNull() | (F.col("fine") != F.col("f_fine")))
+    # equal rows are summed as one row with a count, so that ids that repeat do not meet in the window
+    edge = edge.groupBy(*edge.columns).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("source").orderBy("rank01", F.col("doc_id").asc_nulls_last(), "size", "serial")
-    edge = edge.withColumn("within", F.col("f_below") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) <= F.col(left))
+    upto = F.sum(F.col("size") * F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    edge = edge.withColumn("upto", upto).withColumn("k", F.explode(F.expr("sequence(1L, n)")))
+    edge = edge.withColumn(
+        "within", F.col("f_below") + F.col("upto") - (F.col("n") - F.col("k")) * F.col("size") <= F.col(left))
+    edge = edge.drop("n", "upto", "k")
     rest = rest.withColumn("within", F.col("f_fine").isNull() | (F.col("fine") < F.col("f_fine")))
     return edge.unionByName(rest).drop("f_source", "f_fine", "f_below", "fine")
 
@@ -119,9 +125,11 @@ def mix(spark: SparkSession, docs: DataFrame, seed: str = "mix", max_copies: int
         .withColumn("rank01", F.when(F.col("p") > 0, q / (1 + q)).otherwise(F.lit(1.0)))
         .withColumn("left", F.col("target") - (F.col("certain") * F.col("source_size")).cast("double"))
         .withColumn("serial", F.lit(0))
-        .select("doc_id", "source", "size", "source_size", "target", "certain", "rank01", "left", "serial")
+        .select("doc_id", "source", "size", "source_size", "target", "certain", "p", "rank01", "left", "serial")
     )
-    cut = store(spark, _cut(rows, "left"), "mix-cut")
+    # without a fraction there is nothing to cut: the whole copies are the result
+    whole_only = rows.filter(~(F.col("p") > 0)).drop("p").withColumn("within", F.lit(False))
+    cut = store(spark, _cut(rows.filter(F.col("p") > 0).drop("p"), "left").unionByName(whole_only), "mix-cut")
     got = cut.groupBy("source").agg(
         F.sum(F.when(F.col("within"), F.col("size")).otherwise(F.lit(0))).alias("got"))
     got = got.select(F.col("source").alias("g_source"), "got")

@@ -40,6 +40,20 @@ def test_exact_dedup_keeps_the_longest_then_the_smallest(spark):
     assert sorted(i for i in out if out[i].kept) == [2, 3, 5]
 
 
+def test_mixing_ranks_no_whole_source(spark, monkeypatch):
+    ranked, cut = [], mixing._cut
+    monkeypatch.setattr(mixing, "_cut", lambda rows, left: ranked.append(rows) or cut(rows, left))
+    one = spark.createDataFrame([(i, "a b", "s") for i in range(50)], "doc_id bigint, text string, source string")
+    assert {r.copies for r in mixing.mix(spark, one).collect()} == {1} and ranked[0].count() == 0
+    # equal rows (null ids) are cut as one row with a count: 3 rows of 2 words fit in 7
+    equal = spark.createDataFrame(
+        [(None, "s", 2, 0.5, 7.0, 0)] * 40, "doc_id bigint, source string, size bigint, rank01 double, left double, serial int")
+    out = cut(equal, "left")
+    assert sorted(r.within for r in out.collect()) == [False] * 37 + [True] * 3
+    last = out._jdf.queryExecution().optimizedPlan().toString().split("Window [")
+    assert any("count(1)" in x for x in last[1:]) and out.count() == 40
+
+
 def test_digest_index_reopens_with_its_own_buckets(spark, scratch):
     rows = digest_index.text_digests(docs(spark, *[f"text {i}" for i in range(300)]))
     shuffles = spark.conf.get("spark.sql.shuffle.partitions")
