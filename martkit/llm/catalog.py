@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bagminhash, digest_index, license_scan, line_runs, mixing, phrase_index, site_quality, token_count, token_store, warc_derive
+from . import bagminhash, digest_index, license_scan, line_runs, mixing, phrase_index, site_quality, token_count, token_store, warc_derive, whitening
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc_derive.op8_warc,
     "op9_exact_dedup": digest_index.op9_exact_dedup,
     "op10_near_duplicates": bagminhash.op10_near_duplicates,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE = {
