@@ -1,8 +1,10 @@
 """Byte-level BPE of a whole corpus by a global shuffle of its distinct words; decoding.
 
 Encoding: texts are cut into pre-tokens by the tokenizer's pattern and coded by block, the
-blocks' dictionary entries are exploded, every distinct word of the corpus is encoded once,
-its ids are joined back to the entries, and each block puts the ids together by position.
+blocks' dictionary entries are exploded and shuffled by word.  In a sorted partition the
+entries of a word follow one another, so a task encodes every distinct word of the corpus once
+and joins its ids to all its entries, which go back to their blocks in packed rows; there each
+block puts the ids together by position.
 Decoding joins ids with the token-byte table.  The table is as long as the vocabulary, so it
 is broadcast if its bytes are within ``TABLE_BYTES``; a larger one is joined by a shuffle.
 
@@ -27,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import wordblocks
 from .common import read_text, ship, store, table
 from .wordblocks import Codes, block_ids, entries_of, gather, pack, rejoin, store_blocks, unpack
 
+#: text of a block; larger ones have fewer dictionary entries to shuffle and need more memory
+BLOCK_BYTES = 32 << 20
 #: largest token-byte table that decoding broadcasts
 TABLE_BYTES = 64 << 20
 
@@ -164,15 +167,6 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def _ids_udf(path: str):
-    @F.arrow_udf("binary")
-    def ids(words: pa.Array) -> pa.Array:
-        ranks = ranks_of(path)
-        return pa.array([np.array(merge(w, ranks), "<u4").tobytes() for w in words.to_pylist()], pa.binary())
-
-    return ids
-
-
 # ---------------------------------------------------------------------------- encode
 
 
@@ -190,10 +184,16 @@ class _Block:
 
     def row(self, number: int) -> pa.RecordBatch:
         sizes = [len(r) for r in self.rows]
-        words = [w.encode() for w in self.codes]
+        stream = np.concatenate(self.rows)
+        # frequent words get the small codes, which compress best
+        order = np.argsort(-np.bincount(stream, minlength=len(self.codes)), kind="stable")
+        code = np.empty(len(order), np.uint32)
+        code[order] = np.arange(len(order))
+        found = list(self.codes)
+        words = [found[i].encode() for i in order]
         return pa.RecordBatch.from_arrays(
             [pa.array([number]), pa.array([self.ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-             pa.array([pack(np.concatenate(self.rows))], pa.binary()), pa.array([words], pa.list_(pa.binary()))],
+             pa.array([pack(code[stream])], pa.binary()), pa.array([words], pa.list_(pa.binary()))],
             ["block", "doc_ids", "sizes", "codes", "words"])
 
 
@@ -205,7 +205,7 @@ def _blocks_of(pattern: str):
         for b in batches:
             for i in range(b.num_rows):
                 text = b.column(1)[i].as_py() or ""
-                if block.ids and block.bytes + len(text) > wordblocks.BLOCK_BYTES:
+                if block.ids and block.bytes + len(text) > BLOCK_BYTES:
                     yield block.row(next(numbers))
                     block = _Block()
                 block.add(b.column(0)[i].as_py(), split.of(text), len(text))
@@ -215,18 +215,60 @@ def _blocks_of(pattern: str):
     return blocks
 
 
-def _reassemble(block: pa.Table, entries: pa.Table) -> pa.Table:
+#: entries that a task packs together
+PACKED = 200_000
+_GIVEN_SCHEMA = "block bigint, codes binary, sizes binary, ids binary"
+
+
+def _pack_by_block(blocks: np.ndarray, codes: np.ndarray, ids: list[list[int]]) -> pa.RecordBatch:
+    """Entries with ids, one row per block; codes ascend and are kept as differences."""
+    order = np.lexsort((codes, blocks))
+    found, firsts = np.unique(blocks[order], return_index=True)
+    rows = []
+    for part in np.split(order, firsts[1:]):
+        own = [ids[i] for i in part]
+        rows.append((pack(np.diff(codes[part], prepend=0)), pack(np.array([len(x) for x in own])), pack(np.array([i for x in own for i in x], np.int64))))
+    columns = [pa.array(c, pa.binary()) for c in zip(*rows)]
+    return pa.RecordBatch.from_arrays([pa.array(found), *columns], ["block", "codes", "sizes", "ids"])
+
+
+def _encoder_of(path: str):
+    def encoded(batches):
+        """Entries sorted by word, so that each distinct word is encoded once."""
+        ranks = ranks_of(path)
+        word, of_word = None, []
+        blocks, codes, ids, held = [], [], [], 0
+        for b in batches:
+            blocks.append(b.column(0).to_numpy())
+            codes.append(b.column(1).to_numpy())
+            for w in b.column(2).to_pylist():
+                if w != word:
+                    word, of_word = w, merge(w, ranks)
+                ids.append(of_word)
+            held += b.num_rows
+            if held >= PACKED:
+                yield _pack_by_block(np.concatenate(blocks), np.concatenate(codes), ids)
+                blocks, codes, ids, held = [], [], [], 0
+        if held:
+            yield _pack_by_block(np.concatenate(blocks), np.concatenate(codes), ids)
+
+    return encoded
+
+
+def _joined(column: pa.ChunkedArray, read=unpack) -> np.ndarray:
+    parts = [read(x) for x in column.to_pylist()]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+
+
+def _reassemble(block: pa.Table, given: pa.Table) -> pa.Table:
     """Ids of a block's documents, by the positions of its words."""
-    of_words = entries.column("ids").to_pylist()
-    source = np.frombuffer(b"".join(of_words), "<u4")
-    n = np.array([len(x) // 4 for x in of_words], np.int64)
-    code = entries.column("code").to_numpy()
+    code = _joined(given.column("codes"), lambda x: np.cumsum(unpack(x), dtype=np.int64))
+    n, source = _joined(given.column("sizes")).astype(np.int64), _joined(given.column("ids"))
     starts, lengths = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
     starts[code], lengths[code] = np.cumsum(n) - n, n
     codes = unpack(block.column("codes")[0].as_py())
-    ends = np.cumsum(block.column("sizes")[0].values.to_numpy(), dtype=np.int64)
     out, at = [], 0
-    for end in ends:
+    for end in np.cumsum(block.column("sizes")[0].values.to_numpy(), dtype=np.int64):
         out.append(gather(codes[at:end], starts, lengths, source).tobytes())
         at = end
     return pa.Table.from_arrays([block.column("doc_ids")[0].values, pa.array(out, pa.binary())], ["doc_id", "ids"])
@@ -236,10 +278,9 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> Dat
     """(doc_id, ids) of every row, by the ranks of the file at ``path`` on every machine."""
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    blocks = store_blocks(spark, rows.mapInArrow(_blocks_of(pattern), _BLOCK_SCHEMA), "token-blocks")
-    entries = entries_of(blocks)
-    encoded = entries.select("word").distinct().withColumn("ids", _ids_udf(path)("word"))
-    return rejoin(blocks, entries.join(encoded, "word").drop("word"), _reassemble, TOKENS_SCHEMA)
+    blocks = store_blocks(spark, rows.mapInArrow(_blocks_of(pattern), _BLOCK_SCHEMA), "token_blocks")
+    entries = entries_of(blocks).repartition("word").sortWithinPartitions("word")
+    return rejoin(blocks, entries.mapInArrow(_encoder_of(path), _GIVEN_SCHEMA), _reassemble, TOKENS_SCHEMA)
 
 
 # ---------------------------------------------------------------------------- decode

@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import wordblocks
 from .common import ship, store, table
 from .wordblocks import Codes, block_ids, entries_of, pack, rejoin, store_blocks, unpack
 
 FILTERS = "ABCDE"
+#: text of a block
+BLOCK_BYTES = 16 << 20
 #: fixed values: limits of A, B (percent of words) and C (percent of code points), characters of D
 MIN_WORDS = 200
 DISTINCT_PERCENT = 50
@@ -88,7 +89,7 @@ def _blocks(batches):
     block = _Block()
     for b in batches:
         for doc_id, part, text in zip(*(c.to_pylist() for c in b.columns)):
-            if block.docs and block.bytes + len(text) > wordblocks.BLOCK_BYTES:
+            if block.docs and block.bytes + len(text) > BLOCK_BYTES:
                 yield block.row(next(numbers))
                 block = _Block()
             block.add(doc_id, part, text)
@@ -125,7 +126,7 @@ def term_matrix(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce("lang", F.lit("")).alias("part"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    blocks = store_blocks(spark, rows.mapInArrow(_blocks, _BLOCK_SCHEMA), "term-blocks")
+    blocks = store_blocks(spark, rows.mapInArrow(_blocks, _BLOCK_SCHEMA), "term_blocks")
     entries = entries_of(blocks)
     known = word_dictionary(spark, entries.select("word"))
     return rejoin(blocks, entries.join(known, "word").drop("word"), _shard, SHARD_SCHEMA)
