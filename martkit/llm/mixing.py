@@ -15,7 +15,8 @@ range, and only that bin's documents are ordered.
 
 Defined cases: a null or empty text has size 0; a null source is a source of its own, last
 in order; equal ranks go by id, then size; rows that repeat an id are documents of their
-own; an empty table gives an empty result; only id, text, source (and weight) are read.
+own, and the last place goes to one of several equal rows; an empty table gives an empty
+result; only id, text, source (and weight) are read.
 """
 
 from __future__ import annotations
@@ -129,7 +130,9 @@ def mix(spark: SparkSession, docs: DataFrame, seed: str = "mix", max_copies: int
     )
     # without a fraction there is nothing to cut: the whole copies are the result
     whole_only = rows.filter(~(F.col("p") > 0)).drop("p").withColumn("within", F.lit(False))
-    cut = store(spark, _cut(rows.filter(F.col("p") > 0).drop("p"), "left").unionByName(whole_only), "mix-cut")
+    cut = _cut(rows.filter(F.col("p") > 0).drop("p"), "left").unionByName(whole_only)
+    # a number for each row, fixed by storing it: equal rows are told apart by it alone
+    cut = store(spark, cut.withColumn("row", F.monotonically_increasing_id()), "mix-cut")
     got = cut.groupBy("source").agg(
         F.sum(F.when(F.col("within"), F.col("size")).otherwise(F.lit(0))).alias("got"))
     got = got.select(F.col("source").alias("g_source"), "got")
@@ -137,11 +140,9 @@ def mix(spark: SparkSession, docs: DataFrame, seed: str = "mix", max_copies: int
     gap = F.col("left") - F.col("got").cast("double")
     miss = F.abs(F.col("size").cast("double") - gap)
     last = near.filter(miss < gap).groupBy("source").agg(F.min(F.struct(
-        miss.alias("miss"), "rank01", F.col("doc_id").isNull().alias("no_id"), "doc_id", "size")).alias("last"))
-    last = last.select(F.col("source").alias("l_source"), F.col("last.doc_id").alias("l_id"),
-                       F.col("last.size").alias("l_size"), F.lit(True).alias("l_any"))
-    closing = (F.col("l_any") & F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("size") == F.col("l_size"))
-               & ~F.col("within"))
+        miss.alias("miss"), "rank01", F.col("doc_id").isNull().alias("no_id"), "doc_id", "size", "row")).alias("last"))
+    last = last.select(F.col("source").alias("l_source"), F.col("last.row").alias("l_row"))
+    closing = F.col("row") == F.col("l_row")
     out = cut.join(last, F.col("source").eqNullSafe(F.col("l_source")), "left")
     copies = F.col("certain") + F.when(F.col("within") | F.coalesce(closing, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
     copies = F.when(F.col("left") > 0, copies).otherwise(F.col("certain"))
@@ -185,23 +186,23 @@ e AS (
 p AS (
   SELECT *, least(floor(expected), 3)::BIGINT AS certain, expected - least(floor(expected), 3) AS p FROM e),
 q AS (
-  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) ELSE 1.0 END AS q0,
+  SELECT *, row_number() OVER () AS rid, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) ELSE 1.0 END AS q0,
          target - (certain * source_size)::DOUBLE AS left_words FROM p),
 r AS (
   SELECT *, CASE WHEN p > 0 THEN q0 / (1 + q0) ELSE 1.0 END AS rank01 FROM q),
 c AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank01, doc_id, size
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank01, doc_id, size, rid
                             ROWS UNBOUNDED PRECEDING) <= left_words AS within FROM r),
 g AS (SELECT source, coalesce(sum(size) FILTER (within), 0) AS got FROM c GROUP BY source),
 n AS (
-  SELECT c.source, c.doc_id, abs(c.size::DOUBLE - (c.left_words - g.got::DOUBLE)) AS miss, c.rank01
+  SELECT c.source, c.doc_id, c.rid, abs(c.size::DOUBLE - (c.left_words - g.got::DOUBLE)) AS miss, c.rank01
   FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source
   WHERE NOT within AND size > 0 AND abs(c.size::DOUBLE - (c.left_words - g.got::DOUBLE)) < c.left_words - g.got::DOUBLE),
 z AS (
-  SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY miss, rank01, doc_id) AS k FROM n)
+  SELECT rid FROM (SELECT rid, row_number() OVER (PARTITION BY source ORDER BY miss, rank01, doc_id, rid) AS k FROM n)
   WHERE k = 1)
 SELECT doc_id, size, source_size, target,
-       ((certain + CASE WHEN left_words > 0 AND (within OR doc_id IN (SELECT doc_id FROM z)) THEN 1 ELSE 0 END) * size)::BIGINT
+       ((certain + CASE WHEN left_words > 0 AND (within OR rid IN (SELECT rid FROM z)) THEN 1 ELSE 0 END) * size)::BIGINT
          AS taken
 FROM c
 """
