@@ -11,11 +11,12 @@ gives candidate starts, which are intersected with the offset-adjusted lists of
 terms in ascending order of length.  ``slop`` > 0 also returns proximity matches: every
 term at most ``slop`` places from its exact place relative to the rarest term.
 
-Queries reach the segments in blocks of at most ``block_windows`` phrases, the proven bound
-of what one search job carries; any number of blocks is run.
+Queries reach the segments in blocks of about ``block_windows`` phrases, dealt by hash.  One
+block after another is read by the driver, searched and stored, so neither the driver nor a
+search job ever holds more than one block; any number of blocks is run.
 
-Defined cases: null and empty texts have no words and no matches; a null item id cannot be
-named and is left out; repeated documents and items are matched each; empty tables give
+Defined cases: null and empty texts have no words and no matches; words inside the windows of
+an item without an id are hit, but the item cannot be named among the items; repeated documents and items are matched each; empty tables give
 empty results (or zero hits); only ids and texts are read, so extra columns cannot clash.
 """
 
@@ -187,7 +188,7 @@ def search(spark: SparkSession, index: DataFrame, phrases: DataFrame, slop: int
     for k in range(blocks):
         part = phrases.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k) if blocks > 1 else phrases
         block = [(r["query"], [bytes(w) for w in r["words"]]) for r in part.collect()]
-        found = index.mapInArrow(_search_rows(block, slop), HIT_SCHEMA)
+        found = store(spark, index.mapInArrow(_search_rows(block, slop), HIT_SCHEMA), "phrase-hits")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -195,7 +196,8 @@ def search(spark: SparkSession, index: DataFrame, phrases: DataFrame, slop: int
 def item_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     """Distinct windows of ``width`` words of the items (all words of a shorter item).
 
-    Returns (query, words, item_ids): a number for each window text, and who holds it.
+    Returns a stored table (query, words, item_ids): a number for each window text, and who
+    holds it (nobody, if only items without an id do).
     """
     ship_schema = "item_id string, words array<binary>"
 
@@ -210,10 +212,10 @@ def item_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.string()), pa.array(found, pa.list_(pa.binary()))], ["item_id", "words"])
 
-    rows = items.select(F.col("item_id").cast("string"), "text").filter(F.col("item_id").isNotNull())
-    rows = rows.mapInArrow(cut, ship_schema)
-    return rows.groupBy("words").agg(F.collect_set("item_id").alias("item_ids")).select(
-        F.xxhash64("words", F.size("words")).alias("query"), "words", "item_ids")
+    rows = items.select(F.col("item_id").cast("string"), "text").mapInArrow(cut, ship_schema)
+    held = rows.groupBy("words").agg(F.collect_set("item_id").alias("item_ids"))
+    # the number is fixed by storing it
+    return store(items.sparkSession, held.select(F.monotonically_increasing_id().alias("query"), "words", "item_ids"), "item-windows")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -223,8 +225,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, width:
     """
     ship(spark)
     index = build_index(spark, docs)
-    windows = store(spark, item_windows(items, width), "item-windows")
-    hits = store(spark, search(spark, index, windows.select("query", "words")), "phrase-hits")
+    windows = item_windows(items, width)
+    hits = search(spark, index, windows.select("query", "words"))
 
     def directory(batches):
         for b in batches:
@@ -259,7 +261,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, width:
         windows.select("query", F.explode("item_ids").alias("item_id")), "query")
     named = named.groupBy("segment", "place").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     keys = ["segment", "place"]
-    rows = every.join(hit_words.join(named, keys), keys, "left")
+    rows = every.join(hit_words.join(named, keys, "left"), keys, "left")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0))
     return rows.select(
         "doc_id", "n_words", n_hit.alias("n_hit"),
