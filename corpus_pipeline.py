@@ -17,12 +17,6 @@ TOKENIZER = "word_bpe_49k.json"
 _KEY = "_martkit_key"
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in the distinct ``ids`` (nulls compare equal)."""
-    ids = ids.select(F.col("doc_id").alias(_KEY)).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(_KEY)), "left_semi")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject.
 
@@ -34,8 +28,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
-    return _only(docs, bagminhash.near_duplicates(spark, docs).filter("kept"))
+    """One document of each class of near-duplicates; of kept rows with equal id and text, one."""
+    found = bagminhash.near_duplicates(spark, docs).filter("kept")
+    names = [f"{_KEY}_{c}" for c in ("doc_id", "t0", "t1")]
+    found = found.groupBy(*[F.col(c).alias(n) for c, n in zip(("doc_id", "t0", "t1"), names)]).agg(F.count(F.lit(1)).alias(f"{_KEY}_n"))
+    found = store(spark, found, "kept-rows")
+    text = bagminhash.text_hashes(F.col("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (text[0] == F.col(names[1])) & (text[1] == F.col(names[2]))
+    kept = docs.join(found, same)
+    once = kept.filter(F.col(f"{_KEY}_n") == 1)
+    again = kept.filter(F.col(f"{_KEY}_n") > 1).dropDuplicates(names)
+    return once.unionByName(again).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

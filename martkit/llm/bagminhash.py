@@ -18,10 +18,16 @@ of other components, block by block: those whose signatures could be similar eno
 verified in place, and only links between components leave the task.  No pair is capped or
 sampled away.
 
+Members are numbered by their multiset, not by an id, and a text is fetched by its 128-bit
+hash, so ids may repeat or be null.
+
 Defined cases: null and empty texts, and texts without words, have no shingles and are
 classes of their own; a text of fewer than five words is one shingle; rows that repeat an
-id or a text fall into one class; an empty table gives an empty result; only id and text
-are read, so extra columns cannot clash.
+id fall into one class, whatever their texts; a null id joins nothing, but its text is
+compared as any other; a class is named by its smallest id, and by null if all its ids are
+null; of a class the rows of that id are kept, or, if all ids are null, the rows of one of
+its texts; an empty table gives an empty result; only id and text are read, so extra columns
+cannot clash.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship, store, table
@@ -136,7 +142,10 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands, places) of every row; digest is null without shingles."""
+    """(doc_id, t0, t1, digest, bands, places) of every row; digest is null without shingles.
+
+    ``t0`` and ``t1`` are two hashes of the text.
+    """
     ship(spark)
 
     def make(batches):
@@ -152,11 +161,24 @@ def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 band.append(bands(sig))
                 place.append((sig >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(digests, pa.binary()), pa.array(band, pa.list_(pa.int64())), pa.array(place, pa.binary())],
-                ["doc_id", "digest", "bands", "places"])
+                [b.column(0), b.column(2), b.column(3), pa.array(digests, pa.binary()), pa.array(band, pa.list_(pa.int64())),
+                 pa.array(place, pa.binary())],
+                ["doc_id", "t0", "t1", "digest", "bands", "places"])
+
+    return with_text_hashes(docs.select(F.col("doc_id").cast("bigint"), "text")).select("doc_id", "text", "t0", "t1").mapInArrow(
+        make, "doc_id bigint, t0 bigint, t1 bigint, digest binary, bands array<bigint>, places binary")
+
+
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a text (a null text counts as empty)."""
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        make, "doc_id bigint, digest binary, bands array<bigint>, places binary")
+def with_text_hashes(docs: DataFrame) -> DataFrame:
+    """``docs`` with the hashes of the text as columns t0 and t1."""
+    t0, t1 = text_hashes(F.col("text"))
+    return docs.withColumns({"t0": t0, "t1": t1})
 
 
 class IdFilter:
@@ -204,11 +226,14 @@ class IdFilter:
         return docs.filter(may_hold(F.col(id_col)))
 
 
-def texts_of(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Stored (id, text) of the distinct ``ids``; other documents' texts are not shuffled."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    rows = IdFilter(ids).keep(rows, "id").join(ids, "id")
-    return store(spark, rows.groupBy("id").agg(F.max("text").alias("text")), "candidate-texts")
+def texts_of(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Stored (id, text) of the members ``wanted`` (id, t0, t1, owner, no_owner): the text of
+    one row with these hashes and that id; other documents' texts are not shuffled."""
+    rows = with_text_hashes(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    rows = IdFilter(wanted.select("t0")).keep(rows, "t0")
+    mine = rows.withColumns({"owner": F.coalesce("doc_id", F.lit(0)), "no_owner": F.col("doc_id").isNull()})
+    found = mine.join(wanted, ["t0", "t1", "owner", "no_owner"])
+    return store(spark, found.groupBy("id").agg(F.max("text").alias("text")), "candidate-texts")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -344,16 +369,21 @@ def late_links(mixed: DataFrame, members: DataFrame, texts: DataFrame, similarit
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, kept): the smallest id of the class of each document.
+    """(doc_id, t0, t1, class_id, kept): the smallest id of the class of each document.
 
     Classes are the connected components of "similarity of the shingle multisets is at
-    least ``similarity``"; the document whose id is the class id is kept.
+    least ``similarity``"; the document whose id is the class id is kept.  ``t0`` and ``t1``
+    are hashes of the row's text (``with_text_hashes``), which tell rows of one id apart.
     """
     ship(spark)
     rows = store(spark, sketch(spark, docs), "bag-sketches")
-    known = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    members = store(spark, known.groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("places").alias("places")), "bag-members")
+    known = rows.filter(F.col("digest").isNotNull())
+    # the row of a member that speaks for it: its smallest id, null last
+    owner = F.struct(F.col("doc_id").isNull().alias("no_owner"), F.coalesce("doc_id", F.lit(0)).alias("owner"), "t0", "t1")
+    members = known.groupBy("digest").agg(
+        F.min(owner).alias("row"), F.first("bands").alias("bands"), F.first("places").alias("places"))
+    # a number for each member, fixed by storing it
+    members = store(spark, members.select(F.monotonically_increasing_id().alias("id"), "digest", "row.*", "bands", "places"), "bag-members")
     buckets = members.select("id", F.posexplode("bands").alias("band", "hash"))
     choice = F.min(F.struct(F.xxhash64("id", "band").alias("order"), "id")).alias("first")
     first = buckets.groupBy("band", "hash").agg(choice, F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -361,9 +391,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     shared = store(spark, buckets.join(first, ["band", "hash"]), "bag-buckets")
     stars = shared.filter("id <> first").select(F.greatest("id", "first").alias("a"), F.least("id", "first").alias("b"))
     stars = store(spark, stars.distinct(), "bag-stars")
-    ids = store(spark, shared.select("id").distinct(), "bag-candidates")
-    texts = texts_of(spark, docs, ids)
-    links = store(spark, verify(stars, texts, similarity), "bag-links")
+    wanted = shared.select("id").distinct().join(members.select("id", "t0", "t1", "owner", "no_owner"), "id")
+    texts = texts_of(spark, docs, store(spark, wanted, "bag-candidates"))
+    links = store(spark, verify(stars, texts, similarity).unionByName(_same_id(known, members)), "bag-links")
     labels = components(spark, links)
     named = shared.join(labels, "id", "left").select("band", "hash", "id", F.coalesce("label", "id").alias("label"))
     counts = named.groupBy("band", "hash", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -376,13 +406,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
         merged = components(spark, late).select("id", F.col("label").alias("root"))
         labels = relabel(spark, named.select("id", "label").distinct(), merged)
     of_digest = members.select("digest", "id").join(labels, "id", "left").select(
-        "digest", F.coalesce("label", "id").alias("class_id"))
-    with_class = rows.filter(F.col("digest").isNotNull()).select("doc_id", "digest").join(of_digest, "digest", "left")
-    alone = rows.filter(F.col("digest").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
-    out = with_class.select("doc_id", "class_id").union(alone)
-    return out.withColumn("class_id", F.coalesce("class_id", "doc_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+        "digest", F.coalesce("label", "id").alias("label"))
+    labelled = known.select("doc_id", "t0", "t1", "digest").join(of_digest, "digest").drop("digest")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("class_id"), F.col("t0").alias("k0"), F.col("t1").alias("k1"))
+    # stored, so that a class that very many documents share is split in the join
+    classes = store(spark, labelled.groupBy("label").agg(F.min(row).alias("row")).select("label", "row.*"), "bag-classes")
+    same_text = (F.col("t0") == F.col("k0")) & (F.col("t1") == F.col("k1"))
+    kept = F.when(F.col("no_id"), same_text).otherwise(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    with_class = labelled.join(classes, "label").select("doc_id", "t0", "t1", "class_id", kept.alias("kept"))
+    alone = rows.filter(F.col("digest").isNull())
+    return with_class.unionByName(alone.select("doc_id", "t0", "t1", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept")))
+
+
+def _same_id(known: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) between members that share an id: each with the smallest one of the id."""
+    several = known.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first <> last")
+    pairs = known.select("doc_id", "digest").join(several.select("doc_id", "first"), "doc_id").filter("digest <> first")
+    number = members.select("id", "digest")
+    pairs = pairs.select("digest", "first").distinct().join(number, "digest").withColumnRenamed("id", "x").drop("digest")
+    pairs = pairs.join(number.select(F.col("id").alias("y"), F.col("digest").alias("first")), "first")
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, table(spark, sf_dir, "documents"))
+    return near_duplicates(spark, table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
