@@ -54,7 +54,7 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 #: bytes of an Arrow batch; texts can be long, and a task holds a few copies of a batch
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -102,7 +102,7 @@ class Splitter:
 class Cache(dict):
     """A bounded map in two generations: when the young one is full, the old one is dropped."""
 
-    def __init__(self, make, limit: int = 150_000):
+    def __init__(self, make, limit: int = 100_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
