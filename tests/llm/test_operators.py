@@ -54,6 +54,49 @@ def test_mixing_ranks_no_whole_source(spark, monkeypatch):
     assert any("count(1)" in x for x in last[1:]) and out.count() == 40
 
 
+@pytest.mark.parametrize("copies", [1, 2])
+def test_mixing_closes_with_one_row_of_equal_ones(spark, copies):
+    ids = [None] * 400 if copies == 1 else [i // 2 for i in range(400)]
+    rows = [(i, "a b c", "s") for i in ids] + [(900, "w " * 340, "t")]
+    out = mixing.mix(spark, spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)).collect()
+    assert len(out) == 401 and {r.target for r in out if r.source == "s"} == {1100.0}
+    assert sum(r.taken for r in out if r.source == "s") == 1101
+
+
+def test_windows_of_an_item_without_id_are_hit(spark):
+    item = " ".join(f"w{k}" for k in range(13))
+    texts = docs(spark, f"x {item} y", item, "nothing of it", None, item + " " + "z " * 260)
+    items = spark.createDataFrame(
+        [(None, item), (None, item), (7, None), (8, "of it"), (8, "of it")], "item_id int, text string")
+    out = {r.doc_id: r for r in phrase_index.decontaminate(spark, texts, items).collect()}
+    assert [out[i].n_hit for i in range(5)] == [13, 13, 2, 0, 13] and [out[i]["items"] for i in range(4)] == [[], [], ["8"], []]
+    # a twentieth of the words, and less
+    assert [out[i].contaminated for i in range(5)] == [True, True, True, False, False]
+    parts = phrase_index.search(spark, phrase_index.build_index(spark, texts), phrase_index.item_windows(items), block_windows=1)
+    assert sorted(len(r.starts) for r in parts.collect()) == [1, 1, 1, 1]
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(80)) for x in "abc")
+    rows = [(None, a), (None, a), (None, a + " end"), (1, b), (1, c), (2, b + " end"), (3, c + " end"), (9, "own words"), (None, None), (9, "own words")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = sorted(((r.doc_id, r.class_id, r.kept) for r in bagminhash.near_duplicates(spark, frame).collect()), key=str)
+    named = [x for x in out if x[0] is not None]
+    assert named == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (9, 9, True), (9, 9, True)]
+    assert [x[1] for x in out if x[0] is None] == [None] * 4 and sum(x[2] for x in out if x[0] is None) in (2, 3)
+
+
+def test_near_dedup_stage_keeps_one_row_of_each_class(spark, scratch):
+    import corpus_pipeline
+
+    a, b = (" ".join(f"{x}{k}" for k in range(80)) for x in "ab")
+    rows = [(None, a, "p"), (None, a, "p"), (None, a + " end", "p"), (5, b, "p"), (5, b, "q"), (6, b + " end", "p"), (7, "alone", "p")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, t0 string")
+    out = corpus_pipeline.near_dedup(spark, frame, scratch)
+    assert out.columns == frame.columns
+    assert sorted((str(r.doc_id), (r.text or "").split()[0]) for r in out.collect()) == [("5", "b0"), ("7", "alone"), ("None", "a0")]
+
+
 def test_digest_index_reopens_with_its_own_buckets(spark, scratch):
     rows = digest_index.text_digests(docs(spark, *[f"text {i}" for i in range(300)]))
     shuffles = spark.conf.get("spark.sql.shuffle.partitions")
