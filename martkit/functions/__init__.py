@@ -1,3 +1,4 @@
+from martkit.functions.digests import CHECKSUM, canonical, checksum, checksum_dict, checksum_metrics, row_digest
 from martkit.functions.expressions import (
     bool_default,
     category_string,
@@ -16,8 +17,13 @@ from martkit.functions.expressions import (
 )
 
 __all__ = [
+    "CHECKSUM",
     "bool_default",
+    "canonical",
     "category_string",
+    "checksum",
+    "checksum_dict",
+    "checksum_metrics",
     "clamp",
     "clamp_iqr",
     "contained",
@@ -29,5 +35,6 @@ __all__ = [
     "nan_to_null",
     "not_null_positive",
     "pct",
+    "row_digest",
     "try_double",
 ]

@@ -23,7 +23,9 @@ from martkit.functions import (
     floor_rule_joint,
     not_null_positive,
 )
+from martkit.operators.ordinal import ORDINAL, with_input_order
 from martkit.operators.stats import combine_rows, feature_statistics, literal, medians, quantile_stats, quartiles, row_values
+from martkit.session import stage
 from martkit.sources.tables import normalise_nan
 
 
@@ -31,32 +33,15 @@ def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def _materialise(df: DataFrame, how: str | None, observe=()) -> tuple[DataFrame, dict | None]:
-    """Store ``df`` once (persist or reliable checkpoint).  Distinct-count estimates
-    of the ``observe`` columns are collected by the same job (``DataFrame.observe``),
-    so the quantile mode can be chosen without another pass."""
+def _materialise(df: DataFrame, how: str | None, name: str) -> DataFrame:
+    """Store ``df`` once: ``stage`` (Parquet in the shared folder) or ``persist``."""
     if how is None:
-        return df, None
-    obs = None
-    if observe:
-        from pyspark.sql import Observation
-
-        from martkit.operators.stats import cardinality_metrics
-
-        obs = Observation()
-        df = df.observe(obs, *cardinality_metrics(observe))
+        return df
     if how == "persist":
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        if obs is not None:
-            df.count()
-    elif how == "checkpoint":
-        from martkit.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    else:
-        raise ValueError(f"unknown materialise option {how!r}")
-    return df, (obs.get if obs is not None else None)
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "stage":
+        return stage(df, name)
+    raise ValueError(f"unknown materialise option {how!r}")
 
 
 # -------------------------------------------------------------- published
@@ -74,14 +59,11 @@ def impute(
     spec: MartSpec = HOUSING,
     *,
     stats: DataFrame | None = None,
-    quantile_mode: str = "auto",
-    cardinality: dict | None = None,
+    quantile_mode: str = "exact",
 ) -> DataFrame:
     """Median / mode / FALSE defaults; ids and target are never imputed."""
     if stats is None:
-        stats = feature_statistics(
-            base, spec.medians, spec.modes, quantile_mode=quantile_mode, cardinality=cardinality
-        )
+        stats = feature_statistics(base, spec.medians, spec.modes, quantile_mode=quantile_mode)
     s = row_values(stats)
     types = dict((f.name, f.dataType) for f in base.schema.fields)
     cols = []
@@ -117,9 +99,8 @@ def clip_iqr(
     k: float = 1.5,
     *,
     min_rows: int | None = None,
-    quantile_mode: str = "auto",
+    quantile_mode: str = "exact",
     bounds: DataFrame | None = None,
-    cardinality: dict | None = None,
 ) -> DataFrame:
     """Cap each column to ``[q1 - k*IQR, q3 + k*IQR]`` of its non-null values.
 
@@ -129,7 +110,7 @@ def clip_iqr(
     """
     columns = list(columns)
     if bounds is None:
-        bounds = quantile_stats(df, quartiles(columns), quantile_mode, cardinality=cardinality)
+        bounds = quantile_stats(df, quartiles(columns), quantile_mode)
     if min_rows is not None:
         bounds = combine_rows(bounds, df.agg(*[F.count(c).alias(f"{c}_n") for c in columns]))
     b = row_values(bounds)
@@ -153,17 +134,12 @@ class CleanStages:
     """D5-D8 step by step; each stage is built on first use, once.
 
     With ``materialise`` the two relations that feed both a statistics pass and the
-    next step (F1 survivors, F2-F4 survivors) are stored once, and in ``auto`` mode
-    their distinct-count estimates are observed by that same job.
+    next step (F1 survivors, F2-F4 survivors) are stored once.
     """
 
-    def __init__(self, raw: DataFrame, spec: MartSpec = HOUSING, *, quantile_mode: str = "auto",
-                 materialise: str | None = None, cardinality: dict | None = None):
-        """``cardinality``: distinct-count estimates of ``raw``'s columns (e.g. from the
-        snapshot manifest).  Every later relation is a filtered subset of ``raw`` plus
-        at most one imputed value per column, so they bound its distinct counts."""
+    def __init__(self, raw: DataFrame, spec: MartSpec = HOUSING, *, quantile_mode: str = "exact",
+                 materialise: str | None = None):
         self.raw, self.spec, self.mode, self.how = raw, spec, quantile_mode, materialise
-        self.hint = {k: v + 1 for k, v in cardinality.items()} if cardinality else None
         self._cache: dict = {}
 
     def _once(self, name, build):
@@ -171,49 +147,27 @@ class CleanStages:
             self._cache[name] = build()
         return self._cache[name]
 
-    @property
-    def _auto(self) -> bool:
-        return self.mode == "auto"
-
-    def _base(self):
-        observe = self.spec.medians if self._auto and not self.hint else ()
-        df, card = _materialise(base_filter(self.raw, self.spec), self.how, observe)
-        return df, card or self.hint
-
     @property
     def base(self) -> DataFrame:
-        return self._once("base", self._base)[0]
+        return self._once("base", lambda: _materialise(base_filter(self.raw, self.spec), self.how, "base"))
 
     @property
     def stats(self) -> DataFrame:
-        card = self._once("base", self._base)[1]
         return self._once(
-            "stats",
-            lambda: feature_statistics(
-                self.base, self.spec.medians, self.spec.modes, quantile_mode=self.mode, cardinality=card
-            ),
-        )
+            "stats", lambda: feature_statistics(self.base, self.spec.medians, self.spec.modes, quantile_mode=self.mode))
 
     @property
     def imputed(self) -> DataFrame:
         return self._once("imputed", lambda: impute(self.base, self.spec, stats=self.stats))
 
-    def _consistent(self):
-        observe = self.spec.clips if self._auto and not self.hint else ()
-        df, card = _materialise(filter_consistent(self.imputed, self.spec), self.how, observe)
-        return df, card or self.hint
-
     @property
     def consistent(self) -> DataFrame:
-        return self._once("consistent", self._consistent)[0]
+        return self._once(
+            "consistent", lambda: _materialise(filter_consistent(self.imputed, self.spec), self.how, "consistent"))
 
     @property
     def bounds(self) -> DataFrame:
-        card = self._once("consistent", self._consistent)[1]
-        return self._once(
-            "bounds",
-            lambda: quantile_stats(self.consistent, quartiles(self.spec.clips), self.mode, cardinality=card),
-        )
+        return self._once("bounds", lambda: quantile_stats(self.consistent, quartiles(self.spec.clips), self.mode))
 
     @property
     def capped(self) -> DataFrame:
@@ -230,52 +184,58 @@ def build_clean(
     raw: DataFrame,
     spec: MartSpec = HOUSING,
     *,
-    quantile_mode: str = "auto",
+    quantile_mode: str = "exact",
     materialise: str | None = None,
-    cardinality: dict | None = None,
 ) -> DataFrame:
     """The published clean mart.
 
-    ``materialise`` ("persist" | "checkpoint") stores the two relations that feed both a
+    ``materialise`` ("persist" | "stage") stores the two relations that feed both a
     statistics pass and the next step (F1 survivors, F2-F4 survivors), so an expensive
     input (e.g. the source join) is computed once instead of once per use.  Leave it
     off when ``raw`` is a stored snapshot: every step after it is row-local with
     literal statistics, and re-scanning pruned Parquet columns is cheaper than
     writing two copies of the mart.
     """
-    return CleanStages(
-        raw, spec, quantile_mode=quantile_mode, materialise=materialise, cardinality=cardinality
-    ).clean
+    return CleanStages(raw, spec, quantile_mode=quantile_mode, materialise=materialise).clean
 
 
 # ---------------------------------------------------------- W1 keep-first dedup
 
 
-def dedup_keep_first(df: DataFrame, keys, order_by) -> DataFrame:
-    """One row per key — the first in ``order_by`` order.
+def dedup_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
+    """One row per key — the first in ``order_by`` order, or in the order of the files
+    that ``df`` scans if none is given (``ordinal.with_input_order``).
 
     Rows tied on it are decided by the remaining columns from left to right, smaller
     values first and NULLs last, so the result is deterministic and a filled copy beats
     an empty one.  An order made of key columns alone decides nothing and is refused.
 
-    Implemented as a grouped ``min`` over a struct led by the order columns rather
-    than a ``row_number`` window: the aggregate combines map-side, so a key holding
-    a large share of the rows never lands in one task as rows.
+    Keys are counted first, which shuffles one small row per key and task.  Rows of keys
+    that occur once pass through; only rows of repeated keys are compared, by a grouped
+    ``min`` over a struct led by the order columns rather than a ``row_number`` window: the
+    aggregate combines map-side, so a key holding a large share of the rows never lands in
+    one task as rows.  ``df`` is read three times; stage an expensive one first.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
+    names = df.columns
+    if order_by is None:
+        df, order_by = with_input_order(df), [ORDINAL]
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     if not order_by:
-        raise ValueError("keep-first de-duplication needs an explicit order column")
+        raise ValueError("keep-first de-duplication needs an order column")
     if set(order_by) <= set(keys):
         raise ValueError("the order of keep-first de-duplication needs a column besides the key")
     order_by = [c for c in order_by if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    rest = [c for c in names if c not in keys and c not in order_by]
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = repeated.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = _all([F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    single = df.join(repeated, same, "left_anti").select(*names)
     fill = [x for c in rest for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
     packed = F.struct(*[F.col(c) for c in order_by], *fill)
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return first.select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
-    )
+    first = df.join(repeated, same, "left_semi").groupBy(*keys).agg(F.min(packed).alias("_first"))
+    first = first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in names])
+    return single.unionByName(first)
 
 
 # -------------------------------------------------------- exploratory
@@ -286,32 +246,28 @@ def clean_exploratory(
     spec: MartSpec = HOUSING,
     *,
     order_by=None,
-    quantile_mode: str = "auto",
+    quantile_mode: str = "exact",
     materialise: str | None = None,
-    cardinality: dict | None = None,
 ) -> DataFrame:
     """The exploratory cleaner.  Differences from ``build_clean``: six required
     columns (others optional), NaN is missing, keep-first dedup before the target
-    filter, no mode imputation, joint floor rule, no capping below 4 values.
-    ``materialise`` stores the two relations read twice (as in ``build_clean``);
-    ``cardinality`` (distinct estimates of ``df``, e.g. from its snapshot manifest)
-    bounds those of every later relation and replaces the estimation passes."""
+    filter, no mode imputation, joint floor rule, no capping below 4 values.  "First" is
+    by ``order_by``, or by the order of the files that ``df`` scans if it is not given.
+    ``materialise`` stores the two relations read twice (as in ``build_clean``)."""
     check_has(df, spec.required, what="frame to clean")
     key = spec.key
+    if order_by is None:
+        df, order_by = with_input_order(df), ORDINAL
     r = normalise_nan(df).where(F.col(key).isNotNull())
-    # "first" needs an explicit order: a distributed frame has no input order
-    r = dedup_keep_first(r, key, order_by)
+    r = dedup_keep_first(r, key, order_by).drop(ORDINAL)
     bools = [c for c in spec.booleans if c in r.columns]
     if bools:
         r = r.select(*[bool_default(c).alias(c) if c in bools else F.col(c) for c in r.columns])
     r = r.where(_all([not_null_positive(c) for c in dict.fromkeys((spec.target, *spec.positive_required))]))
     meds = [c for c in spec.medians if c in r.columns]
-    auto = quantile_mode == "auto"
-    hint = {c: v + 1 for c, v in cardinality.items()} if cardinality else None
-    r, card1 = _materialise(r, materialise, meds if auto and not hint else ())
-    card1 = card1 or hint
+    r = _materialise(r, materialise, "exploratory-base")
     if meds:
-        s = row_values(quantile_stats(r, medians(meds), quantile_mode, cardinality=card1))
+        s = row_values(quantile_stats(r, medians(meds), quantile_mode))
         r = r.select(
             *[F.coalesce(F.col(c), literal(s[f"{c}_median"], "double")).alias(c) if c in meds else F.col(c)
               for c in r.columns]
@@ -320,8 +276,7 @@ def clean_exploratory(
     r = r.where(_all([contained(a, b) for a, b in spec.contained]))
     if spec.floor_rule is not None and set(spec.floor_rule).issubset(r.columns):
         r = r.where(floor_rule_joint(*spec.floor_rule))
-    r, card2 = _materialise(r, materialise, spec.clips if auto and not hint else ())
-    card2 = card2 or hint
-    r = clip_iqr(r, spec.clips, spec.iqr_k, min_rows=4, quantile_mode=quantile_mode, cardinality=card2)
+    r = _materialise(r, materialise, "exploratory-consistent")
+    r = clip_iqr(r, spec.clips, spec.iqr_k, min_rows=4, quantile_mode=quantile_mode)
     return containment_filter(r, spec)
 

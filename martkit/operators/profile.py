@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkit.functions import pct
+from martkit.functions import pct, row_digest
 from martkit.operators.stats import combine_rows, literal, quantile_stats, quartiles, row_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -58,34 +58,38 @@ def profile_nonpositive(df: DataFrame, columns=NONPOSITIVE_COLUMNS) -> DataFrame
     return one.unpivot([], names, "check", "n")
 
 
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """``(columns..., _n)``: every row that occurs more than once, with its number of copies.
+
+    Rows are counted by a 128-bit digest of their columns, combined map-side, so that only
+    two numbers per distinct row are shuffled.  Rows whose digest repeats are fetched again
+    and compared in full, which also tells apart different rows of equal digest.
+    """
+    digest = row_digest(df)
+    marked = df.select("*", *(d.alias(f"_d{i}") for i, d in enumerate(digest)))
+    again = marked.groupBy("_d0", "_d1").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_d0", "_d1")
+    held = marked.join(again, ["_d0", "_d1"], "left_semi").select(*df.columns)
+    return held.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+
+
 def profile_duplicates(df: DataFrame, key: str | None = "flat_id") -> DataFrame:
     """Whole-row duplicates and key duplicates (2nd+ occurrences; NULLs equal)."""
-    distinct = df.distinct().agg(F.count(F.lit(1)).alias("_d"))
+    extra = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
+    one = repeated_rows(df).agg(extra.alias("dup_all"))
     if key is not None and key in df.columns:
-        # rows and key duplicates from one per-key count (map-side combined)
-        per_key = (
-            df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_c"))
-            .agg(
-                F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"),
-                F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias(f"dup_{key}"),
-            )
-        )
-        one = combine_rows(per_key, distinct)
-        return one.select((F.col("_n") - F.col("_d")).alias("dup_all"), f"dup_{key}")
-    one = combine_rows(df.agg(F.count(F.lit(1)).alias("_n")), distinct)
-    return one.select((F.col("_n") - F.col("_d")).alias("dup_all"))
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(extra.alias(f"dup_{key}"))
+        one = combine_rows(one, per_key)
+    return one
 
 
 def profile_outliers(
-    df: DataFrame, columns=OUTLIER_COLUMNS, k: float = 1.5, *, quantile_mode: str = "auto",
-    cardinality: dict | None = None,
+    df: DataFrame, columns=OUTLIER_COLUMNS, k: float = 1.5, *, quantile_mode: str = "exact",
 ) -> DataFrame:
     """A10: per column the IQR fences of its non-null values, the number of values
     outside them and that number as a percentage of *all* rows (no degenerate-IQR
     guard, as in the exploratory report)."""
     present = [c for c in columns if c in df.columns]
-    q = row_values(quantile_stats(df, quartiles(present), quantile_mode, cardinality=cardinality))
+    q = row_values(quantile_stats(df, quartiles(present), quantile_mode))
     lo, hi = {}, {}
     for c in present:
         q1, q3 = literal(q[f"{c}_q1"], "double"), literal(q[f"{c}_q3"], "double")
@@ -111,13 +115,12 @@ def profile_outliers(
     return counts.select(rows).select("r.*")
 
 
-def profile_summary(df: DataFrame, *, quantile_mode: str = "auto", digits: int = 4) -> DataFrame:
+def profile_summary(df: DataFrame, *, quantile_mode: str = "exact", digits: int = 4) -> DataFrame:
     """Count, unique, top, freq (non-numeric columns), mean, std, min, 25/50/75 %,
     max (numeric columns); quartiles are exact and interpolated.  ``mean``/``std`` are
     rounded to ``digits`` decimals (their last bits depend on summation order).
 
-    Passes: one for the moments (which also yields the distinct-count estimates that
-    pick the quantile mode), one for the quartiles, one for the categorical counts.
+    Passes: one for the moments, those of the exact quartiles, one for the categorical counts.
     """
     nums = [c for c in df.columns if _is_numeric(df, c)]
     cats = [c for c in df.columns if c not in nums]
@@ -134,13 +137,11 @@ def profile_summary(df: DataFrame, *, quantile_mode: str = "auto", digits: int =
                         F.round(F.stddev_samp(c), digits).alias(f"{c}__std"),
                         F.min(c).cast("double").alias(f"{c}__min"),
                         F.max(c).cast("double").alias(f"{c}__max"),
-                        F.approx_count_distinct(c).alias(f"{c}__hll"),
                     )
                 ]
             )
         )
-        card = {c: mom[f"{c}__hll"] for c in nums}
-        q = quantile_stats(df, [t for c in nums for t in _three(c)], quantile_mode, cardinality=card)
+        q = quantile_stats(df, [t for c in nums for t in _three(c)], quantile_mode)
         parts.append(
             q.select(
                 F.explode(

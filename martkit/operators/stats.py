@@ -1,17 +1,15 @@
 """A2-A4: exact interpolated quantiles, medians, mode.
 
-Four quantile modes:
-
-* ``exact``        built-in ``percentile`` (value->count map per column, merged in one
-                   task).  Exact and cheap when a column has few distinct values.
-* ``distributed``  exact selection without any per-column map in one task: values are
-                   pre-aggregated to ``(column, value, count)`` (map-side combine, so a hot
-                   value collapses early), then narrowed by approximate bucket bounds until
-                   the bucket holding each wanted rank is small; only that bucket is ranked.
-* ``approx``       ``percentile_approx``; returns an element, no interpolation.
-* ``auto``         ``exact`` for the lowest-cardinality columns while their estimated
-                   distinct counts together stay within ``exact_max_distinct`` (all
-                   their maps meet in one task), ``distributed`` for the others.
+Three quantile modes:
+
+* ``exact``    selection by rank brackets (the default).  A mergeable sketch of bounded rank
+               error, taken on the scan, gives a value bracket for each wanted rank; one more
+               pass counts what lies below, on and between the bracket's ends.  A rank on an
+               end is found at once, however many rows hold that value.  Brackets that still
+               hold many rows are sketched again, and only values strictly inside the last
+               brackets are shuffled and ranked.
+* ``builtin``  Spark's ``percentile``: one value->count map per column, merged in one task.
+* ``approx``   ``percentile_approx``; returns an element, no interpolation.
 
 All of them return a one-row DataFrame.  Row-level consumers (imputation, capping)
 read that single row once (``row_values``) and use the values as literals, so the
@@ -24,8 +22,8 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,7 +100,13 @@ def _builtin(df: DataFrame, targets, approx_accuracy: int | None) -> DataFrame:
     return df.agg(*aggs).select(*picks)
 
 
-# ------------------------------------------------------------------ distributed
+# -------------------------------------------------------------- rank brackets
+
+
+#: the sketch's rank error is at most 1 / ACCURACY of its rows
+ACCURACY = 10_000
+#: brackets with more rows are sketched again; fewer are shuffled and ranked
+FEW_ROWS = 100_000
 
 
 def _interpolate(pos: float, lo: int, hi: int, v_lo: float, v_hi: float) -> float:
@@ -112,175 +116,146 @@ def _interpolate(pos: float, lo: int, hi: int, v_lo: float, v_hi: float) -> floa
     return (hi - pos) * v_lo + (pos - lo) * v_hi
 
 
-def _materialise(df: DataFrame, checkpoint: bool) -> DataFrame:
-    if checkpoint:
-        from martkit.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _rank_in(v: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Number of ``bounds`` (sorted) below ``v``: a binary search written as nested
-    CASE expressions, so it runs in generated code with log2(len) comparisons."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v > F.lit(bounds[mid]), _rank_in(v, bounds, mid + 1, hi)).otherwise(
-        _rank_in(v, bounds, lo, mid)
-    )
-
-
-def _bucket_of(bounds_by_key: dict[str, list[float]]) -> Column:
-    v = F.col("v")
-    expr = None
-    for key, bounds in bounds_by_key.items():
-        tree = _rank_in(v, bounds, 0, len(bounds))
-        expr = F.when(F.col("key") == key, tree) if expr is None else expr.when(F.col("key") == key, tree)
-    return expr
-
-
-def select_ranks(
-    values: DataFrame,
-    wanted: list[tuple[str, str, int]],
-    *,
-    sizes: dict[str, int] | None = None,
-    buckets: int = 16,
-    max_candidates: int = 2_000_000,
-    accuracy: int = 1_000,
-    checkpoint: bool = True,
-) -> dict[str, float]:
-    """Exact order statistics: for each ``(target_id, key, rank)`` the value at 0-based
-    ``rank`` of ``values(key, v, cnt)`` in ascending ``v`` (ranks weighted by ``cnt``).
-
-    Each round splits every key with more than ``max_candidates`` distinct values
-    into ``buckets`` ranges at approximate quantiles, counts rows per range and keeps
-    only the range holding each wanted rank, so those candidates shrink by about
-    ``buckets`` per round (passes: bounds, counts, next candidates); rounds go on until
-    every key fits, and a round that narrows nothing is an error.  16 buckets keep the
-    generated lookup of ten keys well below the size that the JVM compiles.  What reaches the
-    driver is bounded by ``len(wanted) * buckets``; the final ranking window is per
-    key over at most ``max_candidates`` distinct values.  ``sizes`` (distinct values
-    per key) saves the first counting pass when the caller knows them.
-    """
-    spark = values.sparkSession
-    if not wanted:
-        return {}
-    cand = values.select("key", "v", "cnt")
-    targets = {tid: (key, rank) for tid, key, rank in wanted}
-    if sizes is None:
-        sizes = dict(cand.groupBy("key").count().collect())
-    owned = []  # frames to release at the end
-    while True:
-        big = sorted({k for k, _ in targets.values() if sizes.get(k, 0) > max_candidates})
-        if not big:
-            break
-        probs = [i / buckets for i in range(1, buckets)]
-        # per big key `buckets - 1` sorted doubles: bounded by len(wanted) * buckets
-        bounds = {
-            r["key"]: sorted(r["bounds"])
-            for r in cand.where(F.col("key").isin(big))
-            .groupBy("key")
-            .agg(F.percentile_approx("v", probs, accuracy).alias("bounds"))
-            .collect()
-        }
-        with_b = cand.where(F.col("key").isin(big)).withColumn("b", _bucket_of(bounds))
-        counts = (
-            with_b.groupBy("key", "b")
-            .agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d"))
-            .collect()
-        )
-        per_key: dict[str, list[tuple[int, int, int]]] = defaultdict(list)
-        for r in counts:
-            per_key[r["key"]].append((r["b"], r["n"], r["d"]))
-        route, new_targets, new_sizes = [], {}, {}
-        for tid, (key, rank) in targets.items():
-            if key not in bounds:  # small enough already: carried over as it is
-                new_targets[tid], new_sizes[key] = (key, rank), sizes[key]
-                continue
-            start = 0
-            for b, n, dcount in sorted(per_key[key]):
-                if start <= rank < start + n:
-                    route.append((key, b, tid))
-                    new_targets[tid] = (tid, rank - start)
-                    new_sizes[tid] = dcount
-                    if dcount >= sizes[key]:
-                        raise RuntimeError(f"the candidates of {key} did not get fewer")
-                    break
-                start += n
-        route_df = spark.createDataFrame(route, "key string, b int, tid string")
-        narrowed = (
-            with_b.join(F.broadcast(route_df), ["key", "b"])
-            .select(F.col("tid").alias("key"), "v", "cnt")
-        )
-        kept = cand.where(~F.col("key").isin(big))
-        nxt = _materialise(narrowed.unionByName(kept), checkpoint)
-        owned.append(nxt)
-        cand, targets, sizes = nxt, new_targets, new_sizes
-    tdf = spark.createDataFrame(
-        [(tid, key, rank) for tid, (key, rank) in targets.items()],
-        "tid string, key string, rank long",
-    )
-    # running counts per key, then a range match against the (few) wanted ranks
-    w = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cand.withColumn("cum", F.sum("cnt").over(w))
-    picked = (
-        ranked.join(
-            F.broadcast(tdf),
-            (ranked["key"] == tdf["key"])
-            & (ranked["cum"] - ranked["cnt"] <= tdf["rank"])
-            & (tdf["rank"] < ranked["cum"]),
-        )
-        .select("tid", "v")
-        .collect()
-    )
-    for fr in owned:
-        if fr.is_cached:
-            fr.unpersist()
-    return {r["tid"]: r["v"] for r in picked}
-
-
-def value_counts_long(df: DataFrame, columns) -> DataFrame:
-    """``(key=column name, v, cnt)`` over non-null values: one shuffle, map-side combined."""
-    cols = list(dict.fromkeys(columns))
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = wide.unpivot([], cols, "key", "v")
-    return (
-        long.where(F.col("v").isNotNull())
-        .groupBy("key", "v")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+def _above(b: float, a: float) -> bool:
+    """``b > a`` in Spark's order, where NaN is above every number."""
+    return (b != b and a == a) or b > a
 
 
-def _distributed(df: DataFrame, targets, checkpoint: bool, **kw) -> dict[str, float | None]:
-    cols = list(dict.fromkeys(t.column for t in targets))
-    vc = _materialise(value_counts_long(df, cols), checkpoint)
-    try:
-        per_key = vc.groupBy("key").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
-        totals = {r["key"]: r["n"] for r in per_key}
-        sizes = {r["key"]: r["d"] for r in per_key}
-        wanted, plan = [], {}
-        for t in targets:
-            n = totals.get(t.column, 0) or 0
+@dataclass(frozen=True)
+class Bracket:
+    """The place of one wanted rank: strictly between ``lo`` and ``hi`` (None: open), with
+    ``below`` rows not above ``lo`` and ``inside`` rows between them."""
+
+    column: str
+    rank: int
+    below: int
+    inside: int
+    lo: float | None = None
+    hi: float | None = None
+
+    @property
+    def span(self) -> tuple:
+        return self.column, self.lo, self.hi
+
+
+def _value(column: str) -> Column:
+    return F.col(f"`{column}`").cast("double")
+
+
+def _within(span: tuple) -> Column:
+    column, lo, hi = span
+    inside = _value(column).isNotNull()
+    if lo is not None:
+        inside = inside & (_value(column) > F.lit(lo))
+    if hi is not None:
+        inside = inside & (_value(column) < F.lit(hi))
+    return inside
+
+
+def _sketch(df: DataFrame, wanted: dict[tuple, list[float]], accuracy: int) -> list:
+    """Per span the sketched values at its fractions and its number of rows: one pass."""
+    aggs = []
+    for i, (span, fractions) in enumerate(wanted.items()):
+        v = F.when(_within(span), _value(span[0]))
+        aggs += [F.percentile_approx(v, fractions, accuracy).alias(f"v{i}"), F.count(v).alias(f"n{i}")]
+    row = df.agg(*aggs).first()
+    return [(row[f"v{i}"], row[f"n{i}"]) for i in range(len(wanted))]
+
+
+def _fractions(center: float, accuracy: int) -> list[float]:
+    margin = 2 / accuracy
+    return [max(0.0, center - margin), min(1.0, center + margin)]
+
+
+def _close_in(df: DataFrame, brackets: dict, ends: dict, accuracy: int) -> tuple[dict, dict]:
+    """One counting pass: brackets with sketched ``ends`` shrink to the part that holds their
+    rank.  Returns the found values and the smaller brackets."""
+    parts: dict[tuple, int] = {}
+    for key, b in brackets.items():
+        parts.setdefault((b.span, ends[key]), len(parts))
+    aggs = []
+    for (span, (lo, hi)), i in parts.items():
+        v, inside = _value(span[0]), _within(span)
+        wide = F.lit(_above(hi, lo))
+        aggs += [
+            F.count_if(inside & (v < F.lit(lo))).alias(f"a{i}"), F.count_if(inside & (v == F.lit(lo))).alias(f"b{i}"),
+            F.count_if(inside & (v > F.lit(lo)) & (v < F.lit(hi))).alias(f"c{i}"),
+            F.count_if(inside & wide & (v == F.lit(hi))).alias(f"d{i}")]
+    counts = df.agg(*aggs).first()
+    found, left = {}, {}
+    for key, b in brackets.items():
+        lo, hi = ends[key]
+        i = parts[b.span, ends[key]]
+        rest = b.inside - sum(counts[f"{x}{i}"] for x in "abcd")
+        below = b.below
+        # the five parts in value order: rows of each, and a single value or the ends around it
+        for n, value, around in (
+            (counts[f"a{i}"], None, (b.lo, lo)), (counts[f"b{i}"], lo, None), (counts[f"c{i}"], None, (lo, hi)),
+            (counts[f"d{i}"], hi, None), (rest, None, (hi, b.hi)),
+        ):
+            if b.rank < below + n:
+                break
+            below += n
+        if around is None:
+            found[key] = value
+        elif n >= b.inside:
+            raise RuntimeError(f"the bracket of rank {b.rank} in {b.column} did not get smaller")
+        else:
+            left[key] = Bracket(b.column, b.rank, below, n, *around)
+    return found, left
+
+
+def _rank_inside(df: DataFrame, brackets: dict) -> dict:
+    """The values of ranks whose brackets hold few rows: only those rows are shuffled."""
+    spans = list(dict.fromkeys(b.span for b in brackets.values()))
+    cells = [F.when(_within(s), F.struct(F.lit(i).alias("span"), _value(s[0]).alias("v"))) for i, s in enumerate(spans)]
+    held = df.where(reduce(lambda a, b: a | b, map(_within, spans))).select(F.inline(F.array_compact(F.array(*cells))))
+    counts = held.groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
+    running = F.sum("n").over(Window.partitionBy("span").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("upto", running)
+    wanted = {k: (spans.index(b.span), b.rank - b.below) for k, b in brackets.items()}
+    hit = reduce(lambda a, b: a | b, (
+        (F.col("span") == s) & (F.col("upto") - F.col("n") <= r) & (r < F.col("upto")) for s, r in set(wanted.values())))
+    rows = ranked.where(hit).collect()  # one row per wanted rank at most
+    return {k: next(x["v"] for x in rows if x["span"] == s and x["upto"] - x["n"] <= r < x["upto"]) for k, (s, r) in wanted.items()}
+
+
+def _exact(df: DataFrame, targets, accuracy: int = ACCURACY, few_rows: int = FEW_ROWS) -> dict[str, float | None]:
+    by_column = _grouped(targets)
+    spans = {(c, None, None): [f for t in ts for f in _fractions(t.p, accuracy)] for c, ts in by_column.items()}
+    sketched = dict(zip(by_column, _sketch(df, spans, accuracy)))
+    brackets, ends, place, found = {}, {}, {}, {}
+    for c, ts in by_column.items():
+        values, n = sketched[c]
+        for j, t in enumerate(ts):
             if n == 0:
-                plan[t.name] = None
                 continue
             pos = (n - 1) * t.p
-            lo, hi = math.floor(pos), math.ceil(pos)
-            wanted += [(f"{t.name}#lo", t.column, lo), (f"{t.name}#hi", t.column, hi)]
-            plan[t.name] = (pos, lo, hi)
-        got = select_ranks(vc, wanted, sizes=sizes, checkpoint=checkpoint, **kw)
-    finally:
-        if vc.is_cached:
-            vc.unpersist()
+            place[t.name] = (pos, math.floor(pos), math.ceil(pos))
+            for rank in place[t.name][1:]:
+                brackets[c, rank] = Bracket(c, rank, 0, n)
+                ends[c, rank] = (values[2 * j], values[2 * j + 1])
+    while brackets:
+        got, left = _close_in(df, brackets, ends, accuracy)
+        found |= got
+        many = {k: b for k, b in left.items() if b.inside > few_rows}
+        few = {k: b for k, b in left.items() if k not in many}
+        if few:
+            found |= _rank_inside(df, few)
+        brackets = many
+        if many:
+            spans = defaultdict(list)
+            for b in many.values():
+                spans[b.span] += _fractions((b.rank - b.below + 0.5) / b.inside, accuracy)
+            sketched = {s: iter(v) for s, (v, _) in zip(spans, _sketch(df, spans, accuracy))}
+            ends = {k: (next(sketched[b.span]), next(sketched[b.span])) for k, b in many.items()}
     out = {}
-    for name, p in plan.items():
-        if p is None:
-            out[name] = None
-        else:
-            pos, lo, hi = p
-            out[name] = _interpolate(pos, lo, hi, got[f"{name}#lo"], got[f"{name}#hi"])
+    for c, ts in by_column.items():
+        for t in ts:
+            out[t.name] = None
+            if t.name in place:
+                pos, lo, hi = place[t.name]
+                out[t.name] = _interpolate(pos, lo, hi, found[c, lo], found[c, hi])
     return out
 
 
@@ -292,61 +267,27 @@ def _literal_row(spark, values: dict[str, float | None], order) -> DataFrame:
 # ------------------------------------------------------------------------ public
 
 
-def quantile_stats(
-    df: DataFrame,
-    targets: list[QuantileTarget],
-    mode: str = "auto",
-    *,
-    approx_accuracy: int = 10_000,
-    exact_max_distinct: int = 1_000_000,
-    checkpoint: bool = True,
-    cardinality: dict[str, int] | None = None,
-    **kw,
-) -> DataFrame:
+def quantile_stats(df: DataFrame, targets: list[QuantileTarget], mode: str = "exact", **kw) -> DataFrame:
     """One-row DataFrame with a double column per target (NULL if no non-null input).
 
-    ``cardinality`` (auto mode): distinct-count estimates per column gathered earlier,
-    e.g. observed while the input was materialised; saves the estimation pass.
+    ``exact`` reads ``df`` two or three times (pruned to the target columns), so an expensive
+    input is staged first.  ``accuracy`` and ``few_rows`` set the work of a pass, not the result.
     """
-    order = [t.name for t in targets]
     if mode == "exact":
+        values = _exact(df, targets, **kw)
+        return _literal_row(df.sparkSession, values, [t.name for t in targets])
+    if mode == "builtin":
         return _builtin(df, targets, None)
     if mode == "approx":
-        return _builtin(df, targets, approx_accuracy)
-    if mode == "distributed":
-        vals = _distributed(df, targets, checkpoint, **kw)
-        return _literal_row(df.sparkSession, vals, order)
-    if mode == "auto":
-        cols = list(dict.fromkeys(t.column for t in targets))
-        if cardinality is None or not set(cols) <= set(cardinality):
-            cardinality = distinct_estimates(df, cols)
-        budget, small = exact_max_distinct, set()
-        for c in sorted(cols, key=lambda c: cardinality[c]):
-            if cardinality[c] <= budget:
-                small.add(c)
-                budget -= cardinality[c]
-        big = set(cols) - small
-        small_t = [t for t in targets if t.column not in big]
-        big_t = [t for t in targets if t.column in big]
-        vals = _distributed(df, big_t, checkpoint, **kw) if big_t else {}
-        if not small_t:
-            return _literal_row(df.sparkSession, vals, order)
-        row = _builtin(df, small_t, None).select(
-            "*", *[F.lit(vals[t.name]).cast("double").alias(t.name) for t in big_t]
-        )
-        return row.select(*[F.col(f"`{n}`") for n in order])
+        return _builtin(df, targets, kw.get("accuracy", ACCURACY))
     raise ValueError(f"unknown quantile mode {mode!r}")
 
 
 def cardinality_metrics(columns) -> list:
-    """Aggregates for ``DataFrame.observe``: distinct-count estimates (HLL++)."""
+    """Distinct-count estimates (HLL++), for table statistics."""
     return [F.approx_count_distinct(c).alias(c) for c in dict.fromkeys(columns)]
 
 
-def distinct_estimates(df: DataFrame, columns) -> dict[str, int]:
-    return df.agg(*cardinality_metrics(columns)).first().asDict()
-
-
 def mode_value(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
     """A4: most frequent non-null value; ties -> smallest.  One-row DataFrame.
 
@@ -365,7 +306,7 @@ def mode_value(df: DataFrame, column: str, alias: str | None = None) -> DataFram
 
 
 def feature_statistics(
-    df: DataFrame, median_cols, mode_cols, *, quantile_mode: str = "auto", **kw
+    df: DataFrame, median_cols, mode_cols, *, quantile_mode: str = "exact", **kw
 ) -> DataFrame:
     """D5 statistics relation: ``<c>_median`` for each median column and
     ``<c>_mode`` for each mode column, as one row."""

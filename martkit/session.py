@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCALE_DEFAULTS = {
     # Runtime re-planning: broadcast only when the measured build side is small,
@@ -103,5 +103,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/martkit-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder under the shared checkpoint folder, deleted when the driver ends."""
+    sc = spark.sparkContext
+    path = f"{checkpoint_dir(spark).rstrip('/')}/martkit-scratch/{name}-{uuid.uuid4().hex}"
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
+
+    Cuts lineage and survives lost executors like a checkpoint, but later passes read only
+    the columns and row groups that they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -47,6 +47,33 @@ def test_copies_of_one_arrival_prefer_the_filled_one(spark):
     assert {r["k"]: r["v"] for r in dedup_keep_first(df, "k", "at").collect()} == {5: 3.5, 6: None}
 
 
+@pytest.mark.parametrize("kind", ["parquet", "csv", "json"])
+def test_without_an_order_the_first_row_of_the_files_wins(spark, scratch, kind):
+    rows = spark.range(400).selectExpr("id AS place", "id % 7 AS k", "CAST(1000 - id AS STRING) AS v")
+    rows.repartitionByRange(4, "place").sortWithinPartitions("place").write.format(kind).save(f"{scratch}/{kind}")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")  # several splits a file
+    try:
+        df = spark.read.schema(rows.schema).format(kind).load(f"{scratch}/{kind}").where("place >= 3")
+        kept = {r["k"]: r["place"] for r in dedup_keep_first(df, "k").collect()}
+        assert kept == {3: 3, 4: 4, 5: 5, 6: 6, 0: 7, 1: 8, 2: 9}
+        mart = df.selectExpr("k AS flat_id", "DOUBLE(v) AS price", "1 AS rooms", "DOUBLE(50) AS total_area", "DOUBLE(5) AS kitchen_area", "DOUBLE(20) AS living_area")
+        # prices fall in the order of the files: the first row of an id has its highest price
+        assert {r["flat_id"] for r in clean_exploratory(mart).collect()} == set(range(7))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_frame_without_files_needs_an_order(spark):
+    with pytest.raises(ValueError, match="order"):
+        dedup_keep_first(spark.createDataFrame([(1, 2)], "k int, v int"), "k")
+
+
+def test_null_keys_are_one_key(spark):
+    df = spark.createDataFrame([(None, 2, "x"), (None, 1, "y"), (3, 1, None), (4, 5, "z"), (4, 5, "a")], "k int, at int, v string")
+    assert {tuple(r) for r in dedup_keep_first(df, "k", "at").collect()} == {(None, 1, "y"), (3, 1, None), (4, 5, "a")}
+
+
 @pytest.mark.parametrize("order", [[], "k", ["k"]])
 def test_an_order_that_decides_nothing_is_refused(spark, order):
     df = spark.createDataFrame([(1, 2)], "k int, v int")

@@ -27,7 +27,7 @@ def test_raw_and_clean_counts_and_types(spark, raw):
     gates.enforce(gates.clean_gate(clean))
 
 
-@pytest.mark.parametrize("materialise", ["persist", "checkpoint"])
+@pytest.mark.parametrize("materialise", ["persist", "stage"])
 def test_materialised_build_is_identical(spark, raw, materialise):
     a = build_clean(raw)
     b = build_clean(raw, materialise=materialise)

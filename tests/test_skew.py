@@ -40,13 +40,13 @@ def test_mode_and_quantiles_hot_value(spark):
     vals = np.array([r["v"] for r in df.select("v").collect()])
     assert mode_value(df, "v").first()[0] == 5.0
     ts = [QuantileTarget(f"q{int(p * 100)}", "v", p) for p in (0.1, 0.33, 0.5, 0.9)]
-    for mode in ("exact", "distributed"):
-        got = quantile_stats(df, ts, mode, max_candidates=50, buckets=8).first().asDict()
+    for mode, kw in (("builtin", {}), ("exact", {}), ("exact", dict(accuracy=8, few_rows=50))):
+        got = quantile_stats(df, ts, mode, **kw).first().asDict()
         want = {t.name: float(np.percentile(vals, t.p * 100)) for t in ts}
         assert all(abs(got[k] - want[k]) < 1e-9 for k in want), (mode, got, want)
 
 
-def test_cardinality_hints_keep_results(spark):
+def test_quantile_modes_keep_results(spark):
     from martkit.operators.clean import clean_exploratory
     from martkit.operators.profile import profile_outliers
     from martkit.operators.raw import build_raw
@@ -54,10 +54,9 @@ def test_cardinality_hints_keep_results(spark):
 
     d = "/root/testdata/sf0.001"
     raw = build_raw(fixtures.flats(spark, d), fixtures.buildings(spark, d))
-    big = {c: 10**9 for c in raw.columns}  # forces the distributed path
-    a = clean_exploratory(raw, order_by="price", cardinality=big)
-    b = clean_exploratory(raw, order_by="price", quantile_mode="exact")
+    a = clean_exploratory(raw, order_by="price")
+    b = clean_exploratory(raw, order_by="price", quantile_mode="builtin")
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    p1 = sorted(tuple(r) for r in profile_outliers(raw, cardinality=big).collect())
-    p2 = sorted(tuple(r) for r in profile_outliers(raw, quantile_mode="exact").collect())
+    p1 = sorted(tuple(r) for r in profile_outliers(raw).collect())
+    p2 = sorted(tuple(r) for r in profile_outliers(raw, quantile_mode="builtin").collect())
     assert p1 == p2

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martkit.operators.split import exact_split, train_validation, validation_size
-from martkit.operators.stats import QuantileTarget, quantile_stats, select_ranks, value_counts_long
+from martkit.operators.stats import QuantileTarget, quantile_stats
 from martkit.sources.tables import read_table
 
 COLS = ("l_extendedprice", "l_quantity", "l_discount")
@@ -19,19 +19,56 @@ def _targets():
     return [QuantileTarget(f"{c}_{p}", c, p) for c in COLS for p in (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)]
 
 
-@pytest.mark.parametrize("kw", [dict(), dict(max_candidates=40, buckets=8), dict(max_candidates=5, buckets=4, checkpoint=False)])
-def test_distributed_equals_builtin_bit_for_bit(spark, sf001, kw):
+@pytest.mark.parametrize("kw", [dict(), dict(accuracy=50, few_rows=40), dict(accuracy=5, few_rows=3), dict(few_rows=0)])
+def test_rank_brackets_equal_builtin_bit_for_bit(spark, sf001, kw):
     li = read_table(spark, sf001, "lineitem")
-    exact = quantile_stats(li, _targets(), "exact").first().asDict()
-    dist = quantile_stats(li, _targets(), "distributed", **kw).first().asDict()
-    assert exact == dist
+    builtin = quantile_stats(li, _targets(), "builtin").first().asDict()
+    assert quantile_stats(li, _targets(), "exact", **kw).first().asDict() == builtin
 
 
-def test_auto_routes_by_cardinality(spark, sf001):
+def test_only_values_inside_the_brackets_are_shuffled(spark, sf001, monkeypatch):
+    from martkit.operators import stats
+
+    shuffled, real = [], stats._rank_inside
+    monkeypatch.setattr(stats, "_rank_inside", lambda df, b: shuffled.append(b) or real(df, b))
+    li = read_table(spark, sf001, "lineitem")
+    rows = li.count()
+    stats.quantile_stats(li, _targets())
+    inside = sum({b.span: b.inside for one in shuffled for b in one.values()}.values())
+    assert 0 < inside < rows / 20
+    # few distinct values: every rank lies on the end of a bracket, nothing is shuffled
+    shuffled.clear()
+    stats.quantile_stats(li.selectExpr("CAST(l_quantity % 3 AS DOUBLE) AS v"), [QuantileTarget("m", "v", 0.5)])
+    assert shuffled == []
+
+
+def test_generated_code_of_a_counting_pass_stays_below_the_compilers_limit(spark, sf001):
+    """The JVM does not compile methods above 8,000 bytes of code."""
+    from martkit.operators import stats
+
+    seen = []
+
+    class Watched:
+        def __init__(self, df):
+            self.df = df
+
+        def agg(self, *aggs):
+            out = self.df.agg(*aggs)
+            seen.append(out)
+            return out
+
+        def __getattr__(self, name):
+            return getattr(self.df, name)
+
     li = read_table(spark, sf001, "lineitem")
-    exact = quantile_stats(li, _targets(), "exact").first().asDict()
-    auto = quantile_stats(li, _targets(), "auto", exact_max_distinct=100, max_candidates=50, buckets=8).first().asDict()
-    assert exact == auto
+    ten = li.select(*[(F.col("l_extendedprice") * (i + 1)).alias(f"c{i}") for i in range(10)])
+    stats._exact(Watched(ten), [QuantileTarget(f"c{i}_m", f"c{i}", 0.5) for i in range(10)])
+    assert len(seen) >= 2
+    debug = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug
+    for frame in seen:
+        plan = frame._jdf.queryExecution().executedPlan()
+        for part in debug.package.codegenStringSeq(plan.inputPlan() if hasattr(plan, "inputPlan") else plan).toList().mkString("\n").split("maxMethodCodeSize:")[1:]:
+            assert int(part.split(";")[0]) < 8000
 
 
 def test_approx_is_close(spark, sf001):
@@ -46,24 +83,26 @@ def test_all_null_gives_null(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     t = [QuantileTarget("m", "x", 0.5)]
     assert quantile_stats(df, t, "exact").first()["m"] is None
-    assert quantile_stats(df, t, "distributed").first()["m"] is None
+    assert quantile_stats(df, t, "builtin").first()["m"] is None
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=60), st.sampled_from([0.0, 0.25, 0.5, 0.75, 0.9]))
-def test_distributed_matches_numpy_linear(spark, values, p):
+def test_rank_brackets_match_numpy_linear(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    got = quantile_stats(df, [QuantileTarget("q", "x", p)], "distributed", max_candidates=3, buckets=3, checkpoint=False).first()["q"]
+    got = quantile_stats(df, [QuantileTarget("q", "x", p)], accuracy=4, few_rows=3).first()["q"]
     assert math.isclose(got, float(np.percentile(values, p * 100)), rel_tol=1e-12, abs_tol=1e-12)
 
 
-def test_select_ranks_heavy_value(spark):
-    # one value holds most rows: it is a single (value, count) row after pre-aggregation
-    rows = [(7.0,)] * 500 + [(float(i),) for i in range(100)]
-    vc = value_counts_long(spark.createDataFrame(rows, "x double"), ["x"])
-    got = select_ranks(vc, [("a", "x", 0), ("b", "x", 300), ("c", "x", 599)], max_candidates=4, buckets=4, checkpoint=False)
-    s = sorted(r[0] for r in rows)
-    assert got == {"a": s[0], "b": s[300], "c": s[599]}
+def test_a_heavy_value_and_odd_values(spark):
+    # one value holds most rows; infinities, NaN (above all numbers) and negative zero
+    values = [7.0] * 500 + [float(i) for i in range(100)] + [math.inf, -math.inf, math.nan, math.nan, -0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    targets = [QuantileTarget(f"q{i}", "x", i / 40) for i in range(41)]
+    want = quantile_stats(df, targets, "builtin").first()
+    for kw in (dict(), dict(accuracy=4, few_rows=2)):
+        got = quantile_stats(df, targets, **kw).first()
+        assert all(a == b or (a != a and b != b) for a, b in zip(got, want)), kw
 
 
 # --------------------------------------------------------------------- split
@@ -128,15 +167,39 @@ def test_scale_conf_sizes_partitions():
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
 
 
-def test_split_refuses_null_and_repeated_boundary_ids(spark):
-    from martkit.operators.split import exact_split
-
-    ten = spark.range(100).selectExpr("id % 10 AS id")
-    with pytest.raises(ValueError, match="unique"):
-        exact_split(ten, "id", 0.25, 42).count()
+def test_split_refuses_a_null_id(spark):
     some = spark.createDataFrame([(1,), (None,), (3,)], "id bigint")
     with pytest.raises(ValueError, match="NULL"):
         exact_split(some, "id", 0.4, 42).count()
+    assert exact_split(some, None, 0.4, 42).where("is_validation").count() == 2
+
+
+@pytest.mark.parametrize("id_col", ["id", None])
+def test_split_of_repeated_rows_is_exact_and_repeatable(spark, monkeypatch, id_col):
+    from martkit.operators import split
+
+    monkeypatch.setattr(split, "SLICE", 7)
+    # every row ten times, one of them for a third of the table; NULLs and NaN in other columns
+    base = spark.range(60).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE CAST('NaN' AS DOUBLE) END AS v", "CAST(id % 4 AS STRING) AS s")
+    ten = base.crossJoin(spark.range(10).select()).unionByName(base.where("id = 5").crossJoin(spark.range(300).select()))
+    n = ten.count()
+    for test_size in (0.01, 0.2, 0.5, 0.77):
+        a = exact_split(ten.repartition(1), id_col, test_size, 9, prefix=1, max_rows=20)
+        b = exact_split(ten.repartition(6), id_col, test_size, 9)
+        assert a.where("is_validation").count() == math.ceil(n * test_size)
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+        rows = a.drop("is_validation")
+        assert rows.exceptAll(ten).isEmpty() and ten.exceptAll(rows).isEmpty()
+
+
+def test_whole_rows_are_told_apart(spark):
+    from martkit.operators.split import row_identity
+
+    pairs = [("a", None), (None, "a"), ("", None), (None, None), ("a=", "b"), ("a", "=b"), ("a", "b")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    assert df.select(row_identity(df).alias("d")).distinct().count() == len(pairs)
+    same = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert same.select(row_identity(same).alias("d")).distinct().count() == 1
 
 
 def test_percent_of_nothing_is_null(spark):
