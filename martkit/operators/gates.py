@@ -114,6 +114,33 @@ def target_gate(df: DataFrame, target: str, integral=()) -> DataFrame:
     return _stack("target", one.select(*[F.col(f"`{r}`").alias(r) for r in rules]), rules)
 
 
+def feature_gate(train: DataFrame, data: DataFrame, cats, nums) -> DataFrame:
+    """M3 before assembling: one report row per column and rule.
+
+    ``empty``: rows of ``train`` if a column has no value at all (the assembler would pass it
+    on as NaN); ``constant``: 1 if a numeric column holds a single value; ``unseen``: rows of
+    ``data`` with a category that ``train`` never shows.  One aggregate over the columns of
+    ``train``; categories are compared as distinct values, combined map-side.
+    """
+    columns = [*cats, *nums]
+    one = train.agg(
+        *[F.when(F.count(c) == 0, F.count(F.lit(1))).otherwise(0).alias(f"empty:{c}") for c in columns],
+        *[F.when(F.min(c) == F.max(c), 1).otherwise(0).alias(f"constant:{c}") for c in nums])
+    rules = [f"empty:{c}" for c in columns] + [f"constant:{c}" for c in nums]
+    report = _stack("features", one, rules)
+    if not cats:
+        return report
+    def shown(df):
+        long = df.select(*[F.col(c).cast("string").alias(c) for c in cats]).unpivot([], list(cats), "column", "value")
+        return long.where(F.col("value").isNotNull()).groupBy("column", "value")
+    seen = shown(train).agg(F.lit(1).alias("_seen"))
+    unseen = shown(data).agg(F.count(F.lit(1)).alias("n")).join(seen, ["column", "value"], "left_anti")
+    per_column = F.array(*[F.struct(
+        F.lit(f"unseen:{c}").alias("rule"), F.coalesce(F.sum(F.when(F.col("column") == c, F.col("n"))), F.lit(0)).alias("violations")) for c in cats])
+    rows = unseen.agg(per_column.alias("r")).select(F.inline("r"))
+    return report.unionByName(rows.select(F.lit("features").alias("gate"), "rule", "violations", (F.col("violations") == 0).alias("passed")))
+
+
 def require_sources(spark: SparkSession, *names_or_paths: str) -> None:
     """Each source exists (catalog table or path), else ``GateError``."""
     missing = [n for n in names_or_paths if not table_exists(spark, n)]
