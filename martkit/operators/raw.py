@@ -31,15 +31,15 @@ RAW_PROJECTION: tuple[tuple[str, str, str, bool], ...] = (
 )
 
 
-def build_raw(flats: DataFrame, buildings: DataFrame, *, nan_as_null: bool = True) -> DataFrame:
+def build_raw(flats: DataFrame, buildings: DataFrame, *, nan_as_null: bool = True, keep=()) -> DataFrame:
     """``flats ⋈ buildings`` on ``buildings.id = flats.building_id`` (N:1, inner).
 
     No join strategy is forced: AQE broadcasts ``buildings`` only if its measured size
     is under the broadcast threshold, otherwise sort-merge; a building holding a large
     share of flats is split by AQE's skew-join handling.  Only the projected columns
-    are read from either side.
+    are read from either side; ``keep`` names further columns of ``flats`` to pass on.
     """
-    need_f = [src for _, side, src, _ in RAW_PROJECTION if side == "f"]
+    need_f = [src for _, side, src, _ in RAW_PROJECTION if side == "f"] + list(keep)
     need_b = ["id"] + [src for _, side, src, _ in RAW_PROJECTION if side == "b"]
     f = flats.select(*need_f).alias("f")
     b = buildings.select(*need_b).alias("b")
@@ -50,7 +50,7 @@ def build_raw(flats: DataFrame, buildings: DataFrame, *, nan_as_null: bool = Tru
     for out, side, src, default in RAW_PROJECTION:
         c = F.col(f"{side}.{src}")
         cols.append((bool_default(c) if default else c).alias(out))
-    return joined.select(*cols)
+    return joined.select(*cols, *[F.col(f"f.{c}") for c in keep])
 
 
 def orphans(flats: DataFrame, buildings: DataFrame) -> DataFrame:

@@ -43,23 +43,35 @@ BUILDINGS_EXPRS: tuple[tuple[str, str], ...] = (
 ORPHAN_BUILDING_ID_EXPR = "CASE WHEN o_custkey % 499 = 0 THEN NULL ELSE o_custkey END"
 
 
+# Variant with flats whose building_id is NULL or names no building.
+DANGLING_BUILDING_ID_EXPR = "CASE WHEN o_custkey % 499 = 0 THEN NULL WHEN o_custkey % 333 = 0 THEN -o_custkey ELSE o_custkey END"
+
+# Flats that share ids within one table.
+SHARED_ID = {"id": "o_orderkey - CASE WHEN o_orderkey % 10 IN (3, 4) THEN 2 ELSE 0 END"}
+
+# Buildings without any floor count, and floors below zero: the imputed total
+# stays NULL, so the published floor rule rejects such floors and the exploratory one does not.
+BELOW_ZERO_FLOOR = {"floor": "CAST(CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 59 = 0 THEN -1 ELSE o_orderkey % 12 END AS INT)"}
+NO_TOTALS = {"floors_total": "CAST(NULL AS INT)"}
+
+
 def _select_sql(exprs, table: str, overrides: dict[str, str] | None = None) -> str:
     overrides = overrides or {}
     cols = ",\n  ".join(f"{overrides.get(a, e)} AS {a}" for a, e in exprs)
     return f"SELECT\n  {cols}\nFROM {table}"
 
 
-def flats_sql(table: str = "orders", *, orphans: bool = False) -> str:
-    ov = {"building_id": ORPHAN_BUILDING_ID_EXPR} if orphans else None
-    return _select_sql(FLATS_EXPRS, table, ov)
+def flats_sql(table: str = "orders", *, orphans: bool = False, changed: dict[str, str] | None = None) -> str:
+    ov = {"building_id": ORPHAN_BUILDING_ID_EXPR} if orphans else {}
+    return _select_sql(FLATS_EXPRS, table, ov | (changed or {}))
 
 
-def buildings_sql(table: str = "customer") -> str:
-    return _select_sql(BUILDINGS_EXPRS, table)
+def buildings_sql(table: str = "customer", changed: dict[str, str] | None = None) -> str:
+    return _select_sql(BUILDINGS_EXPRS, table, changed)
 
 
-def flats(spark: SparkSession, sf_dir: str, *, orphans: bool = False) -> DataFrame:
-    exprs = dict(FLATS_EXPRS)
+def flats(spark: SparkSession, sf_dir: str, *, orphans: bool = False, changed: dict[str, str] | None = None) -> DataFrame:
+    exprs = dict(FLATS_EXPRS) | (changed or {})
     if orphans:
         exprs["building_id"] = ORPHAN_BUILDING_ID_EXPR
     return read_table(spark, sf_dir, "orders").selectExpr(
@@ -67,9 +79,9 @@ def flats(spark: SparkSession, sf_dir: str, *, orphans: bool = False) -> DataFra
     )
 
 
-def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def buildings(spark: SparkSession, sf_dir: str, *, changed: dict[str, str] | None = None) -> DataFrame:
     return read_table(spark, sf_dir, "customer").selectExpr(
-        *[f"{e} AS {a}" for a, e in BUILDINGS_EXPRS]
+        *[f"{e} AS {a}" for a, e in (dict(BUILDINGS_EXPRS) | (changed or {})).items()]
     )
 
 

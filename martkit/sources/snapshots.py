@@ -1,15 +1,19 @@
-"""Staged writes, gates on written data, atomic publish.
+"""Staged writes, gates on written data, fenced publish.
 
 Layout of a mart under ``root``::
 
-    <root>/<mart>/v=<run_id>/               Parquet snapshot (staged, then published)
-    <root>/<mart>/_published/<run_id>.json  marker: run_id, uri, rows, published_utc
+    <root>/<mart>/v=<run_id>/            Parquet snapshot (staged, then published)
+    <root>/<mart>/_published/<seq>.json  marker: sequence number, run_id, uri, checksum, key ranges
 
-A snapshot becomes visible only when its marker exists; the marker is written last,
-after the gates passed on the *written* files, via write-to-temp + rename.  Readers
-take the greatest published run id, so a failed or half-written run never replaces
-the current snapshot, and readers of an older snapshot keep reading it.  One writer
-per mart at a time is assumed.
+A snapshot becomes visible only when its marker exists.  Markers are numbered; a run claims
+the number after the one it found when it started, by a rename that does not overwrite.  Of
+several runs that started from the same snapshot exactly one publishes, the others fail and
+remove their folders.  A failed or half-written run never replaces the current snapshot, and
+readers of an older snapshot keep reading it.
+
+What was written is compared with what was meant to be written: the write job itself
+observes a checksum of the multiset of rows (count, sum and xor of row hashes), and the
+files must give the same one when read again.
 """
 
 from __future__ import annotations
@@ -18,10 +22,13 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from martkit.errors import GateError
+from martkit.functions import checksum, checksum_dict, checksum_metrics
 from martkit.operators.gates import enforce
+from martkit.sources.files import csv_header, delete, file_system, names, read_text, replace, replace_file, stitch, write_text
 from martkit.sources.tables import contract_scan, read_csv
 
 
@@ -29,62 +36,56 @@ def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ") + "-" + uuid.uuid4().hex[:8]
 
 
-# ------------------------------------------------------------------ file system
+# --------------------------------------------------------------------- markers
+
 
+def _markers(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/_published"
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
+def current_sequence(spark: SparkSession, root: str, name: str) -> int:
+    """The number of the newest marker; 0 if nothing is published."""
+    return max((int(n.removesuffix(".json")) for n in names(spark, _markers(root, name)) if n.endswith(".json")), default=0)
 
-def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
+
+def _claim(spark: SparkSession, root: str, name: str, after: int, manifest: dict) -> dict:
+    """Write the marker that follows ``after``; another writer's marker there is an error."""
+    manifest = {**manifest, "sequence": after + 1, "published_utc": datetime.now(timezone.utc).isoformat()}
+    path = f"{_markers(root, name)}/{after + 1:012d}.json"
     try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if not fs.rename(tmp, p):
-        fs.delete(tmp, False)
-        raise RuntimeError(f"could not publish {path}")
+        write_text(spark, path, json.dumps(manifest, sort_keys=True), overwrite=False)
+    except FileExistsError:
+        raise GateError("publish", [{"rule": "fenced", "violations": 1}]) from None
+    return manifest
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path).collect())
+def current_manifest(spark: SparkSession, root: str, mart: str) -> dict | None:
+    last = current_sequence(spark, root, mart)
+    return json.loads(read_text(spark, f"{_markers(root, mart)}/{last:012d}.json")) if last else None
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+# ------------------------------------------------------------------- snapshots
 
 
-def _replace(fs, src, dst) -> None:
-    """Move ``src`` to ``dst``; what was there is set aside first and put back on failure."""
-    old = None
-    if fs.exists(dst):
-        old = dst.suffix(f".old-{uuid.uuid4().hex}")
-        if not fs.rename(dst, old):
-            raise RuntimeError(f"could not set {dst} aside")
-    if not fs.rename(src, dst):
-        if old is not None:
-            fs.rename(old, dst)
-        raise RuntimeError(f"could not replace {dst}")
-    if old is not None:
-        fs.delete(old, True)
+def _compare(gate: str, want: dict, got: dict) -> None:
+    """A report row for each part of two checksums that differs."""
+    wrong = [{"rule": f"content:{k}", "violations": 1} for k in want if want[k] != got.get(k)]
+    if wrong:
+        raise GateError(gate, wrong)
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(p)]
+def key_ranges(written: DataFrame, key: str) -> list[dict]:
+    """Smallest and largest key and rows of each file, in key order (the zone map)."""
+    per_file = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("rows"))
+    rows = [r.asDict() for r in per_file.collect()]  # one row per file
+    return sorted(rows, key=lambda r: (r["low"] is not None, r["low"], r["high"]))
 
 
-# ------------------------------------------------------------------- snapshots
+def _disjoint(ranges: list[dict]) -> list[dict]:
+    """Files whose key range touches that of the file before."""
+    held = [r for r in ranges if r["low"] is not None]
+    return [{"rule": f"key_ranges_disjoint:{b['file']}", "violations": 1} for a, b in zip(held, held[1:]) if b["low"] <= a["high"]]
 
 
 def publish_snapshot(
@@ -102,57 +103,49 @@ def publish_snapshot(
     """Stage ``df`` as a new snapshot, gate it, publish it.
 
     ``gates`` are callables ``DataFrame -> report DataFrame`` run on the re-read
-    snapshot.  ``cluster_by`` sorts rows within each file by that key (S16: no index
-    in Spark; clustered files keep min/max statistics selective on the key).
-    ``analyze`` (S15) lists columns whose distinct-count estimates are gathered by
-    the verification pass and stored in the manifest (``distinct``), for later
-    stages to plan with; without it the row count comes from the Parquet footers.
+    snapshot.  ``cluster_by`` (S16: no index in Spark) deals the rows out by ranges of that
+    key and sorts them within each file, so files cover disjoint ranges; their bounds go into
+    the manifest, a unique key repeats nowhere if no file repeats it and no two ranges touch,
+    and ``lookup`` opens the files of a key only.  ``analyze`` (S15) lists columns whose
+    distinct-count estimates are stored in the manifest (``distinct``).
     """
     run_id = run_id or new_run_id()
-    base = f"{root.rstrip('/')}/{mart}"
-    uri = f"{base}/v={run_id}"
     spark = df.sparkSession
-    out = df.sortWithinPartitions(cluster_by) if cluster_by else df
-    # Staged; all-or-nothing job commit; a skewed partition is split across files
-    out.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).parquet(uri)
+    after = current_sequence(spark, root, mart)
+    uri = f"{root.rstrip('/')}/{mart}/v={run_id}"
+    out = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by) if cluster_by else df
+    meant = Observation()
     try:
-        written = spark.read.parquet(uri)
+        # Staged; all-or-nothing job commit; a skewed partition is split across files
+        (out.observe(meant, *checksum_metrics(out)).write.mode("errorifexists")
+            .option("maxRecordsPerFile", max_records_per_file).parquet(uri))
+        written = spark.read.schema(out.schema).parquet(uri)
+        content = checksum(written)
+        _compare("publish", checksum_dict(meant.get), content)
         reports = [enforce(g(written)) for g in gates]
+        if expected_rows is not None and content["rows"] != expected_rows:
+            raise GateError("publish", [{"rule": "row_count", "violations": abs(content["rows"] - expected_rows)}])
         distinct = {}
         if analyze:
-            from pyspark.sql import functions as F
-
-            one = written.agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.approx_count_distinct(c).alias(c) for c in dict.fromkeys(analyze)],
-            ).first().asDict()
-            rows = one.pop("_rows")
-            distinct = one
-        else:
-            rows = written.count()  # Parquet footers: no data pages read
-        if expected_rows is not None and rows != expected_rows:
-            raise GateError("publish", [{"rule": "row_count", "violations": abs(rows - expected_rows)}])
+            columns = dict.fromkeys(analyze)
+            distinct = written.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+        ranges = key_ranges(written, cluster_by) if cluster_by else []
+        if wrong := _disjoint(ranges):
+            raise GateError("publish", wrong)
+        return _claim(spark, root, mart, after, {
+            "run_id": run_id,
+            "uri": uri,
+            "rows": content["rows"],
+            "columns": out.columns,
+            "checksum": content,
+            "distinct": distinct,
+            "cluster_by": cluster_by,
+            "key_ranges": ranges,
+            "gates": [r for rep in reports for r in rep],
+        })
     except Exception:
-        _delete(spark, uri)  # S11: a failed run leaves nothing behind
+        delete(spark, uri)  # S11: a failed run leaves nothing behind
         raise
-    manifest = {
-        "run_id": run_id,
-        "uri": uri,
-        "rows": rows,
-        "distinct": distinct,
-        "published_utc": datetime.now(timezone.utc).isoformat(),
-        "gates": [r for rep in reports for r in rep],
-    }
-    _write_text_atomic(spark, f"{base}/_published/{run_id}.json", json.dumps(manifest, sort_keys=True))
-    return manifest
-
-
-def current_manifest(spark: SparkSession, root: str, mart: str) -> dict | None:
-    names = [n for n in _list(spark, f"{root.rstrip('/')}/{mart}/_published") if n.endswith(".json")]
-    if not names:
-        return None
-    latest = max(names)
-    return json.loads(_read_text(spark, f"{root.rstrip('/')}/{mart}/_published/{latest}"))
 
 
 def read_current(spark: SparkSession, root: str, mart: str) -> DataFrame:
@@ -163,6 +156,18 @@ def read_current(spark: SparkSession, root: str, mart: str) -> DataFrame:
     return spark.read.parquet(m["uri"])
 
 
+def lookup(spark: SparkSession, root: str, mart: str, key) -> DataFrame:
+    """The rows of one key of a clustered snapshot; opens only files whose range holds it."""
+    m = current_manifest(spark, root, mart)
+    if m is None or not m["cluster_by"]:
+        raise ValueError(f"no published snapshot of {mart} with a clustered key")
+    whole = spark.read.parquet(m["uri"])
+    files = [r["file"] for r in m["key_ranges"] if r["low"] is not None and r["low"] <= key <= r["high"]]
+    if not files:
+        return whole.limit(0)
+    return spark.read.schema(whole.schema).parquet(*[f"{m['uri']}/{f}" for f in files]).where(F.col(m["cluster_by"]) == key)
+
+
 def publish_table(spark: SparkSession, manifest: dict, name: str) -> None:
     """S7 in a catalog: switch view ``[schema.]name`` to the published snapshot.
 
@@ -178,33 +183,32 @@ def publish_table(spark: SparkSession, manifest: dict, name: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS SELECT * FROM parquet.`{uri}`")
 
 
-def publish_model(model, root: str, name: str, *, run_id: str | None = None) -> dict:
-    """S13 + S14 for models: save under ``<root>/<name>/v=<run_id>``, load it back and
-    compare its stages, then write the ``_published`` marker."""
+def publish_model(model, root: str, name: str, *, rows: DataFrame | None = None, run_id: str | None = None) -> dict:
+    """S13 + S14 for models: save under ``<root>/<name>/v=<run_id>``, load it back, compare
+    its stages and, on stored ``rows``, every prediction with the fitted model's; then claim
+    the next marker."""
     from pyspark.ml import PipelineModel
 
+    from martkit.operators.model import predict
+
     spark = SparkSession.getActiveSession()
     run_id = run_id or new_run_id()
-    base = f"{root.rstrip('/')}/{name}"
-    uri = f"{base}/v={run_id}"
-    model.write().save(uri)
+    after = current_sequence(spark, root, name)
+    uri = f"{root.rstrip('/')}/{name}/v={run_id}"
+    manifest = {"run_id": run_id, "uri": uri, "stages": [type(s).__name__ for s in model.stages], "columns": None, "rows": None}
     try:
+        model.write().save(uri)
         back = PipelineModel.load(uri)
-        want = [type(s).__name__ for s in model.stages]
-        got = [type(s).__name__ for s in back.stages]
-        if want != got:
+        if [type(s).__name__ for s in back.stages] != manifest["stages"]:
             raise GateError("publish_model", [{"rule": "stages", "violations": 1}])
+        if rows is not None:
+            scored = [checksum(predict(m, rows).select(*rows.columns, "prediction")) for m in (model, back)]
+            _compare("publish_model", *scored)
+            manifest |= {"rows": scored[0]["rows"], "columns": rows.columns, "predictions": scored[0]}
+        return _claim(spark, root, name, after, manifest)
     except Exception:
-        _delete(spark, uri)
+        delete(spark, uri)
         raise
-    manifest = {
-        "run_id": run_id,
-        "uri": uri,
-        "stages": want,
-        "published_utc": datetime.now(timezone.utc).isoformat(),
-    }
-    _write_text_atomic(spark, f"{base}/_published/{run_id}.json", json.dumps(manifest, sort_keys=True))
-    return manifest
 
 
 def current_model(spark: SparkSession, root: str, name: str):
@@ -218,23 +222,7 @@ def current_model(spark: SparkSession, root: str, name: str):
 
 def write_json_atomic(spark: SparkSession, path: str, doc: dict) -> None:
     """S11 + S12: one JSON document with sorted keys, replacing ``path`` only when complete."""
-    _write_text_atomic_replace(spark, path, json.dumps(doc, sort_keys=True, indent=2) + "\n")
-
-
-def _write_text_atomic_replace(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    try:
-        _replace(fs, tmp, p)
-    except Exception:
-        fs.delete(tmp, False)
-        raise
+    write_text(spark, path, json.dumps(doc, sort_keys=True, indent=2) + "\n", overwrite=True)
 
 
 # ---------------------------------------------------------------------- export
@@ -247,38 +235,56 @@ def export(
     *,
     schema=None,
     fmt: str = "csv",
+    order_by=None,
     expected_rows: int | None = None,
+    expected: dict | None = None,
     max_records_per_file: int = 20_000_000,
 ) -> dict:
     """Contract columns only, written all-or-nothing to ``path``.
 
-    Output goes to a temporary sibling folder first; only a complete, non-empty
-    result, with ``expected_rows`` rows if given, replaces ``path`` (the previous export
-    is set aside, and put back if the rename fails).  On failure the temporary folder
-    is removed and any previous export stays.  Returns the rows counted in the files.
+    ``csv`` is one file with one header line and its rows in the order of ``order_by`` (the
+    first column if not given): parts are written side by side without headers and put
+    together at their byte offsets (``files.stitch``).  ``parquet`` is a folder.
+
+    Output goes to a temporary name beside ``path`` first; only a non-empty result whose rows
+    have the checksum that the write job observed, with ``expected_rows`` rows and the checksum
+    ``expected`` if given, replaces ``path``.  A file replaces a file in one step; a folder is
+    set aside first and put back if the rename fails.  On failure the temporary output is
+    removed and any previous export stays.
     """
     spark = df.sparkSession
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unsupported export format {fmt!r}")
     out = contract_scan(df, columns, schema)
-    tmp = f"{path.rstrip('/')}.tmp-{uuid.uuid4().hex}"
+    if fmt == "csv" or order_by:
+        out = out.orderBy(order_by or columns[0])
+    tmp, parts = f"{path.rstrip('/')}.tmp-{uuid.uuid4().hex}", f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
+    meant = Observation()
+    w = out.observe(meant, *checksum_metrics(out)).write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
     try:
-        w = out.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
         if fmt == "csv":
-            w.option("header", True).csv(tmp)
+            w.option("header", False).csv(parts)
+            stitch(spark, parts, tmp, csv_header(out.columns))
             back = read_csv(spark, tmp, out.schema)
-        elif fmt == "parquet":
-            w.parquet(tmp)
-            back = spark.read.parquet(tmp)
         else:
-            raise ValueError(f"unsupported export format {fmt!r}")
-        rows = back.count()
-        if rows == 0:
+            w.parquet(tmp)
+            back = spark.read.schema(out.schema).parquet(tmp)
+        content = checksum(back)
+        if content["rows"] == 0:
             raise GateError("export", [{"rule": "non_empty", "violations": 1}])
-        if expected_rows is not None and rows != expected_rows:
-            raise GateError("export", [{"rule": "row_count", "violations": abs(rows - expected_rows)}])
-        fs, src = _fs(spark, tmp)
-        _, dst = _fs(spark, path)
-        _replace(fs, src, dst)
+        _compare("export", checksum_dict(meant.get), content)
+        if expected is not None:
+            _compare("export", expected, content)
+        if expected_rows is not None and content["rows"] != expected_rows:
+            raise GateError("export", [{"rule": "row_count", "violations": abs(content["rows"] - expected_rows)}])
+        if fmt == "csv":
+            replace_file(spark, tmp, path)
+        else:
+            fs, src = file_system(spark, tmp)
+            replace(fs, src, file_system(spark, path)[1])
     except Exception:
-        _delete(spark, tmp)
+        delete(spark, tmp)
         raise
-    return {"path": path, "columns": list(columns), "format": fmt, "rows": rows}
+    finally:
+        delete(spark, parts)
+    return {"path": path, "columns": list(columns), "format": fmt, "rows": content["rows"], "checksum": content}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date, datetime
 
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
@@ -110,6 +111,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """The column names of a CSV file's header."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+
+
 def jdbc_read_options(
     url: str,
     table: str,
@@ -140,14 +146,55 @@ def jdbc_read_options(
     return opts
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, columns, *, properties=None, **kw) -> DataFrame:
-    """S3 + S2: partitioned, fetch-size-bounded JDBC scan of exactly ``columns``.
+def _sql_literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return repr(value) if isinstance(value, float) else str(value)
+
+
+def range_predicates(df: DataFrame, key: str, chunk_size: int, accuracy: int = 10_000) -> list[str]:
+    """S3: SQL predicates on ``key`` that cut ``df`` into ranges of about ``chunk_size`` rows.
 
-    The projection is pushed into the database query by Spark's JDBC source.
+    The bounds are quantiles of the key, not steps of equal width, so a skewed key gives equal
+    chunks too: each is off by at most two parts in ``accuracy`` of the rows, and a single
+    key that holds more than a chunk is a chunk of its own.  The predicates are disjoint and
+    cover every row, NULL keys included.  One aggregate pass over the key column; the key is a
+    number, a date or a timestamp.
+    """
+    if chunk_size <= 0:
+        raise ValueError("chunk_size has to be at least 1")
+    name = key.replace('"', '""')
+    n = df.count()
+    chunks = max(1, -(-n // chunk_size))
+    if chunks == 1:
+        return ["1 = 1"]
+    fractions = [i / chunks for i in range(1, chunks)]
+    bounds = df.agg(F.percentile_approx(key, fractions, max(accuracy, 10 * chunks)).alias("b")).first()["b"] or []
+    bounds = list(dict.fromkeys(bounds))  # a key of several chunks bounds one
+    if not bounds:
+        return ["1 = 1"]
+    low = [f'"{name}" <= {_sql_literal(bounds[0])}']
+    between = [f'"{name}" > {_sql_literal(a)} AND "{name}" <= {_sql_literal(b)}' for a, b in zip(bounds, bounds[1:])]
+    return low + between + [f'"{name}" > {_sql_literal(bounds[-1])}', f'"{name}" IS NULL']
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, columns, *, key: str | None = None, properties=None, **kw) -> DataFrame:
+    """S3 + S2: fetch-size-bounded JDBC scan of exactly ``columns``.
+
+    With ``key`` the read is cut into balanced ranges of about ``chunk_size`` rows, one task
+    each; else ``partition_column`` and its bounds give ranges of equal width.  The projection
+    is pushed into the database query by Spark's JDBC source.
     """
     opts = jdbc_read_options(url, table, **kw)
     opts.update(properties or {})
-    return spark.read.format("jdbc").options(**opts).load().select(*columns)
+    whole = spark.read.format("jdbc").options(**opts).load()
+    if key is None:
+        return whole.select(*columns)
+    ranges = range_predicates(whole.select(key), key, int(opts["fetchsize"]))
+    plain = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(url, opts["dbtable"], predicates=ranges, properties=plain).select(*columns)
 
 
 def analyze_table(spark: SparkSession, name: str) -> None:

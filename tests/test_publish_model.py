@@ -47,9 +47,9 @@ def test_publish_then_failed_run_keeps_previous(spark, clean, scratch):
 
 
 def _ls(spark, path):
-    from martkit.sources.snapshots import _list
+    from martkit.sources.files import names
 
-    return _list(spark, path)
+    return names(spark, path)
 
 
 def test_publish_row_count_check(spark, clean, scratch):
@@ -83,8 +83,8 @@ def test_export_counts_its_rows_and_keeps_the_previous_one(spark, clean, scratch
         def __getattr__(self, name):
             return getattr(self.fs, name)
 
-    real = snapshots._replace
-    monkeypatch.setattr(snapshots, "_replace", lambda fs, a, b: real(Failing(fs), a, b))
+    real = snapshots.replace
+    monkeypatch.setattr(snapshots, "replace", lambda fs, a, b: real(Failing(fs), a, b))
     with pytest.raises(RuntimeError):
         export(clean.limit(5), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, fmt="parquet")
     assert spark.read.parquet(path).count() == n
@@ -251,15 +251,195 @@ def test_load_features_from_csv(spark, clean, scratch):
         load_features_and_target(spark, f"{scratch}/missing.csv", CLEAN_SCHEMA)
 
 
-def test_publish_analyze_feeds_clean_stage(spark, sf001, scratch):
+def test_publish_analyze_and_clean_from_the_snapshot(spark, sf001, scratch):
     raw = build_raw(fixtures.flats(spark, sf001), fixtures.buildings(spark, sf001))
     m = publish_snapshot(raw, scratch, "raw_an", analyze=["price", "floor"])
     assert m["rows"] == 1500 and set(m["distinct"]) == {"price", "floor"}
     assert 10 <= m["distinct"]["floor"] <= 14
     pub = read_current(spark, scratch, "raw_an")
-    card = {c: 10**9 for c in raw.columns}  # forces the distributed path everywhere
-    a = build_clean(pub, cardinality=card)
-    assert same(a, build_clean(raw, quantile_mode="exact"))
+    assert same(build_clean(pub), build_clean(raw, quantile_mode="builtin"))
+
+
+def _local(path):
+    return path.removeprefix("file:")
+
+
+def test_a_short_or_altered_file_fails_publish_and_export(spark, clean, scratch, monkeypatch):
+    import os
+
+    from martkit.sources import snapshots
+
+    real = snapshots.checksum
+
+    def with_a_file_gone(df):
+        os.remove(_local(sorted(df.inputFiles())[0]))
+        return real(spark.read.schema(df.schema).parquet(os.path.dirname(df.inputFiles()[0])))
+
+    def with_a_changed_value(df):
+        return real(df.withColumn("price", F.when(F.col("flat_id") == 7, F.col("price") + 1).otherwise(F.col("price"))))
+
+    rows = clean.repartition(4)
+    for fault in (with_a_file_gone, with_a_changed_value):
+        monkeypatch.setattr(snapshots, "checksum", fault)
+        with pytest.raises(GateError, match="content"):
+            publish_snapshot(rows, scratch, "spoiled")
+        with pytest.raises(GateError, match="content"):
+            export(rows, f"{scratch}/spoiled.parquet", EXPORT_COLUMNS, fmt="parquet")
+    monkeypatch.setattr(snapshots, "checksum", with_a_changed_value)
+    with pytest.raises(GateError, match="content"):
+        export(rows, f"{scratch}/spoiled.csv", EXPORT_COLUMNS)
+    assert current_manifest(spark, scratch, "spoiled") is None
+    assert not [n for n in _ls(spark, scratch) if n.startswith("spoiled.")] and not [n for n in _ls(spark, f"{scratch}/spoiled") if n[:2] == "v="]
+
+
+def test_a_failed_write_leaves_no_folder(spark, clean, scratch):
+    broken = clean.withColumn("price", F.when(F.col("flat_id") == 7, F.raise_error(F.lit("broken row"))).otherwise(F.col("price")))
+    with pytest.raises(Exception, match="broken row"):
+        publish_snapshot(broken, scratch, "broken")
+    assert _ls(spark, f"{scratch}/broken") == []
+
+
+def test_of_two_writers_exactly_one_publishes(spark, clean, scratch):
+    first = publish_snapshot(clean, scratch, "raced")
+    inner = []
+
+    def other_writer(df):  # publishes while the outer writer is between its write and its marker
+        inner.append(publish_snapshot(clean.limit(10), scratch, "raced"))
+        return gates.clean_gate(df)
+
+    with pytest.raises(GateError, match="fenced"):
+        publish_snapshot(clean.limit(20), scratch, "raced", gates=[other_writer])
+    now = current_manifest(spark, scratch, "raced")
+    assert (first["sequence"], inner[0]["sequence"]) == (1, 2) and now["run_id"] == inner[0]["run_id"]
+    kept = {n for n in _ls(spark, f"{scratch}/raced") if n.startswith("v=")}
+    assert kept == {f"v={first['run_id']}", f"v={inner[0]['run_id']}"}
+    assert read_current(spark, scratch, "raced").count() == 10
+
+
+def test_export_is_one_file_with_one_header_in_key_order(spark, clean, scratch):
+    from martkit.functions import checksum
+
+    path = f"{scratch}/one.csv"
+    out = export(clean.repartition(7), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA, max_records_per_file=100, expected=checksum(clean))
+    with open(_local(path), encoding="utf-8") as f:
+        lines = f.read().split("\n")
+    assert lines[0] == ",".join(EXPORT_COLUMNS) and lines[-1] == "" and len(lines) == 1165 + 2
+    ids = [int(x.split(",")[0]) for x in lines[1:-1]]
+    assert ids == sorted(ids) and lines.count(lines[0]) == 1 and out["checksum"] == checksum(clean)
+    # replaces a file in one step, and a folder too
+    export(clean.where("flat_id < 100"), path, EXPORT_COLUMNS, schema=CLEAN_SCHEMA)
+    assert 0 < read_csv(spark, path, CLEAN_SCHEMA).count() < 100
+    export(clean, f"{scratch}/folder", EXPORT_COLUMNS, fmt="parquet")
+    export(clean, f"{scratch}/folder", EXPORT_COLUMNS, fmt="csv")
+    assert read_csv(spark, f"{scratch}/folder", CLEAN_SCHEMA).count() == 1165
+    assert not [n for n in _ls(spark, scratch) if ".tmp-" in n or ".parts-" in n or ".old-" in n]
+    with pytest.raises(GateError, match="content"):
+        export(clean.limit(5), path, EXPORT_COLUMNS, expected=checksum(clean))
+
+
+def test_clustered_snapshot_has_disjoint_ranges_and_lookups_open_one_file(spark, clean, scratch):
+    from martkit.plans.inspect import scans
+    from martkit.sources.snapshots import lookup
+
+    shuffles = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        m = publish_snapshot(clean, scratch, "zoned", cluster_by="flat_id")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", shuffles)
+    ranges = m["key_ranges"]
+    assert len(ranges) == 8 and sum(r["rows"] for r in ranges) == 1165
+    assert all(a["high"] < b["low"] for a, b in zip(ranges, ranges[1:]))
+    key = ranges[3]["high"]
+    found = lookup(spark, scratch, "zoned", key)
+    assert [r["flat_id"] for r in found.collect()] == [key] and len(found.inputFiles()) == 1
+    (scan,) = scans(found)
+    assert f"EqualTo(flat_id,{key})" in scan["PushedFilters"]
+    assert lookup(spark, scratch, "zoned", -5).count() == 0
+    # a key on both sides of a border is found
+    twice = clean.unionByName(clean.limit(300))
+    with pytest.raises(GateError, match="key_ranges_disjoint"):
+        publish_snapshot(twice.coalesce(1), scratch, "twice", cluster_by="flat_id", max_records_per_file=3)
+
+
+def test_published_model_must_predict_the_same(spark, clean, scratch, monkeypatch):
+    from pyspark.ml import PipelineModel
+
+    from martkit.sources.snapshots import publish_model
+
+    feats = prepare_features(clean).drop("flat_id")
+    models = [fit(feats, ModelParams(n_estimators=n, max_depth=2)) for n in (2, 3)]
+    man = publish_model(models[0], scratch, "m", rows=feats)
+    assert man["rows"] == 1165 and man["sequence"] == 1
+    monkeypatch.setattr(PipelineModel, "load", staticmethod(lambda uri: models[1]))
+    with pytest.raises(GateError, match="content"):
+        publish_model(models[0], scratch, "m", rows=feats)
+    assert len([n for n in _ls(spark, f"{scratch}/m") if n.startswith("v=")]) == 1
+
+
+def test_missing_sources_fail_before_anything_is_read(spark, sf001, scratch):
+    from martkit.__main__ import main
+    from martkit.plans.flow import run_flow
+
+    with pytest.raises(GateError, match="exists"):
+        run_flow(fixtures.flats(spark, sf001), fixtures.buildings(spark, sf001), scratch, sources=[f"{scratch}/nothing"])
+    with pytest.raises(GateError, match="exists"):
+        main(["raw", "--flats", f"{scratch}/nothing", "--buildings", f"{scratch}/neither", "--root", scratch], spark)
+
+
+def test_export_of_a_named_table_in_chunks(spark, clean, scratch):
+    from martkit.__main__ import main
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS public")
+    clean.write.mode("overwrite").saveAsTable("public.mart_to_export")
+    out = main(["export", "--table", "public.mart_to_export", "--out", f"{scratch}/t.csv", "--chunk_size", "100"], spark)
+    assert out["rows"] == 1165 and same(read_csv(spark, f"{scratch}/t.csv", CLEAN_SCHEMA), clean)
+    with pytest.raises(GateError, match="exists"):
+        main(["export", "--table", "public.no_such_mart", "--out", f"{scratch}/u.csv"], spark)
+
+
+def test_key_ranges_are_balanced_disjoint_and_complete(spark):
+    from martkit.sources.tables import range_predicates
+
+    # quadratic keys, a third of the rows on one key, NULL keys
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 50 WHEN id % 100 = 1 THEN NULL ELSE id * id END AS k")
+    ranges = range_predicates(rows, "k", 100)
+    text = [p.replace('"', "`") for p in ranges]
+    hits = rows.select(*[F.coalesce(F.expr(p).cast("int"), F.lit(0)).alias(f"p{i}") for i, p in enumerate(text)])
+    sizes = hits.agg(*[F.sum(c) for c in hits.columns]).first()
+    assert hits.where(" + ".join(hits.columns) + " <> 1").isEmpty() and sum(sizes) == 3000
+    assert sorted(sizes)[-1] <= 1000 + 100 + 5 and sorted(sizes)[-2] <= 105
+    assert range_predicates(rows.limit(0), "k", 100) == ["1 = 1"]
+    days = spark.range(50).selectExpr("date_add(DATE '2024-01-01', CAST(id AS INT)) AS d")
+    assert "DATE '2024-" in range_predicates(days, "d", 10)[0]
+    with pytest.raises(ValueError):
+        range_predicates(rows, "k", 0)
+
+
+def test_features_without_key_and_from_parquet(spark, clean, scratch):
+    from martkit.operators.features import load_features_and_target
+
+    some = clean.drop("flat_id", "building_id", "ceiling_height")
+    some.coalesce(1).write.option("header", True).csv(f"{scratch}/nokey.csv")
+    feats, n = load_features_and_target(spark, f"{scratch}/nokey.csv", CLEAN_SCHEMA)
+    assert n == 1165 and "flat_id" not in feats.columns and "label" in feats.columns and "ceiling_height" not in feats.columns
+    train, val = train_validation(feats, None, 0.2, 42)
+    assert val.count() == 233 and train.count() == 932
+    clean.write.parquet(f"{scratch}/d.parquet")
+    again, n = load_features_and_target(spark, f"{scratch}/d.parquet", CLEAN_SCHEMA)
+    assert n == 1165 and same(again, prepare_features(clean))
+    clean.withColumn("odd", F.lit(1)).coalesce(1).write.option("header", True).csv(f"{scratch}/odd.csv")
+    with pytest.raises(ContractError, match="odd"):
+        load_features_and_target(spark, f"{scratch}/odd.csv", CLEAN_SCHEMA)
+
+
+def test_feature_gate_names_each_fault(spark):
+    from martkit.operators.gates import feature_gate
+
+    train = spark.createDataFrame([("a", 1.0, None, 2.0), ("b", 3.0, None, 2.0)], "t string, x double, e double, c double")
+    data = train.unionByName(spark.createDataFrame([("z", 1.0, 1.0, 2.0), ("z", 1.0, 1.0, 2.0), (None, 1.0, 1.0, 2.0)], train.schema))
+    found = {r["rule"]: r["violations"] for r in feature_gate(train, data, ["t"], ["x", "e", "c"]).collect()}
+    assert {k: v for k, v in found.items() if v} == {"empty:e": 2, "constant:c": 1, "unseen:t": 2} and len(found) == 8
 
 
 def test_records_per_file_bound(spark, clean, scratch):
