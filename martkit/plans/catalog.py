@@ -23,14 +23,15 @@ from martkit.operators.clean import (
 )
 from martkit.operators.features import as_category_strings, infer_columns, one_hot_long, prepare_features
 from martkit.operators.model import ModelParams, fit, predict, regression_metrics
+from martkit.operators.ordinal import ORDINAL, with_input_order
 from martkit.operators.raw import build_raw, orphans
 from martkit.operators.split import VALIDATION, exact_split
 from martkit.operators.stats import QuantileTarget, combine_rows, feature_statistics, literal, quantile_stats, row_values
 from martkit.plans import oracle as O
 from martkit.sources import fixtures
-from martkit.sources.snapshots import export, publish_snapshot, read_current
-from martkit.sources.tables import contract_scan, read_csv, read_table, table_exists, table_path
-from martkit.session import scratch_path
+from martkit.sources.snapshots import export, lookup, publish_snapshot, read_current
+from martkit.sources.tables import contract_scan, range_predicates, read_csv, read_table, table_exists, table_path
+from martkit.session import scratch_path, stage
 
 SPEC = HOUSING
 SEED, TEST_SIZE = 42, 0.2
@@ -54,17 +55,28 @@ def _raw(spark, d, orphan=False) -> DataFrame:
 
 
 def _raw_stored(spark, d) -> DataFrame:
-    """The raw mart written once to the shared checkpoint folder: later stages read a
-    stored raw mart (as they read the published snapshot in the flow)."""
-    return _raw(spark, d).checkpoint(eager=True)
+    """The raw mart staged once as Parquet: later stages read a stored raw mart (as they
+    read the published snapshot in the flow)."""
+    return stage(_raw(spark, d), "raw")
 
 
-def _clean(spark, d, mode="auto", materialise=None) -> DataFrame:
-    return build_clean(_raw(spark, d), SPEC, quantile_mode=mode, materialise=materialise)
+def _raw_in_order(spark, d) -> DataFrame:
+    """A raw mart with shared ids, stored in the order of the flats' own file."""
+    placed = with_input_order(fixtures.flats(spark, d, changed=fixtures.SHARED_ID))
+    raw = build_raw(placed, fixtures.buildings(spark, d), keep=[ORDINAL])
+    return stage(raw.orderBy(ORDINAL).drop(ORDINAL), "raw-in-order")
+
+
+def _exploratory(raw: DataFrame) -> DataFrame:
+    return clean_exploratory(raw, SPEC, materialise="stage")
+
+
+def _clean(spark, d) -> DataFrame:
+    return build_clean(_raw(spark, d), SPEC, materialise="stage")
 
 
 def _stages(spark, d) -> CleanStages:
-    return CleanStages(_raw(spark, d), SPEC, quantile_mode="auto", materialise="checkpoint")
+    return CleanStages(_raw(spark, d), SPEC, materialise="stage")
 
 
 def _consistent(spark, d) -> DataFrame:
@@ -72,9 +84,9 @@ def _consistent(spark, d) -> DataFrame:
 
 
 def _clean_stored(spark, d) -> DataFrame:
-    """The clean mart written once to the shared checkpoint folder, as modelling reads
-    a published snapshot rather than recomputing the mart for every pass."""
-    return _clean(spark, d, mode="auto", materialise="checkpoint").checkpoint(eager=True)
+    """The clean mart staged once, as modelling reads a published snapshot rather than
+    recomputing the mart for every pass."""
+    return stage(_clean(spark, d), "clean")
 
 
 def _features(spark, d) -> DataFrame:
@@ -149,7 +161,7 @@ def q_clean_input_gate(spark, d):
 
 
 def q_clean_gate_report(spark, d):
-    return gates.clean_gate(_clean(spark, d, mode="auto", materialise="checkpoint"), SPEC)
+    return gates.clean_gate(_clean(spark, d), SPEC)
 
 
 def q_duplicate_keys(spark, d):
@@ -181,10 +193,8 @@ def q_clip_iqr(spark, d):
 
 
 def q_clean_mart(spark, d):
-    # production path: exact built-in quantiles for low-cardinality columns,
-    # distributed exact selection for the others; the two relations read twice
-    # (F1 survivors, F2-F4 survivors) are checkpointed to the shared folder once
-    return _clean(spark, d, mode="auto", materialise="checkpoint")
+    # the two relations read twice (F1 survivors, F2-F4 survivors) are staged once
+    return _clean(spark, d)
 
 
 def q_events_clip_value(spark, d):
@@ -198,7 +208,31 @@ def q_lineitem_clip_price(spark, d):
 
 
 def q_clean_exploratory(spark, d):
-    return clean_exploratory(_raw_stored(spark, d), SPEC, order_by="price", materialise="checkpoint")
+    """Of the flats that share an id, the first of the stored mart stays."""
+    return _exploratory(_raw_in_order(spark, d))
+
+
+def _without_totals(spark, d) -> DataFrame:
+    """A stored raw mart without any floor count, and with floors below zero."""
+    raw = build_raw(
+        fixtures.flats(spark, d, changed=fixtures.BELOW_ZERO_FLOOR), fixtures.buildings(spark, d, changed=fixtures.NO_TOTALS))
+    return stage(raw, "raw-without-totals")
+
+
+def q_clean_mart_no_totals(spark, d):
+    """F4, published form: each bound on its own."""
+    return build_clean(_without_totals(spark, d), SPEC, materialise="stage")
+
+
+def q_clean_exploratory_no_totals(spark, d):
+    """F4, exploratory form: bounds only where both values are present."""
+    return _exploratory(_without_totals(spark, d))
+
+
+def q_dedup_input_order(spark, d):
+    """W1 in the order of the table's own file: each user's first event."""
+    events = read_table(spark, d, "events")
+    return dedup_keep_first(events.select("user_id", "event_id", "event_type", "value"), "user_id")
 
 
 def q_dedup_keep_first(spark, d):
@@ -231,8 +265,8 @@ def q_profile_info(spark, d):
 
 
 def q_profile_shapes(spark, d):
-    raw = _raw_stored(spark, d)
-    return profile.profile_shapes(raw, clean_exploratory(raw, SPEC, order_by="price", materialise="checkpoint"))
+    raw = _raw_in_order(spark, d)
+    return profile.profile_shapes(raw, _exploratory(raw))
 
 
 def _li_targets():
@@ -245,11 +279,11 @@ def _li_targets():
 
 def q_quantiles_distributed(spark, d):
     li = read_table(spark, d, "lineitem")
-    return quantile_stats(li, _li_targets(), "distributed")
+    return quantile_stats(li, _li_targets())
 
 
 def q_target_gate(spark, d):
-    return gates.target_gate(_clean(spark, d, mode="auto", materialise="checkpoint"), SPEC.target)
+    return gates.target_gate(_clean(spark, d), SPEC.target)
 
 
 def q_features(spark, d):
@@ -260,6 +294,68 @@ def q_train_val_split(spark, d):
     return exact_split(_clean_stored(spark, d).select(SPEC.key), SPEC.key, TEST_SIZE, SEED)
 
 
+# Columns of lineitem that repeat and hold no key.
+LI_NO_KEY = ("l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
+def q_split_no_key(spark, d):
+    """O4 on a table without a key whose rows repeat: whole rows are the identity."""
+    return exact_split(read_table(spark, d, "lineitem").select(*LI_NO_KEY), None, TEST_SIZE, SEED)
+
+
+def q_split_repeated_ids(spark, d):
+    """O4 by an id that repeats: rows of the boundary id are told apart by their values."""
+    return exact_split(read_table(spark, d, "lineitem").select("l_suppkey", "l_returnflag"), "l_suppkey", TEST_SIZE, SEED)
+
+
+def q_features_missing_category(spark, d):
+    """P10: categories that are missing, as the raw mart has them before imputation."""
+    return prepare_features(stage(base_filter(_raw(spark, d)), "base"), SPEC.target, key=SPEC.key)
+
+
+def _gate_parts(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Feature columns of which train has an empty and a constant one, and lacks categories."""
+    rows = read_table(spark, d, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_quantity", F.lit(None).cast("double").alias("nothing"), F.lit(1.0).alias("same"))
+    return rows.where("l_returnflag <> 'A'"), rows
+
+
+def q_feature_gate_failing(spark, d):
+    """M3 on columns that break each of its rules."""
+    train, rows = _gate_parts(spark, d)
+    return gates.feature_gate(train, rows, ["l_returnflag", "l_linestatus"], ["l_quantity", "nothing", "same"])
+
+
+def q_feature_gate(spark, d):
+    """M3 on the features of the split mart."""
+    feats = stage(_split_feats(spark, d), "features")
+    cats, nums = infer_columns(feats, exclude=("label", SPEC.key, VALIDATION))
+    return gates.feature_gate(feats.where(~F.col(VALIDATION)), feats, cats, nums)
+
+
+def q_lookup_snapshot(spark, d):
+    """The row of the largest key, from the one file whose range holds it."""
+    root = scratch_path(spark, "marts")
+    manifest = publish_snapshot(_raw(spark, d), root, "raw", gates=[lambda x: gates.raw_gate(x, SPEC.key)], cluster_by=SPEC.key)
+    return lookup(spark, root, "raw", max(r["high"] for r in manifest["key_ranges"]))
+
+
+def q_read_in_ranges(spark, d):
+    """S3: rows of each balanced key range of a table, whose keys are skewed."""
+    rows = read_table(spark, d, "lineitem").selectExpr("l_suppkey * l_suppkey AS k")
+    ranges = range_predicates(rows, "k", 1000)
+    which = F.coalesce(*[F.when(F.expr(p.replace('"', "`")), i) for i, p in enumerate(ranges)])
+    hits = sum((F.coalesce(F.expr(p.replace('"', "`")).cast("int"), F.lit(0)) for p in ranges), F.lit(0))
+    sizes = rows.select(which.alias("i"), hits.alias("hits")).groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("hits").alias("lo"), F.max("hits").alias("hi"))
+    return sizes.agg(F.sum("n").alias("rows"), F.min("lo").alias("least_ranges"), F.max("hi").alias("most_ranges"))
+
+
+def q_source_gate_failing(spark, d):
+    """D1 on flats without an id and flats whose id names no building."""
+    flats = fixtures.flats(spark, d, changed={"building_id": fixtures.DANGLING_BUILDING_ID_EXPR})
+    return gates.source_gate(flats, fixtures.buildings(spark, d))
+
+
 def q_one_hot(spark, d):
     feats = _split_feats(spark, d)
     cats, _ = infer_columns(feats, exclude=("label", SPEC.key, VALIDATION))
@@ -288,13 +384,13 @@ def q_features_from_csv(spark, d):
 
 def q_profile_nulls_clean_top15(spark, d):
     """Top-15 NULL counts of the exploratory-cleaned mart (the limit is the report)."""
-    clean = clean_exploratory(_raw_stored(spark, d), SPEC, order_by="price", materialise="checkpoint")
+    clean = _exploratory(_raw_in_order(spark, d))
     return profile.profile_nulls(clean, top=15)
 
 
 def q_profile_duplicates_clean(spark, d):
     """Duplicates left after the exploratory cleaner (whole rows and keys)."""
-    clean = clean_exploratory(_raw_stored(spark, d), SPEC, order_by="price", materialise="checkpoint")
+    clean = _exploratory(_raw_in_order(spark, d))
     return profile.profile_duplicates(clean, SPEC.key)
 
 
@@ -306,7 +402,7 @@ def q_csv_roundtrip(spark, d):
 
 def q_publish_snapshot(spark, d):
     root = scratch_path(spark, "marts")
-    publish_snapshot(_raw(spark, d), root, "raw", gates=[lambda x: gates.raw_gate(x, SPEC.key)])
+    publish_snapshot(_raw(spark, d), root, "raw", gates=[lambda x: gates.raw_gate(x, SPEC.key)], cluster_by=SPEC.key)
     return read_current(spark, root, "raw")
 
 
@@ -324,7 +420,7 @@ def q_end_to_end_report(spark, d, params: ModelParams = MODEL):
 
     res = run_flow(
         fixtures.flats(spark, d), fixtures.buildings(spark, d), scratch_path(spark, "flow"),
-        params=params, quantile_mode="auto",
+        params=params, sources=[table_path(d, t) for t in ("orders", "customer")],
     )
     return res.report(spark)
 
@@ -362,6 +458,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_summary": q_profile_summary,
     "profile_info": q_profile_info,
     "profile_shapes": q_profile_shapes,
+    "clean_mart_no_totals": q_clean_mart_no_totals,
+    "clean_exploratory_no_totals": q_clean_exploratory_no_totals,
+    "dedup_input_order": q_dedup_input_order,
+    "split_no_key": q_split_no_key,
+    "split_repeated_ids": q_split_repeated_ids,
+    "features_missing_category": q_features_missing_category,
+    "feature_gate": q_feature_gate,
+    "feature_gate_failing": q_feature_gate_failing,
+    "lookup_snapshot": q_lookup_snapshot,
+    "read_in_ranges": q_read_in_ranges,
+    "source_gate_failing": q_source_gate_failing,
     "quantiles_distributed": q_quantiles_distributed,
     "target_gate": q_target_gate,
     "features": q_features,
@@ -383,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _H = O.housing_ctes()
 _RAW = O.raw_ctes()
 _REPEATED = [("flats", fixtures.repeated_flats_sql())] + _RAW[1:]
+_NO_TOTALS = O.raw_ctes(changed=fixtures.BELOW_ZERO_FLOOR, changed_buildings=fixtures.NO_TOTALS, input_order=True)
 
 
 def _w(ctes, final):
@@ -433,11 +541,12 @@ def _clip_sql(rel_sql, cols, clip_cols):
     return f"WITH src AS ({rel_sql}), b AS ({bounds}) SELECT {sel} FROM src AS d"
 
 
-def _exploratory_ctes():
+def _exploratory_ctes(raw=None):
+    raw = raw or O.raw_ctes(changed=fixtures.SHARED_ID, input_order=True)
     cols = list(SPEC.columns)
     dedup = (
         "SELECT * FROM raw WHERE flat_id IS NOT NULL "
-        "QUALIFY row_number() OVER (PARTITION BY flat_id ORDER BY flat_id) = 1"
+        "QUALIFY row_number() OVER (PARTITION BY flat_id ORDER BY ord) = 1"
     )
     b = ", ".join(f"COALESCE({c}, FALSE) AS {c}" if c in SPEC.booleans else c for c in cols)
     e2 = f"SELECT {b} FROM e1 WHERE price IS NOT NULL AND price > 0 AND rooms IS NOT NULL AND rooms > 0"
@@ -459,7 +568,7 @@ def _exploratory_ctes():
     )
     e5 = f"SELECT {cap} FROM e4 AS d"
     f5 = " AND ".join(f"{a} <= {b}" for a, b in SPEC.contained)
-    return _RAW + [("e1", dedup), ("e2", e2), ("es", s), ("e3", e3), ("e4", e4), ("eb", qb),
+    return raw + [("e1", dedup), ("e2", e2), ("es", s), ("e3", e3), ("e4", e4), ("eb", qb),
                    ("e5", e5), ("explo", f"SELECT * FROM e5 WHERE {f5}")]
 
 
@@ -597,6 +706,28 @@ def _metrics_sql():
     )
 
 
+def _feature_gate_sql(rel_ctes, train: str, rows: str, cats, nums):
+    rules = [(f"empty:{c}", f"SELECT CASE WHEN count({c}) = 0 THEN count(*) ELSE 0 END FROM {train}") for c in [*cats, *nums]]
+    rules += [(f"constant:{c}", f"SELECT CASE WHEN min({c}) = max({c}) THEN 1 ELSE 0 END FROM {train}") for c in nums]
+    rules += [(f"unseen:{c}", f"SELECT count(*) FROM {rows} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {train} WHERE {c} IS NOT NULL)") for c in cats]
+    return _gate_sql("features", rel_ctes, rules)
+
+
+def _split_rows_sql(columns, identity: str) -> str:
+    """Equal rows are interchangeable, so any order among them gives the same relation."""
+    names = ", ".join(columns)
+    return (
+        f"WITH r AS (SELECT {names}, {identity} AS id FROM lineitem), h AS (SELECT *, md5('{SEED}:' || CAST(id AS VARCHAR)) AS h, "
+        f"{_row_identity_sql(columns)} AS w FROM r) SELECT {names}, row_number() OVER (ORDER BY h, id, md5('{SEED}:' || w), w) <= "
+        f"(SELECT CEIL(count(*) * CAST({TEST_SIZE} AS DOUBLE)) FROM h) AS is_validation FROM h"
+    )
+
+
+def _row_identity_sql(columns) -> str:
+    parts = [f"sha256(COALESCE('=' || CAST({c} AS VARCHAR), ''))" for c in sorted(columns)]
+    return f"sha256({' || '.join(parts)})"
+
+
 def _e2e_sql():
     ctes = _H + [("sp", _split_cte())]
     return _w(
@@ -673,6 +804,32 @@ def oracle_sql() -> dict[str, str]:
             ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], ["l_extendedprice"],
         ),
         "clean_exploratory": _w(_exploratory_ctes(), "SELECT * FROM explo"),
+        "clean_exploratory_no_totals": _w(_exploratory_ctes(_NO_TOTALS), "SELECT * FROM explo"),
+        "clean_mart_no_totals": _w(_NO_TOTALS + O.clean_ctes(), "SELECT * FROM clean"),
+        "dedup_input_order": (
+            "WITH e AS (SELECT user_id, event_id, event_type, value, row_number() OVER () AS ord FROM events) "
+            "SELECT user_id, event_id, event_type, value FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ord) = 1"
+        ),
+        "split_no_key": _split_rows_sql(LI_NO_KEY, _row_identity_sql(LI_NO_KEY)),
+        "split_repeated_ids": _split_rows_sql(("l_suppkey", "l_returnflag"), "l_suppkey"),
+        "features_missing_category": _w(_H, _feature_select("base")),
+        "feature_gate": _feature_gate_sql(
+            _H + [("f0", _feature_select()), ("sp", _split_cte()),
+                  ("data", "SELECT f0.*, sp.is_validation FROM f0 JOIN sp USING (flat_id)"),
+                  ("train", "SELECT * FROM data WHERE NOT is_validation")],
+            "train", "data", _ONEHOT_CATS, [c for c in EXPORT_COLUMNS if c not in (*_ONEHOT_CATS, "flat_id", "building_id", "price")],
+        ),
+        "feature_gate_failing": _feature_gate_sql(
+            [("data", "SELECT l_returnflag, l_linestatus, l_quantity, CAST(NULL AS DOUBLE) AS nothing, 1.0 AS same FROM lineitem"),
+             ("train", "SELECT * FROM data WHERE l_returnflag <> 'A'")],
+            "train", "data", ("l_returnflag", "l_linestatus"), ("l_quantity", "nothing", "same"),
+        ),
+        "lookup_snapshot": _w(_RAW, "SELECT * FROM raw WHERE flat_id = (SELECT max(flat_id) FROM raw)"),
+        "read_in_ranges": "SELECT count(*) AS rows, CAST(1 AS INTEGER) AS least_ranges, CAST(1 AS INTEGER) AS most_ranges FROM lineitem",
+        "source_gate_failing": _gate_sql(
+            "source", O.raw_ctes(changed={"building_id": fixtures.DANGLING_BUILDING_ID_EXPR})[:2],
+            [("no_orphans", "SELECT count(*) FROM flats f LEFT JOIN buildings b ON b.id = f.building_id WHERE b.id IS NULL")],
+        ),
         "dedup_keep_first": (
             f"SELECT {', '.join(LI_KEY + LI_ORDER)} FROM lineitem QUALIFY row_number() OVER ("
             f"PARTITION BY {', '.join(LI_KEY)} ORDER BY "

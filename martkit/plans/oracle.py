@@ -22,7 +22,12 @@ def _nn(expr: str) -> str:
     return f"CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END"
 
 
-def raw_ctes(*, orphans: bool = False) -> list[tuple[str, str]]:
+def raw_ctes(
+    *, orphans: bool = False, changed: dict[str, str] | None = None, changed_buildings: dict[str, str] | None = None,
+    input_order: bool = False,
+) -> list[tuple[str, str]]:
+    """CTEs ``flats``, ``buildings``, ``raw``; ``input_order`` numbers the flats in table order
+    (column ``ord``, passed on to ``raw``)."""
     cols = []
     for out, side, src, default in RAW_PROJECTION:
         e = f"{side}.{src}"
@@ -31,13 +36,17 @@ def raw_ctes(*, orphans: bool = False) -> list[tuple[str, str]]:
         if default:
             e = f"COALESCE({e}, FALSE)"
         cols.append(f"{e} AS {out}")
+    flats = flats_sql("orders", orphans=orphans, changed=changed)
+    if input_order:
+        flats = f"SELECT *, row_number() OVER () AS ord FROM ({flats}) t"
+        cols.append("f.ord")
     raw = (
         "SELECT " + ", ".join(cols)
         + " FROM flats AS f JOIN buildings AS b ON b.id = f.building_id"
     )
     return [
-        ("flats", flats_sql("orders", orphans=orphans)),
-        ("buildings", buildings_sql("customer")),
+        ("flats", flats),
+        ("buildings", buildings_sql("customer", changed_buildings)),
         ("raw", raw),
     ]
 
