@@ -1,16 +1,19 @@
 """Line de-duplication with levelled sorted runs of line hashes.
 
-A run is a table bucketed and sorted by line hash: how many documents hold the line, the
-largest document id that does, and whether the line was new when the run was added.  A new
-batch is reduced to one row per line, merge anti-joined with every run (runs are read by
-bucket, only the batch is shuffled), and added as a run of level 0.  When a level has
-``fan_out`` runs they are merged into one run of the next level, so a line lookup reads
-at most fan_out - 1 runs per level and every row is rewritten once per level.
+A run is a table bucketed and sorted by line hash: how many documents hold the line, and the
+largest document id that does.  A new batch is reduced to one row per line and merge
+anti-joined with every run (runs are read by bucket, only the batch is shuffled).  Lines that
+no run holds are appended as a run of level 0, so a line is in one run only; counts of lines
+that are held already go to the run's update table.  When a level has ``fan_out`` runs they
+are merged into one run of the next level, so a line lookup reads at most fan_out - 1 runs
+per level and every row is rewritten once per level.  Common lines are read from the bucketed
+runs, each joined by merge with the summed updates.
 
 Defined cases: a null or empty text is one empty line; lines whose key is shorter than
 ``min_chars`` code points are never dropped; a line repeated in one document counts once
-for it; rows that repeat a document id are separate holders; a null id is never a holder;
-empty tables give empty results; only id and text are read, so extra columns cannot clash.
+for it; documents are distinct ids, so rows that repeat an id are one document; a null id is
+neither counted nor a holder, but its common lines go; empty tables give empty results; only
+id and text are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ MIN_DOCS = 5
 FAN_OUT = 4
 BATCHES = 5
 _SPACE = SPACE_CHARS.encode()
-RUN_SCHEMA = "key binary, n_docs bigint, holder bigint, fresh boolean"
+RUN_SCHEMA = "key binary, n_docs bigint, holder bigint"
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -63,66 +66,75 @@ def line_keys(spark: SparkSession, docs: DataFrame, min_chars: int = MIN_CHARS)
 
 
 class LineRuns:
-    """Runs of line hashes under ``path``; ``levels[k]`` lists the tables of level k."""
+    """Runs of line hashes under ``path``; ``levels[k]`` lists the runs of level k.
+
+    A run is a pair of tables: lines, which no other run holds, and updates of lines of any run.
+    """
 
     def __init__(self, spark: SparkSession, path: str, fan_out: int = FAN_OUT, buckets: int | None = None):
         self.spark, self.path, self.fan_out = spark, path, fan_out
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[str]] = [[]]
+        self.levels: list[list[tuple[str, str]]] = [[]]
 
-    def tables(self) -> list[str]:
-        return [t for level in self.levels for t in level]
+    def runs(self) -> list[tuple[str, str]]:
+        return [r for level in self.levels for r in level]
 
-    def _write(self, rows: DataFrame, level: int) -> None:
+    def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         (rows.write.format("parquet").option("path", f"{self.path}/{name}")
             .bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name))
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(name)
+        return name
 
-    def _remove(self, names: list[str]) -> None:
-        for n in names:
+    def _remove(self, runs: list[tuple[str, str]]) -> None:
+        for n in (t for run in runs for t in run):
             self.spark.sql(f"DROP TABLE {n}")
             drop_folder(self.spark, f"{self.path}/{n}")
 
+    def _unheld(self, batch: DataFrame, tables: list[str]) -> DataFrame:
+        """Rows of the batch whose line none of the tables holds: a merge anti-join with each."""
+        return reduce(
+            lambda left, name: left.join(self.spark.table(name).select("key").hint("merge"), "key", "left_anti"), tables, batch)
+
     def add(self, pairs: DataFrame) -> None:
-        """Add a batch of (doc_id, key) as a run, then compact full levels."""
+        """Add a batch of distinct (doc_id, key) as a run, then compact full levels."""
         batch = store(self.spark, pairs.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder")), "line-batch")
-        fresh = reduce(
-            lambda left, name: left.join(self.spark.table(name).select("key").hint("merge"), "key", "left_anti"),
-            self.tables(), batch)
-        marks = fresh.select(F.col("key").alias("fresh_key"))
-        rows = batch.join(marks.hint("merge"), F.col("key") == F.col("fresh_key"), "left").select(
-            "key", "n_docs", "holder", F.col("fresh_key").isNotNull().alias("fresh"))
-        if not self.tables():
-            rows = batch.withColumn("fresh", F.lit(True))
-        self._write(rows, 0)
+            F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("holder")), "line-batch")
+        lines = self._write(self._unheld(batch, [lines for lines, _ in self.runs()]))
+        updates = self._write(self._unheld(batch, [lines]))
+        self.levels[0].append((lines, updates))
         level = 0
         while len(self.levels[level]) >= self.fan_out:
             full = self.levels[level]
-            self._write(self._merged(full), level + 1)
+            if len(self.levels) == level + 1:
+                self.levels.append([])
+            dealt = self._plain([lines for lines, _ in full]).repartition(self.buckets, "key")
+            self.levels[level + 1].append((self._write(dealt), self._write(self._summed([u for _, u in full]))))
             self.levels[level] = []
             self._remove(full)
             level += 1
 
-    def _merged(self, names: list[str]) -> DataFrame:
+    def _plain(self, names: list[str]) -> DataFrame:
         # plain scans: Spark 4.1 takes a union of bucketed scans for partitioned by the key
         # and sums it without an exchange, which leaves keys unmerged
-        paths = [f"{self.path}/{n}" for n in names]
-        rows = self.spark.read.schema(RUN_SCHEMA).parquet(*paths)
-        return rows.groupBy("key").agg(
-            F.sum("n_docs").alias("n_docs"), F.max("holder").alias("holder"), F.max("fresh").alias("fresh"))
+        return self.spark.read.schema(RUN_SCHEMA).parquet(*[f"{self.path}/{n}" for n in names])
+
+    def _summed(self, names: list[str]) -> DataFrame:
+        return self._plain(names).groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("holder").alias("holder"))
 
     def totals(self) -> DataFrame:
-        """(key, n_docs, holder) over all runs."""
-        if not self.tables():
-            return self.spark.createDataFrame([], RUN_SCHEMA).drop("fresh")
-        return self._merged(self.tables()).drop("fresh")
+        """(key, n_docs, holder) over all runs: a row per row of a run's lines."""
+        if not self.runs():
+            return self.spark.createDataFrame([], RUN_SCHEMA)
+        more = self._summed([u for _, u in self.runs()]).select(
+            "key", F.col("n_docs").alias("more"), F.col("holder").alias("later"))
+        each = [
+            self.spark.table(lines).join(more.hint("merge"), "key", "left").select(
+                "key", (F.col("n_docs") + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("holder", "later").alias("holder"))
+            for lines, _ in self.runs()]
+        return reduce(DataFrame.unionByName, each)
 
     def close(self) -> None:
-        self._remove(self.tables())
+        self._remove(self.runs())
         self.levels = [[]]
 
 
@@ -134,7 +146,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_chars: int = MIN_CHARS
     The table is added to the runs as ``batches`` slices of ids.
     """
     ship(spark)
-    pairs = store(spark, line_keys(spark, docs, min_chars), "line-keys")
+    pairs = store(spark, line_keys(spark, docs, min_chars).distinct(), "line-keys")
     runs = LineRuns(spark, fresh_folder(spark, "line-runs"))
     slice_of = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     for k in range(batches):
