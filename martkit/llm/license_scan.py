@@ -3,10 +3,12 @@
 Words that are unique to both the template and a stretch of text are anchors; the longest
 increasing subsequence of the anchors is kept, and the gaps between neighbours are aligned
 again in the same way (a gap without anchors is matched from its ends).  Coverage is the
-share of the template's words that are aligned; a template is found where coverage reaches
-``MIN_COVERAGE``.
+share of the template's words that are aligned.  A template is found in a stretch of text as
+long as the template plus a quarter of it and two words on either side, if coverage there
+reaches ``min_coverage`` and the aligned words make up ``MIN_COVERAGE`` of template and
+aligned stretch together.  So text inserted into a notice beyond that room hides the notice.
 
-Where to align is found exactly: a stretch that covers the template must hold at least one
+Which stretches to align is exact: one that covers the template must hold at least one
 of its rarest words whose number exceeds what may be missing, so only stretches around the
 occurrences of those words are aligned.  Of findings that overlap, the one that explains
 more of the stretch stays.
