@@ -120,6 +120,38 @@ def test_line_runs_compact_and_count(spark):
     assert out[6].kept_text == texts[6] and out[0].kept_text == "own 0"
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    rows = [(None, LONG)] * 3 + [(7, LONG)] * 6 + [(i, LONG + f"\nown {i}") for i in range(3)] + [(8, None), (8, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    four = line_runs.dedup_lines(spark, frame, min_docs=4).collect()  # ids 0, 1, 2 and 7
+    assert sorted((str(r.doc_id), r.n_dropped) for r in four) == (
+        [("0", 1), ("1", 1), ("2", 1)] + [("7", 0)] * 6 + [("8", 0)] * 2 + [("None", 1)] * 3)
+    assert sum(r.n_dropped for r in line_runs.dedup_lines(spark, frame, min_docs=5).collect()) == 0
+
+
+@pytest.mark.parametrize("keep_held", [False, True])
+def test_the_anti_join_decides_what_a_run_holds(spark, monkeypatch, keep_held):
+    if keep_held:  # without the anti-join lines lie in several runs and are counted again
+        monkeypatch.setattr(line_runs.LineRuns, "_unheld", lambda self, batch, tables: batch)
+    texts = [f"{LONG}\nown {i}" for i in range(40)]
+    out = line_runs.dedup_lines(spark, docs(spark, *texts), min_docs=41).collect()
+    assert sum(r.n_dropped for r in out) == (39 if keep_held else 0)
+
+
+def test_runs_are_compacted_and_add_up(spark, scratch):
+    runs = line_runs.LineRuns(spark, scratch, fan_out=3, buckets=4)
+    want = {}
+    for k in range(8):
+        pairs = [(100 * k + i, bytes([j])) for i in range(5) for j in range(i + k)]
+        for i, key in pairs:
+            want.setdefault(key, set()).add(i)
+        runs.add(spark.createDataFrame(pairs, "doc_id bigint, key binary"))
+    got = {bytes(r.key): (r.n_docs, r.holder) for r in runs.totals().collect()}
+    assert got == {k: (len(v), max(v)) for k, v in want.items()} and runs.totals().count() == len(want)
+    assert [len(x) for x in runs.levels] == [2, 2]
+    runs.close()
+
+
 def test_token_store_round_trip_and_counts(spark, tokenizer):
     from tokenizers import Tokenizer
 
