@@ -39,7 +39,9 @@ def test_filter_reaches_parquet(spark, sf001):
 def test_clean_mart_final_stage_is_one_codegen_span(spark, sf001):
     df = E.entry(spark)
     ops = operators(df)
-    assert set(ops) <= {"Project", "Filter", "Scan", "AdaptiveSparkPlan"}, ops
+    # a columnar scan of the staged mart: no join, no subquery, no row-format checkpoint
+    assert set(ops) <= {"Project", "Filter", "ColumnarToRow", "Scan", "AdaptiveSparkPlan"}, ops
+    assert len(scans(df)) == 1 and "ExistingRDD" not in plan_text(df)
 
 
 def test_dedup_combines_before_the_shuffle(spark, sf001):
