@@ -30,7 +30,7 @@ from martkit.operators.stats import QuantileTarget, combine_rows, feature_statis
 from martkit.plans import oracle as O
 from martkit.sources import fixtures
 from martkit.sources.snapshots import export, lookup, publish_snapshot, read_current
-from martkit.sources.tables import contract_scan, range_predicates, read_csv, read_table, table_exists, table_path
+from martkit.sources.tables import contract_scan, place_in_ranges, range_predicates, read_csv, read_table, table_exists, table_path
 from martkit.session import scratch_path, stage
 
 SPEC = HOUSING
@@ -344,9 +344,7 @@ def q_read_in_ranges(spark, d):
     """S3: rows of each balanced key range of a table, whose keys are skewed."""
     rows = read_table(spark, d, "lineitem").selectExpr("l_suppkey * l_suppkey AS k")
     ranges = range_predicates(rows, "k", 1000)
-    which = F.coalesce(*[F.when(F.expr(p.replace('"', "`")), i) for i, p in enumerate(ranges)])
-    hits = sum((F.coalesce(F.expr(p.replace('"', "`")).cast("int"), F.lit(0)) for p in ranges), F.lit(0))
-    sizes = rows.select(which.alias("i"), hits.alias("hits")).groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("hits").alias("lo"), F.max("hits").alias("hi"))
+    sizes = place_in_ranges(rows, "k", ranges).groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("hits").alias("lo"), F.max("hits").alias("hi"))
     return sizes.agg(F.sum("n").alias("rows"), F.min("lo").alias("least_ranges"), F.max("hi").alias("most_ranges"))
 
 

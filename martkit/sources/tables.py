@@ -6,7 +6,7 @@ import re
 from datetime import date, datetime
 
 from pyspark.errors import ParseException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,7 +154,17 @@ def _sql_literal(value) -> str:
     return repr(value) if isinstance(value, float) else str(value)
 
 
-def range_predicates(df: DataFrame, key: str, chunk_size: int, accuracy: int = 10_000) -> list[str]:
+class RangePredicate(str):
+    """An SQL predicate that holds the keys above ``low`` up to ``high`` (None: no bound on that
+    side), NULL keys (``nulls``), or both."""
+
+    def __new__(cls, text: str, low=None, high=None, *, values: bool = True, nulls: bool = False):
+        self = super().__new__(cls, text)
+        self.low, self.high, self.values, self.nulls = low, high, values, nulls
+        return self
+
+
+def range_predicates(df: DataFrame, key: str, chunk_size: int, accuracy: int = 10_000) -> list[RangePredicate]:
     """S3: SQL predicates on ``key`` that cut ``df`` into ranges of about ``chunk_size`` rows.
 
     The bounds are quantiles of the key, not steps of equal width, so a skewed key gives equal
@@ -169,15 +179,52 @@ def range_predicates(df: DataFrame, key: str, chunk_size: int, accuracy: int = 1
     n = df.count()
     chunks = max(1, -(-n // chunk_size))
     if chunks == 1:
-        return ["1 = 1"]
+        return [RangePredicate("1 = 1", nulls=True)]
     fractions = [i / chunks for i in range(1, chunks)]
     bounds = df.agg(F.percentile_approx(key, fractions, max(accuracy, 10 * chunks)).alias("b")).first()["b"] or []
     bounds = list(dict.fromkeys(bounds))  # a key of several chunks bounds one
     if not bounds:
-        return ["1 = 1"]
-    low = [f'"{name}" <= {_sql_literal(bounds[0])}']
-    between = [f'"{name}" > {_sql_literal(a)} AND "{name}" <= {_sql_literal(b)}' for a, b in zip(bounds, bounds[1:])]
-    return low + between + [f'"{name}" > {_sql_literal(bounds[-1])}', f'"{name}" IS NULL']
+        return [RangePredicate("1 = 1", nulls=True)]
+    low = [RangePredicate(f'"{name}" <= {_sql_literal(bounds[0])}', high=bounds[0])]
+    between = [
+        RangePredicate(f'"{name}" > {_sql_literal(a)} AND "{name}" <= {_sql_literal(b)}', a, b)
+        for a, b in zip(bounds, bounds[1:])]
+    return low + between + [
+        RangePredicate(f'"{name}" > {_sql_literal(bounds[-1])}', low=bounds[-1]),
+        RangePredicate(f'"{name}" IS NULL', values=False, nulls=True)]
+
+
+def _count_below(bounds: list, key: Column, key_type: str) -> Column:
+    """How many of ``bounds`` are below ``key``, by binary search.
+
+    The bounds are one literal, so the expression is as small for many ranges as for few.
+    """
+    if not bounds:
+        return F.lit(0)
+    found = F.split(F.lit("|".join(map(str, sorted(bounds)))), r"\|").cast(f"array<{key_type}>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when(F.get(found, n + s - 1) < key, n + s).otherwise(n))
+
+
+def place_in_ranges(df: DataFrame, key: str, ranges: list[RangePredicate], *, number: str = "i", hits: str = "hits") -> DataFrame:
+    """``df`` with the number of the range of ``ranges`` (ascending) that holds a row's key, and
+    how many of them do.
+
+    A range holds a key if its low bound is below it and its high bound is not, so the number of
+    ranges that do is the difference of two counts, whether or not they overlap or leave gaps.
+    """
+    k, kind = F.col(key), df.schema[key].dataType.simpleString()
+    values = [i for i, r in enumerate(ranges) if r.values]
+    nulls = [i for i, r in enumerate(ranges) if r.nulls]
+    lows = [ranges[i].low for i in values if ranges[i].low is not None]
+    highs = [ranges[i].high for i in values if ranges[i].high is not None]
+    out = df.withColumn(number, _count_below(lows, k, kind))
+    # ranges without gaps share their bounds, and one search does
+    out = out.withColumn(hits, F.col(number) if lows == highs else _count_below(highs, k, kind))
+    begun = F.col(number) + (len(values) - len(lows))
+    which = F.when(k.isNull(), F.lit(nulls[0] if nulls else None)).otherwise(begun - 1 + (values[0] if values else 0))
+    held = F.when(k.isNull(), F.lit(len(nulls))).otherwise(begun - F.col(hits))
+    return out.withColumns({number: which, hits: held})
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, columns, *, key: str | None = None, properties=None, **kw) -> DataFrame:

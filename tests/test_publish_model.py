@@ -416,6 +416,35 @@ def test_key_ranges_are_balanced_disjoint_and_complete(spark):
         range_predicates(rows, "k", 0)
 
 
+def test_many_ranges_are_placed_by_their_bounds(spark):
+    from martkit.sources.tables import RangePredicate, place_in_ranges, range_predicates
+
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 50 WHEN id % 100 = 1 THEN NULL ELSE id * id END AS k")
+
+    def texts(ranges):  # every predicate's text on every row
+        text = [p.replace('"', "`") for p in ranges]
+        held = [F.coalesce(F.expr(p), F.lit(False)) for p in text]
+        return F.filter(F.array(*[F.when(p, i) for i, p in enumerate(held)]), F.isnotnull)
+
+    def agree(df, key, ranges):
+        both = place_in_ranges(df, key, ranges).withColumn("t", texts(ranges))
+        return both.where("NOT (size(t) <=> hits AND (get(t, 0) <=> i OR hits <> 1))").isEmpty()
+
+    assert agree(rows, "k", range_predicates(rows, "k", 100))
+    assert agree(rows, "k", range_predicates(rows, "k", 5000))
+    gaps = [RangePredicate('"k" <= 9', high=9), RangePredicate('"k" > 4 AND "k" <= 100', 4, 100), RangePredicate('"k" > 400', low=400)]
+    assert agree(rows, "k", gaps)
+    days = spark.range(50).selectExpr("date_add(DATE '2024-01-01', CAST(id AS INT)) AS d")
+    assert agree(days, "d", range_predicates(days, "d", 10))
+    parts = spark.range(50).selectExpr("id / 7D AS x")
+    assert agree(parts, "x", range_predicates(parts, "x", 10))
+    # thousands of ranges: a predicate each in one expression overflows the stack
+    many = spark.range(6000).selectExpr("id AS k")
+    ranges = range_predicates(many, "k", 2)
+    found = place_in_ranges(many, "k", ranges).agg(F.min("hits"), F.max("hits"), F.countDistinct("i")).first()
+    assert tuple(found)[:2] == (1, 1) and len(ranges) - 2 <= found[2] <= len(ranges) - 1
+
+
 def test_features_without_key_and_from_parquet(spark, clean, scratch):
     from martkit.operators.features import load_features_and_target
 
