@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_text, ship, store, table
+from .common import read_text, release, released, ship, slices, store, table
 from .wordblocks import Codes, block_ids, entries_of, gather, pack, rejoin, store_blocks, unpack
 
 #: text of a block; larger ones have fewer dictionary entries to shuffle and need more memory
@@ -185,6 +185,7 @@ class _Block:
     def row(self, number: int) -> pa.RecordBatch:
         sizes = [len(r) for r in self.rows]
         stream = np.concatenate(self.rows)
+        self.rows = []
         # frequent words get the small codes, which compress best
         order = np.argsort(-np.bincount(stream, minlength=len(self.codes)), kind="stable")
         code = np.empty(len(order), np.uint32)
@@ -206,17 +207,20 @@ def _blocks_of(pattern: str):
             for i in range(b.num_rows):
                 text = b.column(1)[i].as_py() or ""
                 if block.ids and block.bytes + len(text) > BLOCK_BYTES:
-                    yield block.row(next(numbers))
-                    block = _Block()
+                    row, block = block.row(next(numbers)), _Block()
+                    yield row
                 block.add(b.column(0)[i].as_py(), split.of(text), len(text))
         if block.ids:
-            yield block.row(next(numbers))
+            row, block = block.row(next(numbers)), None
+            yield row
 
     return blocks
 
 
 #: entries that a task packs together
 PACKED = 200_000
+#: words of documents whose ids go to Spark together
+BATCH_WORDS = 1 << 18
 _GIVEN_SCHEMA = "block bigint, codes binary, sizes binary, ids binary"
 
 
@@ -262,25 +266,34 @@ def _joined(column: pa.ChunkedArray, read=unpack) -> np.ndarray:
 
 def _reassemble(block: pa.Table, given: pa.Table) -> pa.Table:
     """Ids of a block's documents, by the positions of its words."""
+    release()  # what the block before it took
     code = _joined(given.column("codes"), lambda x: np.cumsum(unpack(x), dtype=np.int64))
     n, source = _joined(given.column("sizes")).astype(np.int64), _joined(given.column("ids"))
     starts, lengths = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
     starts[code], lengths[code] = np.cumsum(n) - n, n
     codes = unpack(block.column("codes")[0].as_py())
-    out, at = [], 0
-    for end in np.cumsum(block.column("sizes")[0].values.to_numpy(), dtype=np.int64):
-        out.append(gather(codes[at:end], starts, lengths, source).tobytes())
-        at = end
-    return pa.Table.from_arrays([block.column("doc_ids")[0].values, pa.array(out, pa.binary())], ["doc_id", "ids"])
+    doc_ids, sizes = block.column("doc_ids")[0].values, block.column("sizes")[0].values.to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out, first = [], 0
+    while first < len(sizes):
+        # documents of so many words, or one longer, are a batch of their own for Spark
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + BATCH_WORDS, "right")) - 1)
+        own = codes[ends[first]:ends[last]]
+        places = np.concatenate([[0], np.cumsum(lengths[own])])[ends[first:last + 1] - ends[first]] * 4
+        ids = gather(own, starts, lengths, source).astype("<u4", copy=False)
+        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, pa.py_buffer(places), pa.py_buffer(ids)])
+        out.append(pa.RecordBatch.from_arrays([doc_ids[first:last], ids.cast(pa.binary())], ["doc_id", "ids"]))
+        first = last
+    return pa.Table.from_batches(out)
 
 
 def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of every row, by the ranks of the file at ``path`` on every machine."""
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    blocks = store_blocks(spark, rows.mapInArrow(_blocks_of(pattern), _BLOCK_SCHEMA), "token_blocks")
+    blocks = store_blocks(spark, rows.mapInArrow(released(_blocks_of(pattern)), _BLOCK_SCHEMA), "token_blocks")
     entries = entries_of(blocks).repartition("word").sortWithinPartitions("word")
-    return rejoin(blocks, entries.mapInArrow(_encoder_of(path), _GIVEN_SCHEMA), _reassemble, TOKENS_SCHEMA)
+    return rejoin(blocks, entries.mapInArrow(released(_encoder_of(path)), _GIVEN_SCHEMA), _reassemble, TOKENS_SCHEMA)
 
 
 # ---------------------------------------------------------------------------- decode
@@ -313,12 +326,12 @@ def _decode_broadcast(spark: SparkSession, tokens: DataFrame, known: DataFrame)
     lookup = spark.sparkContext.broadcast(TokenBytes([(r["id"], bytes(r["token"])) for r in known.collect()]))
 
     def decoded(batches):
-        for b in batches:
+        for b in slices(batches):
             found = [lookup.value.decode(x) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())], [*b.schema.names, "decoded"])
 
     schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return tokens.mapInArrow(decoded, schema)
+    return tokens.mapInArrow(released(decoded), schema)
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))

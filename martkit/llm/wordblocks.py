@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh_folder
 
-SLICE = 1 << 19
+SLICE = 1 << 17
 
 
 class Codes(dict):
@@ -45,7 +45,7 @@ def pack(values: np.ndarray) -> bytes:
     """Unsigned integers below 2^32, byte plane by byte plane, compressed: high planes are
     mostly zeros, and what a shuffle or a file holds of a number is little more than it tells."""
     planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.compress(planes.tobytes())
+    return zstandard.compress(planes)
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -55,13 +55,15 @@ def unpack(data: bytes) -> np.ndarray:
 
 def gather(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, source: np.ndarray) -> np.ndarray:
     """Stretches ``source[starts[c] : starts[c] + lengths[c]]`` of all codes one after another."""
-    parts = []
+    out = np.empty(sum(int(lengths[codes[lo:lo + SLICE]].sum()) for lo in range(0, len(codes), SLICE)), source.dtype)
+    at = 0
     for lo in range(0, len(codes), SLICE):
         c = codes[lo:lo + SLICE]
         n = lengths[c]
         ends = np.cumsum(n)
-        parts.append(source[np.arange(ends[-1]) - np.repeat(ends - n - starts[c], n)])
-    return np.concatenate(parts) if parts else source[:0]
+        out[at:at + ends[-1]] = source[np.arange(ends[-1]) - np.repeat(ends - n - starts[c], n)]
+        at += int(ends[-1])
+    return out
 
 
 def store_blocks(spark: SparkSession, blocks: DataFrame, name: str) -> DataFrame:

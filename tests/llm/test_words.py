@@ -178,3 +178,30 @@ def test_packed_numbers_come_back():
     source, codes = np.arange(10), np.array([2, 0, 2, 1])
     out = wordblocks.gather(codes, np.array([0, 3, 5]), np.array([3, 0, 2]), source)
     assert out.tolist() == [5, 6, 0, 1, 2, 5, 6] and not len(wordblocks.gather(codes[:0], codes, codes, source))
+
+
+def test_workers_release_memory_and_results_go_in_small_batches(monkeypatch):
+    import pyarrow as pa
+
+    from martkit.llm import common, global_bpe
+    from martkit.llm.wordblocks import pack
+
+    ended = []
+    monkeypatch.setattr(common, "release", lambda: ended.append(True))
+    assert list(common.released(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and ended == [True]
+    whole = pa.RecordBatch.from_arrays([pa.array([b"x" * 1000] * 5000, pa.binary())], ["ids"])
+    parts = list(common.slices([whole, whole.slice(0, 0)]))
+    assert pa.Table.from_batches(parts).column(0).combine_chunks() == whole.column(0)
+    assert max(p.nbytes for p in parts) <= 1.1 * common.SLICE_BYTES
+    # words 0, 1 and 2 have the ids 7, 8 9 and none; documents of two, none, three and four words
+    monkeypatch.setattr(global_bpe, "BATCH_WORDS", 3)
+    block = pa.table({
+        "doc_ids": pa.array([[4, None, 5, 4]], pa.list_(pa.int64())), "sizes": pa.array([[2, 0, 3, 4]], pa.list_(pa.int32())),
+        "codes": pa.array([pack(np.array([0, 1, 2, 1, 1, 0, 0, 0, 2]))], pa.binary())})
+    given = pa.table({
+        "codes": [pack(np.array([0, 2])), pack(np.array([1]))], "sizes": [pack(np.array([1, 0])), pack(np.array([2]))],
+        "ids": [pack(np.array([7])), pack(np.array([8, 9]))]})
+    found = global_bpe._reassemble(block, given)
+    ids = [np.frombuffer(x, "<u4").tolist() for x in found.column("ids").to_pylist()]
+    assert ids == [[7, 8, 9], [], [8, 9, 8, 9], [7, 7, 7]] and found.column("doc_id").to_pylist() == [4, None, 5, 4]
+    assert [b.num_rows for b in found.to_batches()] == [2, 1, 1]
