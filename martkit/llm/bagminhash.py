@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, store, table
+from .common import released, ship, store, table
 from .phrase_index import words
 from .pieces import Cache
 
@@ -166,7 +166,7 @@ def sketch(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 ["doc_id", "t0", "t1", "digest", "bands", "places"])
 
     return with_text_hashes(docs.select(F.col("doc_id").cast("bigint"), "text")).select("doc_id", "text", "t0", "t1").mapInArrow(
-        make, "doc_id bigint, t0 bigint, t1 bigint, digest binary, bands array<bigint>, places binary")
+        released(make), "doc_id bigint, t0 bigint, t1 bigint, digest binary, bands array<bigint>, places binary")
 
 
 def text_hashes(text: Column) -> tuple[Column, Column]:
@@ -204,7 +204,7 @@ class IdFilter:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cells.view(np.int64)), pa.array(masks.view(np.int64))], ["cell", "mask"])
 
-        rows = ids.mapInArrow(mark, "cell bigint, mask bigint").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+        rows = ids.mapInArrow(released(mark), "cell bigint, mask bigint").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
         self.cells = np.zeros(self.bits // 64, np.uint64)
         self.cells[rows["cell"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
 
@@ -259,7 +259,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(released(check), "a bigint, b bigint")
 
 
 def _roots(spark: SparkSession, edges: DataFrame) -> DataFrame:

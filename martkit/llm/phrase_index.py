@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, store, table
+from .common import released, ship, store, table
 
 WINDOW = 13
 SEGMENT_BYTES = 8 << 20
@@ -108,7 +108,7 @@ def build_index(spark: SparkSession, docs: DataFrame, segment_bytes: int = SEGME
         if seg.docs:
             yield seg.row()
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(pack, SEGMENT_SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(released(pack), SEGMENT_SCHEMA)
     return store(spark, rows, "phrase-index")
 
 
@@ -188,7 +188,7 @@ def search(spark: SparkSession, index: DataFrame, phrases: DataFrame, slop: int
     for k in range(blocks):
         part = phrases.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k) if blocks > 1 else phrases
         block = [(r["query"], [bytes(w) for w in r["words"]]) for r in part.collect()]
-        found = store(spark, index.mapInArrow(_search_rows(block, slop), HIT_SCHEMA), "phrase-hits")
+        found = store(spark, index.mapInArrow(released(_search_rows(block, slop)), HIT_SCHEMA), "phrase-hits")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -212,7 +212,7 @@ def item_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.string()), pa.array(found, pa.list_(pa.binary()))], ["item_id", "words"])
 
-    rows = items.select(F.col("item_id").cast("string"), "text").mapInArrow(cut, ship_schema)
+    rows = items.select(F.col("item_id").cast("string"), "text").mapInArrow(released(cut), ship_schema)
     held = rows.groupBy("words").agg(F.collect_set("item_id").alias("item_ids"))
     # the number is fixed by storing it
     return store(items.sparkSession, held.select(F.monotonically_increasing_id().alias("query"), "words", "item_ids"), "item-windows")
@@ -253,10 +253,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, width:
                 [b.column(0), b.column(1), pa.array(out, pa.int64())], ["segment", "place", "n_hit"])
 
     every = index.select("segment", "docs", "no_id").mapInArrow(
-        directory, "segment bigint, place int, doc_id bigint, n_words bigint")
+        released(directory), "segment bigint, place int, doc_id bigint, n_words bigint")
     hit_words = hits.groupBy("segment", "place").agg(
         F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
-    hit_words = hit_words.mapInArrow(covered, "segment bigint, place int, n_hit bigint")
+    hit_words = hit_words.mapInArrow(released(covered), "segment bigint, place int, n_hit bigint")
     named = hits.select("segment", "place", F.explode("queries").alias("query")).join(
         windows.select("query", F.explode("item_ids").alias("item_id")), "query")
     named = named.groupBy("segment", "place").agg(F.array_sort(F.collect_set("item_id")).alias("items"))

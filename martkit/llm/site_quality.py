@@ -33,7 +33,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, store, table
+from .common import released, ship, store, table
 from .phrase_index import words
 
 SAMPLE_LABELLED = 20_000
@@ -95,7 +95,7 @@ def _vocabulary(sample: DataFrame) -> list[bytes]:
     n = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(h) for h in HEADS]).first()
     if not n["n"]:
         return []
-    counts = sample.select("text", *HEADS).mapInArrow(distinct, "word binary, low int, toxic int").groupBy("word").agg(
+    counts = sample.select("text", *HEADS).mapInArrow(released(distinct), "word binary, low int, toxic int").groupBy("word").agg(
         F.count(F.lit(1)).alias("docs"), *[F.sum(h).alias(h) for h in HEADS]).filter(F.col("docs") >= MIN_DOCS)
 
     def score(head: str) -> Column:
@@ -121,7 +121,7 @@ def _vectors(sample: DataFrame, vocabulary: list[bytes]) -> DataFrame:
                 [pa.array(out, pa.list_(pa.int32())), b.column(1), b.column(2)], ["found", *HEADS])
 
     vector = F.udf(lambda found: SparseVector(size, found, [1.0] * len(found)), VectorUDT())
-    rows = sample.select("text", *HEADS).mapInArrow(features, "found array<int>, low int, toxic int")
+    rows = sample.select("text", *HEADS).mapInArrow(released(features), "found array<int>, low int, toxic int")
     return rows.select(vector("found").alias("features"), *[F.col(h).cast("double").alias(h) for h in HEADS])
 
 
@@ -218,7 +218,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, host: Iter
     scored = docs.select(F.col("doc_id").cast("bigint"), F.col(host_col).cast("string").alias("host"),
                          F.col(path_col).cast("string").alias("path"), "text")
     scored = store(spark, scored.mapInArrow(
-        score, "doc_id bigint, host string, path string, z_low double, z_toxic double"), "doc-evidence")
+        released(score), "doc_id bigint, host string, path string, z_low double, z_toxic double"), "doc-evidence")
     known = labels.groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(
         F.max((F.col("quality") == 0).cast("double")).alias("y_low"), F.max((F.col("toxic") == 1).cast("double")).alias("y_toxic"))
     sure = lambda h: F.coalesce(F.col(f"y_{h}"), 1 / (1 + F.exp(-F.col(f"z_{h}")))).alias(h)

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_folder, ship, table
+from .common import fresh_folder, released, ship, table
 from .pieces import Cache, Splitter, byte_symbols
 
 MAGIC = b"MKTOK1\0\0"
@@ -111,7 +111,7 @@ def train_dictionary(spark: SparkSession, docs: DataFrame, tokenizer: str) -> by
                 [pa.array([x[:SAMPLE_BYTES] for x in enc.encode(texts)], pa.binary())], ["ids"])
 
     chosen = docs.filter(F.col("text") != "").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCS)
-    sample = [bytes(r[0]) for r in chosen.select("doc_id", "text").mapInArrow(arrays, "ids binary").collect()]
+    sample = [bytes(r[0]) for r in chosen.select("doc_id", "text").mapInArrow(released(arrays), "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, sample).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples to train on: use them as they are
@@ -175,7 +175,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str, root: str
             yield done(shard)
 
     ordered = docs.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{root}/manifest")
+    ordered.mapInArrow(released(write), MANIFEST).write.parquet(f"{root}/manifest")
     shards = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
     # ids before a part: an ordered sum over one row per part; then over the shards of a part
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
@@ -258,7 +258,7 @@ def read_tokens(spark: SparkSession, shards: DataFrame, root: str) -> DataFrame:
                     reader.close()
 
     return shards.select("path", "start").mapInArrow(
-        read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+        released(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
 
 
 def tokens_of(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
